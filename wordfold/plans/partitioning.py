@@ -1,0 +1,21 @@
+"""Input partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the task slots if its scan has fewer partitions.
+
+    A parquet file with one huge row group (or a single unsplittable file) is
+    read by one task, and the CPU-heavy steps after it (line and word split,
+    partial counts) would run on one core. Only then is the input spread; a
+    large input already has at least as many partitions as slots and is
+    returned unchanged, so at scale no shuffle is added. Reading the partition
+    count plans the scan but runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

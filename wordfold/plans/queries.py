@@ -29,6 +29,7 @@ from wordfold.operators import (
     word_count,
     word_pairs,
 )
+from wordfold.plans.partitioning import spread_if_narrow
 from wordfold.session import new_output_path
 from wordfold.sinks.text import write_text
 from wordfold.sources import (
@@ -49,9 +50,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- building blocks over the driver tables ---------------------------------
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table, spread over the task slots if its scan is narrower."""
+    return spread_if_narrow(table(spark, sf_dir, "documents"))
+
+
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, lang, line``: every line of every document."""
-    return lines_from_column(table(spark, sf_dir, "documents"), "text", keep=("doc_id", "lang"))
+    return lines_from_column(documents(spark, sf_dir), "text", keep=("doc_id", "lang"))
 
 
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,16 +80,16 @@ def page_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_manifest(inv: DataFrame) -> DataFrame:
     """Keys to ask about: every key, each first component (with and without a
-    trailing ``/``), each key + ``.missing``, and the root ``''``."""
+    trailing ``/``), each key + ``.missing``, and the root ``''``.
+
+    One pass: each inventory row is exploded into its five candidate keys and
+    the candidates are deduplicated (partial aggregate before the shuffle; the
+    output is hash-partitioned on ``key``, the join key of ``path_status``).
+    """
     k = F.col("key")
     first = F.substring_index(k, "/", 1)
-    return union_all(
-        inv.select(k.alias("key")),
-        inv.select(first.alias("key")),
-        inv.select(F.concat(first, F.lit("/")).alias("key")),
-        inv.select(F.concat(k, F.lit(".missing")).alias("key")),
-        inv.select(F.substring(k, 1, 0).alias("key")),
-    ).distinct()
+    candidates = F.array(k, first, F.concat(first, F.lit("/")), F.concat(k, F.lit(".missing")), F.substring(k, 1, 0))
+    return inv.select(F.explode(candidates).alias("key")).distinct()
 
 
 # --- the registered queries --------------------------------------------------
@@ -114,7 +120,7 @@ def q_text_lines(spark, sf_dir):
 
 
 def q_line_union_all(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return union_all(
         lines_from_column(docs.where(F.col("lang") == "en"), "text"),
         lines_from_column(docs.where(F.col("lang") == "fr"), "text"),

@@ -20,6 +20,7 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.filterPushdown.string.startsWith": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
