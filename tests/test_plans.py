@@ -1,0 +1,68 @@
+"""Plan shape: bounded top-k, pruned scans, no Python, no pairwise joins."""
+
+from __future__ import annotations
+
+import pytest
+
+from wordfold.operators import list_children
+from wordfold.plans.inspect import PAIRWISE_NODES, PYTHON_NODES, physical_tree, plan_text, read_schemas
+from wordfold.plans.queries import QUERIES, page_inventory
+
+SF01 = "/root/testdata/sf0.01"
+PLANNED = [n for n in QUERIES if n not in ("report_roundtrip",)]
+
+
+@pytest.mark.parametrize("name", PLANNED)
+def test_no_python_and_no_pairwise_join(spark, name):
+    tree = physical_tree(QUERIES[name](spark, SF01))
+    for node in PYTHON_NODES + PAIRWISE_NODES:
+        assert node not in tree, f"{name}: {node}"
+
+
+def test_top_k_is_bounded_not_a_sort(spark):
+    tree = physical_tree(QUERIES["top_words"](spark, SF01))
+    assert "TakeOrderedAndProject" in tree
+    assert "Sort " not in tree and "Sort(" not in tree
+    # one shuffle on the word for the count (plus the spread of a one-row-group input)
+    assert tree.count("HashAggregate") == 2
+
+
+def test_text_scan_reads_only_text(spark):
+    assert read_schemas(QUERIES["tokenize"](spark, SF01)) == ["struct<text:string>"]
+
+
+def test_int_scans_read_one_column(spark):
+    assert read_schemas(QUERIES["int_sum"](spark, SF01)) == ["struct<p_size:int>"]
+    assert read_schemas(QUERIES["int_sum_wrap32"](spark, SF01)) == ["struct<l_orderkey:bigint>"]
+
+
+def test_inventory_listing_does_not_read_content(spark):
+    schemas = read_schemas(QUERIES["object_inventory"](spark, SF01))
+    assert schemas and all("content" not in s for s in schemas)
+
+
+def test_path_status_join_reuses_aggregate_partitioning(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = physical_tree(QUERIES["path_status"](spark, SF01))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tree.count("Join") == 1
+    # both join inputs come straight from their aggregates: no exchange between
+    lines = tree.splitlines()
+    join_at = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert all("Exchange" not in line for line in lines[join_at + 1 : join_at + 3])
+
+
+def test_child_listing_of_a_dir_uses_a_broadcast_hash_anti_join(spark):
+    inv = page_inventory(spark, SF01)
+    tree = physical_tree(list_children(inv, "blog.ththan.example.net"))
+    assert "BroadcastHashJoin LeftAnti" in tree
+
+
+def test_prefix_filter_is_pushed_to_the_scan(spark, tmp_path):
+    inv = spark.createDataFrame([("a/b", 1), ("c/d", 2)], "key string, size bigint")
+    inv.write.parquet(str(tmp_path / "inv"))
+    stored = spark.read.parquet(str(tmp_path / "inv"))
+    text = plan_text(list_children(stored, "a"))
+    assert "StringStartsWith(key,a/)" in text

@@ -1,0 +1,83 @@
+"""Word count, top-k ties, report format and invariants."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wordfold.operators import (
+    count_word,
+    report,
+    sum_pairs,
+    tokenize,
+    top_words,
+    top_words_report,
+    word_count,
+    word_pairs,
+)
+from wordfold.plans.jobs import top_words_of_columns, top_words_of_lines
+from wordfold.sources import lines_from_column, union_all
+
+SF01 = "/root/testdata/sf0.01"
+
+
+def lines_df(spark, lines):
+    return spark.createDataFrame([(s,) for s in lines], "value string")
+
+
+def test_counts_and_swap(spark):
+    words = tokenize(lines_df(spark, ["b a b", "a  b", ""]))
+    counts = {r.word: r.n for r in word_count(words).collect()}
+    assert counts == {"a": 2, "b": 3, "": 2}
+    assert count_word(word_count(words)).columns == ["n", "word"]
+
+
+def test_pairs_reduce_to_counts(spark):
+    words = tokenize(lines_df(spark, ["x y x", "y z", " x"]))
+    a = sorted(map(tuple, word_count(words).collect()))
+    b = sorted(map(tuple, sum_pairs(word_pairs(words)).collect()))
+    assert a == b
+
+
+def test_ties_break_by_word_for_any_partitioning(spark):
+    # 30 words with count 2, 30 with count 1: k=40 cuts inside the count-1 tie.
+    many = [f"w{i:02d}" for i in range(30)]
+    lines = [" ".join(many), " ".join(many), " ".join(f"v{i:02d}" for i in range(30))]
+    expect = [(2, w) for w in many] + [(1, f"v{i:02d}") for i in range(10)]
+    for parts in (1, 3, 8):
+        got = [tuple(r) for r in top_words_of_lines(lines_df(spark, lines).repartition(parts), k=40).collect()]
+        assert got == expect
+
+
+def test_top_k_larger_than_vocabulary_and_zero(spark):
+    df = lines_df(spark, ["a b a"])
+    assert [tuple(r) for r in top_words_of_lines(df, k=100).collect()] == [(2, "a"), (1, "b")]
+    assert top_words_of_lines(df, k=0).count() == 0
+
+
+def test_empty_input_gives_empty_report(spark):
+    df = lines_df(spark, [])
+    assert top_words_report(word_count(tokenize(df))).count() == 0
+
+
+def test_report_format_and_order(spark):
+    df = lines_df(spark, ["", "", "", "b b a"])
+    got = [r.value for r in report(top_words(word_count(tokenize(df)))).collect()]
+    assert got == ["3 ", "2 b", "1 a"]
+
+
+def test_token_total_and_union_counts(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    en = lines_from_column(docs.where(F.col("lang") == "en"), "text", line_col="value")
+    fr = lines_from_column(docs.where(F.col("lang") == "fr"), "text", line_col="value")
+    both = union_all(en, fr)
+    assert both.count() == en.count() + fr.count()
+    words = tokenize(both)
+    total = word_count(words).agg(F.sum("n")).collect()[0][0]
+    assert total == words.count()
+
+
+def test_top_words_over_two_tables_counts_across_both(spark):
+    a = spark.createDataFrame([("x y",), ("x",)], "text string")
+    b = spark.createDataFrame([("y y",)], "text string")
+    got = [tuple(r) for r in top_words_of_columns([a, b], "text", k=10).collect()]
+    assert got == [(3, "y"), (2, "x")]
