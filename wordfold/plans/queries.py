@@ -32,6 +32,7 @@ from wordfold.operators import (
 from wordfold.plans.partitioning import spread_if_narrow
 from wordfold.session import new_output_path
 from wordfold.sinks.text import write_text
+from wordfold.sources.tables import read_table
 from wordfold.sources import (
     int_column,
     keys_from_urls,
@@ -44,7 +45,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 # --- building blocks over the driver tables ---------------------------------

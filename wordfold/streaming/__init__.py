@@ -1 +1,5 @@
-"""."""
+"""Structured Streaming entry points for the same word pipeline."""
+
+from wordfold.streaming.words import start_top_words, top_words_stream, word_counts_stream
+
+__all__ = ["start_top_words", "top_words_stream", "word_counts_stream"]

@@ -1,0 +1,53 @@
+"""The top-words job over a directory that keeps receiving text files.
+
+The same DataFrame functions as the batch job (tokenize, word_count,
+top_words) applied to a Structured Streaming text source: each new file's
+lines are split and counted, the per-word counts live in the state store
+(one row per distinct word) and every trigger re-ranks the top k in complete
+mode. For a large vocabulary use the RocksDB state store
+(``spark.sql.streaming.stateStore.providerClass``), and keep the checkpoint in
+the cluster's shared folder so a restarted query resumes where it stopped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from wordfold.operators.words import DEFAULT_K, tokenize, top_words, word_count
+from wordfold.session import new_output_path
+
+
+def word_counts_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming ``word, n`` over every text file that appears in ``directory``."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return word_count(tokenize(reader.load(directory)))
+
+
+def top_words_stream(spark: SparkSession, directory: str, k: int = DEFAULT_K) -> DataFrame:
+    """Streaming ``n, word``: the current top k (complete output mode only)."""
+    return top_words(word_counts_stream(spark, directory), k)
+
+
+def start_top_words(
+    spark: SparkSession,
+    directory: str,
+    query_name: str,
+    k: int = DEFAULT_K,
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """Start the ranked top-k as an in-memory table ``query_name`` (complete mode).
+
+    The memory sink suits a driver-side dashboard of k rows; for other sinks use
+    ``top_words_stream(...).writeStream`` with ``foreachBatch``.
+    """
+    return (
+        top_words_stream(spark, directory, k)
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName(query_name)
+        .option("checkpointLocation", checkpoint or new_output_path(spark, f"stream-{query_name}"))
+        .start()
+    )
