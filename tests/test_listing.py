@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from wordfold.operators import list_children, path_key, path_status
+from wordfold.plans.inspect import read_schemas
 from wordfold.sources import keys_from_files, object_inventory
 
 INVENTORY = [
@@ -106,11 +107,33 @@ def test_object_inventory_reads_metadata_only(spark, tmp_path):
     (tmp_path / "x" / "one.txt").write_bytes(b"12345")
     (tmp_path / "two.txt").write_bytes(b"1")
     files = object_inventory(spark, str(tmp_path))
-    plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema:")[-1].split("\n")[0]
-    keys = sorted(tuple(r) for r in keys_from_files(files).collect())
+    assert all("content" not in schema for schema in read_schemas(files))
+    inv = keys_from_files(files)
+    assert inv.columns == ["key", "size", "mtime"]
+    keys = sorted((r.key, r.size) for r in inv.collect())
     root = str(tmp_path).lstrip("/")
     assert keys == [(f"{root}/two.txt", 1), (f"{root}/x/one.txt", 5)]
-    # a listing over the real files
-    inv = keys_from_files(files)
-    assert listing(list_children(inv, str(tmp_path))) == [("two.txt", False, 1), ("x", True, 0)]
+    # a listing over the real files: files carry their modification time
+    rows = sorted(tuple(r) for r in list_children(inv, str(tmp_path)).collect())
+    assert [r[:3] for r in rows] == [("two.txt", False, 1), ("x", True, 0)]
+    assert rows[0][3] is not None and rows[1][3] is None
+
+
+def test_mtime_is_carried_for_files_only(spark):
+    import datetime as dt
+
+    t = [dt.datetime(2016, 8, 25, h) for h in range(8)]
+    inv = spark.createDataFrame(
+        [(k, s, t[i]) for i, (k, s) in enumerate(INVENTORY)], "key string, size bigint, mtime timestamp"
+    )
+    root = {r.name: (r.is_dir, r.length, r.mtime) for r in list_children(inv, "").collect()}
+    assert root["h"] == (False, 0, t[7]) and root["a"] == (True, 0, None)
+    assert [tuple(r) for r in list_children(inv, "e").collect()] == [("e", False, 7, t[4])]
+    manifest = spark.createDataFrame([("a/b.txt",), ("e",), ("d",), ("a",)], "key string")
+    got = {r.key: (r.status, r.length, r.mtime) for r in path_status(manifest, inv).collect()}
+    assert got == {
+        "a/b.txt": ("file", 10, t[0]),
+        "e": ("file", 7, t[4]),
+        "d": ("empty_dir", None, None),
+        "a": ("dir", None, None),
+    }

@@ -1,8 +1,10 @@
 """Object-store metadata questions as table jobs over a key inventory.
 
-The inventory is ``key string, size bigint`` (one row per object key, see
-``wordfold.sources.inventory``). Keys use ``/`` as the directory delimiter.
-A key ending in ``/`` with size 0 is a directory marker.
+The inventory is ``key string, size bigint`` and optionally ``mtime timestamp``
+(one row per object key, see ``wordfold.sources.inventory``). Keys use ``/``
+as the directory delimiter. A key ending in ``/`` with size 0 is a directory
+marker. When the inventory has ``mtime``, file rows of the results carry it
+(directories have none).
 
 * ``list_children`` answers a delimiter listing of one directory.
 * ``path_status`` answers "file, empty_dir, dir or missing?" for a whole
@@ -23,9 +25,15 @@ STATUS_EMPTY_DIR = "empty_dir"
 STATUS_DIR = "dir"
 STATUS_MISSING = "missing"
 
+MTIME = "mtime"
+
 _MAX_LEN = 2**31 - 1
 
 
+def _has_mtime(inventory: DataFrame) -> bool:
+    return MTIME in inventory.columns
+
+
 def path_key(path: str) -> str:
     """Key form of a path: no leading, trailing or repeated delimiters; root is ``''``."""
     return DELIMITER.join(p for p in path.split(DELIMITER) if p)
@@ -40,19 +48,25 @@ def _file_status_of(inventory: DataFrame, key: str) -> DataFrame:
     k = F.col("key")
     size = F.col("size").cast("bigint")
     marker = key + DELIMITER
+    has_exact = F.col("has_exact")
+    aggs = [
+        F.bool_or(k == key).alias("has_exact"),
+        F.max(F.when(k == key, size)).alias("exact"),
+        F.max(F.when(k == marker, size)).alias("marker"),
+    ]
+    out = [F.when(has_exact, F.col("exact")).otherwise(F.col("marker")).alias("length")]
+    if _has_mtime(inventory):
+        aggs += [
+            F.max(F.when(k == key, F.col(MTIME))).alias("exact_mtime"),
+            F.max(F.when(k == marker, F.col(MTIME))).alias("marker_mtime"),
+        ]
+        out.append(F.when(has_exact, F.col("exact_mtime")).otherwise(F.col("marker_mtime")).alias(MTIME))
     return (
         inventory.where(k.isin(key, marker))
         .groupBy(F.regexp_replace(k, "/$", "").alias("parent"))
-        .agg(
-            F.bool_or(k == key).alias("has_exact"),
-            F.max(F.when(k == key, size)).alias("exact"),
-            F.max(F.when(k == marker, size)).alias("marker"),
-        )
-        .where(F.col("has_exact") | (F.col("marker") > 0))
-        .select(
-            "parent",
-            F.when(F.col("has_exact"), F.col("exact")).otherwise(F.col("marker")).alias("length"),
-        )
+        .agg(*aggs)
+        .where(has_exact | (F.col("marker") > 0))
+        .select("parent", *out)
     )
 
 
@@ -75,6 +89,8 @@ def list_children(inventory: DataFrame, path: str = "") -> DataFrame:
     """
     key = path_key(path)
     k = F.col("key")
+    with_mtime = _has_mtime(inventory)
+    mtime = [F.col(MTIME)] if with_mtime else []
     prefix = key + DELIMITER if key else ""
     scoped = inventory.where(k.startswith(prefix)) if key else inventory
 
@@ -91,27 +107,30 @@ def list_children(inventory: DataFrame, path: str = "") -> DataFrame:
         scoped.select(
             rest.alias("rest"),
             F.col("size").cast("bigint").alias("size"),
+            *mtime,
         )
         .select(
             F.substring_index("rest", DELIMITER, 1).alias("name"),
             (F.instr("rest", DELIMITER) > 0).alias("is_dir"),
             "rest",
             "size",
+            *mtime,
         )
         .where((F.col("rest") != "") & (F.col("is_dir") | ~F.col("rest").endswith(FOLDER_SUFFIX)))
         .groupBy("name", "is_dir")
-        .agg(F.max("size").alias("size"))
+        .agg(F.max("size").alias("size"), *[F.max(c).alias(MTIME) for c in mtime])
         .select(
             "name",
             "is_dir",
             F.when(F.col("is_dir"), F.lit(0).cast("bigint")).otherwise(F.col("size")).alias("length"),
+            *[F.when(~F.col("is_dir"), F.col(MTIME)).alias(MTIME) for _ in mtime],
         )
     )
     if not key:
         return children
     name = key.rsplit(DELIMITER, 1)[-1]
     return children.unionByName(
-        status.select(F.lit(name).alias("name"), F.lit(False).alias("is_dir"), "length")
+        status.select(F.lit(name).alias("name"), F.lit(False).alias("is_dir"), "length", *mtime)
     )
 
 
@@ -122,7 +141,8 @@ _EXACT, _MARKER, _DIR_SELF, _DIR_STRIPPED = 0, 1, 2, 3
 def key_facts(inventory: DataFrame) -> DataFrame:
     """Everything the inventory says about any key, one row per key.
 
-    ``k, exact_found, exact_size, marker_found, marker_size, dir_self, dir_stripped``:
+    ``k, exact_found, exact_size, marker_found, marker_size, dir_self, dir_stripped``
+    (+ ``exact_mtime, marker_mtime`` when the inventory has ``mtime``):
 
     * ``exact_*``: object ``k`` exists (and its size);
     * ``marker_*``: object ``k + '/'`` exists (and its size);
@@ -142,9 +162,12 @@ def key_facts(inventory: DataFrame) -> DataFrame:
     j = F.col("j")
     a = F.greatest(F.expr("int((j - 1) div 2)"), F.lit(1))
     anc = F.array_join(F.slice("parts", 1, a), DELIMITER)
+    mtime = [F.col(MTIME)] if _has_mtime(inventory) else []
     facts = (
-        inventory.select(k, F.col("size").cast("bigint").alias("size"), parts.alias("parts"), depth.alias("depth"))
-        .select("key", "size", "parts", F.explode(F.sequence(F.lit(0), 2 + 2 * F.col("depth"))).alias("j"))
+        inventory.select(
+            k, F.col("size").cast("bigint").alias("size"), *mtime, parts.alias("parts"), depth.alias("depth")
+        )
+        .select("key", "size", *mtime, "parts", F.explode(F.sequence(F.lit(0), 2 + 2 * F.col("depth"))).alias("j"))
         .where((j != _MARKER) | F.col("key").endswith(DELIMITER))
         .select(
             F.when(j == 0, F.col("key"))
@@ -155,17 +178,24 @@ def key_facts(inventory: DataFrame) -> DataFrame:
             .alias("k"),
             F.when(j <= 1, j).when(j % 2 == 0, F.lit(_DIR_SELF)).otherwise(F.lit(_DIR_STRIPPED)).alias("kind"),
             "size",
+            *mtime,
         )
     )
     kind = F.col("kind")
-    return facts.groupBy("k").agg(
+    aggs = [
         F.bool_or(kind == _EXACT).alias("exact_found"),
         F.max(F.when(kind == _EXACT, F.col("size"))).alias("exact_size"),
         F.bool_or(kind == _MARKER).alias("marker_found"),
         F.max(F.when(kind == _MARKER, F.col("size"))).alias("marker_size"),
         F.bool_or(kind == _DIR_SELF).alias("dir_self"),
         F.bool_or(kind == _DIR_STRIPPED).alias("dir_stripped"),
-    )
+    ]
+    if mtime:
+        aggs += [
+            F.max(F.when(kind == _EXACT, F.col(MTIME))).alias("exact_mtime"),
+            F.max(F.when(kind == _MARKER, F.col(MTIME))).alias("marker_mtime"),
+        ]
+    return facts.groupBy("k").agg(*aggs)
 
 
 def path_status(manifest: DataFrame, inventory: DataFrame, key_col: str = "key") -> DataFrame:
@@ -180,7 +210,7 @@ def path_status(manifest: DataFrame, inventory: DataFrame, key_col: str = "key")
     3. some key lies under ``key + '/'`` (any key, for the root) -> ``dir``;
     4. else ``missing``.
 
-    ``length`` is set for files only. All facts come from ``key_facts`` (grouped
+    ``length`` (and ``mtime`` if the inventory has it) is set for files only. All facts come from ``key_facts`` (grouped
     by key, so at most one row per manifest key) and the manifest is joined to
     them once. Spark sizes that join: a small fact table is broadcast, a large
     one meets the manifest in a shuffle join whose fact side already has the
@@ -201,9 +231,12 @@ def path_status(manifest: DataFrame, inventory: DataFrame, key_col: str = "key")
         .when(F.coalesce(is_dir, F.lit(False)), STATUS_DIR)
         .otherwise(STATUS_MISSING)
     )
-    length = (
-        F.when(exact, F.when(exact_is_dir, F.lit(None)).otherwise(F.col("exact_size")))
-        .when(marker & (F.col("marker_size") != 0), F.col("marker_size"))
-        .cast("bigint")
-    )
-    return joined.select(*[manifest[c] for c in manifest.columns], status.alias("status"), length.alias("length"))
+    exact_file = exact & ~exact_is_dir
+    marker_file = marker & (F.col("marker_size") != 0)
+    out = [
+        status.alias("status"),
+        F.when(exact_file, F.col("exact_size")).when(marker_file, F.col("marker_size")).cast("bigint").alias("length"),
+    ]
+    if _has_mtime(inventory):
+        out.append(F.when(exact_file, F.col("exact_mtime")).when(marker_file, F.col("marker_mtime")).alias(MTIME))
+    return joined.select(*[manifest[c] for c in manifest.columns], *out)

@@ -29,6 +29,7 @@ from wordfold.operators import (
     word_count,
     word_pairs,
 )
+from wordfold.plans.jobs import top_words_of_lines
 from wordfold.plans.partitioning import spread_if_narrow
 from wordfold.session import new_output_path
 from wordfold.sinks.text import write_text
@@ -38,6 +39,7 @@ from wordfold.sources import (
     keys_from_urls,
     lines_from_column,
     object_inventory,
+    read_text_lines,
     union_all,
 )
 
@@ -158,6 +160,31 @@ def q_report_roundtrip(spark, sf_dir):
     return spark.read.text(path)
 
 
+def export_doc_texts(spark: SparkSession, sf_dir: str, lang: str) -> str:
+    """Write the ``lang`` documents' texts as a text-file set in the shared folder.
+
+    Each text becomes its lines followed by one LF, so the files hold, per
+    document, the lines of ``text + LF``. Returns the directory written.
+    """
+    docs = table(spark, sf_dir, "documents").where(F.col("lang") == lang).select("text")
+    return write_text(docs, new_output_path(spark, f"documents-{lang}"))
+
+
+def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference job's input shape: two text sources ("books") read as lines
+    in one scan; here the English and the French documents, written by Spark."""
+    return read_text_lines(spark, [export_doc_texts(spark, sf_dir, "en"), export_doc_texts(spark, sf_dir, "fr")])
+
+
+def q_file_lines(spark, sf_dir):
+    return book_lines(spark, sf_dir)
+
+
+def q_file_top_words_report(spark, sf_dir):
+    """The whole job: text files -> union -> words -> counts -> top 100 -> report."""
+    return report(top_words_of_lines(book_lines(spark, sf_dir)))
+
+
 def q_key_inventory(spark, sf_dir):
     return page_inventory(spark, sf_dir)
 
@@ -190,6 +217,8 @@ QUERIES: dict[str, Query] = {
     "top_words": q_top_words,
     "top_words_report": q_top_words_report,
     "report_roundtrip": q_report_roundtrip,
+    "file_lines": q_file_lines,
+    "file_top_words_report": q_file_top_words_report,
     "key_inventory": q_key_inventory,
     "list_children": q_list_children,
     "path_status": q_path_status,
@@ -212,6 +241,19 @@ _WORDS = (
 _COUNTS = "SELECT word, count(*) AS n FROM (" + _WORDS + ") GROUP BY word"
 _TOP = "SELECT n, word FROM (" + _COUNTS + ") ORDER BY n DESC, word LIMIT 100"
 _REPORT = "SELECT concat(CAST(n AS VARCHAR), ' ', word) AS value FROM (" + _TOP + ") ORDER BY n DESC, word"
+# Lines of the documents written as text files: each text followed by one LF.
+_FILE_LINES = (
+    r"SELECT unnest(string_split_regex(regexp_replace(text || chr(10), '(\r\n|\r|\n)\z', ''), "
+    r"'\r\n|\r|\n')) AS value FROM documents WHERE lang IN ('en', 'fr')"
+)
+_FILE_WORDS = (
+    "SELECT unnest(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN [] "
+    "ELSE string_split(rtrim(value, ' '), ' ') END) AS word FROM (" + _FILE_LINES + ")"
+)
+_FILE_REPORT = (
+    "SELECT concat(CAST(n AS VARCHAR), ' ', word) AS value FROM (SELECT word, count(*) AS n FROM ("
+    + _FILE_WORDS + ") GROUP BY word ORDER BY n DESC, word LIMIT 100)"
+)
 _INV = (
     "SELECT regexp_replace(url, '^https?://', '') AS key, max(CAST(length(html) AS BIGINT)) AS size "
     "FROM pages GROUP BY 1"
@@ -238,6 +280,8 @@ ORACLE_SQL: dict[str, str] = {
     "top_words": _TOP,
     "top_words_report": _REPORT,
     "report_roundtrip": _REPORT,
+    "file_lines": _FILE_LINES,
+    "file_top_words_report": _FILE_REPORT,
     "key_inventory": _INV,
     "list_children": (
         "SELECT name, is_dir, CASE WHEN is_dir THEN CAST(0 AS BIGINT) ELSE max(size) END AS length FROM ("

@@ -32,12 +32,15 @@ def object_inventory(spark: SparkSession, root: str, glob: str | None = None) ->
 
 
 def keys_from_files(files: DataFrame) -> DataFrame:
-    """``path, length`` rows to an inventory: the key is the path without scheme,
-    authority (bucket) and leading slash."""
-    return files.select(
+    """``path, length[, modificationTime]`` rows to an inventory ``key, size[, mtime]``:
+    the key is the path without scheme, authority (bucket) and leading slash."""
+    cols = [
         F.regexp_replace("path", _SCHEME_AUTHORITY, "").alias("key"),
         F.col("length").cast("bigint").alias("size"),
-    )
+    ]
+    if "modificationTime" in files.columns:
+        cols.append(F.col("modificationTime").alias("mtime"))
+    return files.select(*cols)
 
 
 def keys_from_urls(df: DataFrame, url_col: str = "url", body_col: str = "html") -> DataFrame:
