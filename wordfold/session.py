@@ -24,6 +24,24 @@ SCALE_CONF: dict[str, str] = {
 }
 
 
+# Added on a cluster: size partitions by bytes (not by core count) so that a
+# 100 TB input gives ~128 MB tasks, and start shuffles wide enough for the
+# largest stage; AQE then coalesces the small ones.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def cluster_conf() -> dict[str, str]:
+    """Settings to pass to ``spark-submit --conf`` for a large cluster run."""
+    return {**SCALE_CONF, **CLUSTER_CONF}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wordfold") -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
