@@ -36,6 +36,7 @@ HEADLINE = [
     "even_rows",
     "list_children",
     "path_status",
+    "page_status",
 ]
 
 

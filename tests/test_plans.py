@@ -54,6 +54,21 @@ def test_path_status_join_reuses_aggregate_partitioning(spark):
     assert all("Exchange" not in line for line in lines[join_at + 1 : join_at + 3])
 
 
+def test_hot_key_split_broadcasts_only_bounded_sides(spark):
+    from pyspark.sql import functions as F
+
+    from wordfold.operators import path_status
+
+    inv = page_inventory(spark, SF01)
+    man = spark.read.parquet(f"{SF01}/pages.parquet").select(F.regexp_replace("url", "^https?://", "").alias("key"))
+    tree = physical_tree(path_status(man, inv))
+    # the hot keys are a bounded top-k; hot rows meet their facts in broadcast hash joins
+    assert "TakeOrderedAndProject" in tree
+    assert tree.count("BroadcastHashJoin") >= 2
+    for node in PAIRWISE_NODES:
+        assert node not in tree
+
+
 def test_child_listing_of_a_dir_uses_a_broadcast_hash_anti_join(spark):
     inv = page_inventory(spark, SF01)
     tree = physical_tree(list_children(inv, "blog.ththan.example.net"))

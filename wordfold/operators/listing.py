@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordfold.operators.skew import hot_keys
+
 # Fixed values of the listing rules.
 DELIMITER = "/"
 # Object keys with this suffix are folder placeholders and are never listed.
@@ -198,7 +200,15 @@ def key_facts(inventory: DataFrame) -> DataFrame:
     return facts.groupBy("k").agg(*aggs)
 
 
-def path_status(manifest: DataFrame, inventory: DataFrame, key_col: str = "key") -> DataFrame:
+def path_status(
+    manifest: DataFrame,
+    inventory: DataFrame,
+    key_col: str = "key",
+    split_hot_keys: bool = True,
+    hot_sample_fraction: float = 0.01,
+    hot_min_sampled_rows: int = 1000,
+    hot_max_keys: int = 1000,
+) -> DataFrame:
     """Status of every manifest key: manifest columns + ``status string, length bigint``.
 
     First match wins (root ``''`` skips the two object lookups):
@@ -210,33 +220,72 @@ def path_status(manifest: DataFrame, inventory: DataFrame, key_col: str = "key")
     3. some key lies under ``key + '/'`` (any key, for the root) -> ``dir``;
     4. else ``missing``.
 
-    ``length`` (and ``mtime`` if the inventory has it) is set for files only. All facts come from ``key_facts`` (grouped
-    by key, so at most one row per manifest key) and the manifest is joined to
-    them once. Spark sizes that join: a small fact table is broadcast, a large
-    one meets the manifest in a shuffle join whose fact side already has the
-    join's partitioning; AQE splits a skewed manifest key.
+    ``length`` (and ``mtime`` if the inventory has it) is set for files only.
+
+    Plan: all facts come from ``key_facts`` (grouped by key, so at most one row
+    per manifest key) and every manifest row meets them in one left join.
+    Spark sizes that join: a small fact table is broadcast, a large one meets
+    the manifest in a shuffle join whose fact side keeps the partitioning of its
+    aggregate (no second exchange).
+
+    Skew: a manifest key that repeats for a large share of the rows would put
+    all of them into one join task, and AQE cannot split it because the fact
+    side is not a plain shuffle. So hot keys (``hot_keys``: found from a sample,
+    at most ``hot_max_keys`` of them) take their facts from a broadcast on the
+    map side, and their rows enter the shuffle under unique salt keys that are
+    barred from matching. Every row is still processed; the sample only decides
+    which keys take the broadcast path. A caller whose manifest has one row per
+    key (e.g. after ``distinct``) cannot have hot keys and may pass
+    ``split_hot_keys=False`` to skip the detection pass.
     """
     facts = key_facts(inventory)
+    fact_cols = [c for c in facts.columns if c != "k"]
     m = F.col(key_col)
-    joined = manifest.join(facts, m == facts["k"], "left")
+    if split_hot_keys:
+        hot = hot_keys(
+            manifest, key_col, hot_sample_fraction, hot_min_sampled_rows, hot_max_keys
+        ).select(F.col("key").alias("k"))
+        # Each hot key with its facts, if any. Both sides have <= hot_max_keys
+        # rows (facts are unique per key), so both broadcasts are bounded.
+        hot_facts = hot.join(F.broadcast(facts.join(F.broadcast(hot), "k", "left_semi")), "k", "left")
+        hot_side = hot_facts.select(
+            F.col("k").alias("_hot_k"), *[F.col(c).alias("_hot_" + c) for c in fact_cols]
+        )
+        tagged = manifest.join(F.broadcast(hot_side), m == F.col("_hot_k"), "left")
+        is_hot = F.col("_hot_k").isNotNull()
+        tagged = tagged.withColumn(
+            "_jk", F.when(is_hot, F.monotonically_increasing_id().cast("string")).otherwise(m)
+        )
+        main = facts.alias("f")
+        joined = tagged.join(main, (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
+
+        def fact(c: str):
+            return F.when(F.col("_hot_k").isNotNull(), F.col("_hot_" + c)).otherwise(F.col("f." + c))
+
+    else:
+        joined = manifest.join(facts, m == facts["k"], "left")
+
+        def fact(c: str):
+            return F.col(c)
+
     is_root = m == ""
     dir_like = is_root | m.endswith(DELIMITER)
-    exact = ~is_root & F.coalesce(F.col("exact_found"), F.lit(False))
-    marker = ~dir_like & F.coalesce(F.col("marker_found"), F.lit(False))
-    exact_is_dir = m.endswith(DELIMITER) & (F.col("exact_size") == 0)
-    is_dir = F.when(dir_like, F.col("dir_self")).otherwise(F.col("dir_stripped"))
+    exact = ~is_root & F.coalesce(fact("exact_found"), F.lit(False))
+    marker = ~dir_like & F.coalesce(fact("marker_found"), F.lit(False))
+    exact_is_dir = m.endswith(DELIMITER) & (fact("exact_size") == 0)
+    is_dir = F.when(dir_like, fact("dir_self")).otherwise(fact("dir_stripped"))
     status = (
         F.when(exact, F.when(exact_is_dir, STATUS_EMPTY_DIR).otherwise(STATUS_FILE))
-        .when(marker, F.when(F.col("marker_size") == 0, STATUS_EMPTY_DIR).otherwise(STATUS_FILE))
+        .when(marker, F.when(fact("marker_size") == 0, STATUS_EMPTY_DIR).otherwise(STATUS_FILE))
         .when(F.coalesce(is_dir, F.lit(False)), STATUS_DIR)
         .otherwise(STATUS_MISSING)
     )
     exact_file = exact & ~exact_is_dir
-    marker_file = marker & (F.col("marker_size") != 0)
+    marker_file = marker & (fact("marker_size") != 0)
     out = [
         status.alias("status"),
-        F.when(exact_file, F.col("exact_size")).when(marker_file, F.col("marker_size")).cast("bigint").alias("length"),
+        F.when(exact_file, fact("exact_size")).when(marker_file, fact("marker_size")).cast("bigint").alias("length"),
     ]
     if _has_mtime(inventory):
-        out.append(F.when(exact_file, F.col("exact_mtime")).when(marker_file, F.col("marker_mtime")).alias(MTIME))
+        out.append(F.when(exact_file, fact("exact_mtime")).when(marker_file, fact("marker_mtime")).alias(MTIME))
     return joined.select(*[manifest[c] for c in manifest.columns], *out)

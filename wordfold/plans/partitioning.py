@@ -19,3 +19,4 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+

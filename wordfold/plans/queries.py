@@ -195,7 +195,18 @@ def q_list_children(spark, sf_dir):
 
 def q_path_status(spark, sf_dir):
     inv = page_inventory(spark, sf_dir)
-    return path_status(page_manifest(inv), inv).select("key", "status", "length")
+    # The manifest is deduplicated, so no key repeats and there is no hot key to split.
+    return path_status(page_manifest(inv), inv, split_hot_keys=False).select("key", "status", "length")
+
+
+def q_page_status(spark, sf_dir):
+    """Status per page row of its own key and of its host: a manifest whose keys
+    repeat (one host per many pages), so the hot-key split is on."""
+    key = F.regexp_replace("url", "^https?://", "")
+    manifest = table(spark, sf_dir, "pages").select(
+        "page_id", F.explode(F.array(key, F.substring_index(key, "/", 1))).alias("key")
+    )
+    return path_status(manifest, page_inventory(spark, sf_dir)).select("page_id", "key", "status", "length")
 
 
 def q_object_inventory(spark, sf_dir):
@@ -222,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "key_inventory": q_key_inventory,
     "list_children": q_list_children,
     "path_status": q_path_status,
+    "page_status": q_page_status,
     "object_inventory": q_object_inventory,
 }
 
@@ -259,6 +271,25 @@ _INV = (
     "FROM pages GROUP BY 1"
 )
 
+# Status of every manifest row ({man}), first match wins; {cols} are the output keys.
+_STATUS = (
+    "WITH inv AS (" + _INV + "), man AS ({man}) "
+    "SELECT {cols}, CASE "
+    "WHEN m.key <> '' AND x.key IS NOT NULL THEN "
+    "  CASE WHEN right(m.key, 1) = '/' AND x.size = 0 THEN 'empty_dir' ELSE 'file' END "
+    "WHEN m.key <> '' AND right(m.key, 1) <> '/' AND k.key IS NOT NULL THEN "
+    "  CASE WHEN k.size = 0 THEN 'empty_dir' ELSE 'file' END "
+    "WHEN EXISTS (SELECT 1 FROM inv i WHERE starts_with(i.key, "
+    "  CASE WHEN m.key = '' OR right(m.key, 1) = '/' THEN m.key ELSE m.key || '/' END)) THEN 'dir' "
+    "ELSE 'missing' END AS status, "
+    "CASE WHEN m.key <> '' AND x.key IS NOT NULL THEN "
+    "  CASE WHEN right(m.key, 1) = '/' AND x.size = 0 THEN NULL ELSE x.size END "
+    "WHEN m.key <> '' AND right(m.key, 1) <> '/' AND k.key IS NOT NULL AND k.size <> 0 THEN k.size "
+    "END AS length "
+    "FROM man m LEFT JOIN inv x ON x.key = m.key "
+    "LEFT JOIN inv k ON k.key = m.key || '/' AND m.key <> '' AND right(m.key, 1) <> '/'"
+)
+
 ORACLE_SQL: dict[str, str] = {
     "local_ints": "SELECT CAST(p_size AS INTEGER) AS x FROM part",
     "int_sum": "SELECT CAST(sum(p_size) AS BIGINT) AS total FROM part",
@@ -289,24 +320,15 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE key <> '' AND NOT (instr(key, '/') = 0 AND right(key, 9) = '_$folder$')"
         ") GROUP BY name, is_dir"
     ),
-    "path_status": (
-        "WITH inv AS (" + _INV + "), "
-        "man AS (SELECT key FROM inv UNION SELECT split_part(key, '/', 1) FROM inv "
+    "path_status": _STATUS.format(
+        cols="m.key AS key",
+        man="SELECT key FROM inv UNION SELECT split_part(key, '/', 1) FROM inv "
         "UNION SELECT split_part(key, '/', 1) || '/' FROM inv UNION SELECT key || '.missing' FROM inv "
-        "UNION SELECT '' FROM inv) "
-        "SELECT m.key AS key, CASE "
-        "WHEN m.key <> '' AND x.key IS NOT NULL THEN "
-        "  CASE WHEN right(m.key, 1) = '/' AND x.size = 0 THEN 'empty_dir' ELSE 'file' END "
-        "WHEN m.key <> '' AND right(m.key, 1) <> '/' AND k.key IS NOT NULL THEN "
-        "  CASE WHEN k.size = 0 THEN 'empty_dir' ELSE 'file' END "
-        "WHEN EXISTS (SELECT 1 FROM inv i WHERE starts_with(i.key, "
-        "  CASE WHEN m.key = '' OR right(m.key, 1) = '/' THEN m.key ELSE m.key || '/' END)) THEN 'dir' "
-        "ELSE 'missing' END AS status, "
-        "CASE WHEN m.key <> '' AND x.key IS NOT NULL THEN "
-        "  CASE WHEN right(m.key, 1) = '/' AND x.size = 0 THEN NULL ELSE x.size END "
-        "WHEN m.key <> '' AND right(m.key, 1) <> '/' AND k.key IS NOT NULL AND k.size <> 0 THEN k.size "
-        "END AS length "
-        "FROM man m LEFT JOIN inv x ON x.key = m.key "
-        "LEFT JOIN inv k ON k.key = m.key || '/' AND m.key <> '' AND right(m.key, 1) <> '/'"
+        "UNION SELECT '' FROM inv",
+    ),
+    "page_status": _STATUS.format(
+        cols="m.page_id AS page_id, m.key AS key",
+        man="SELECT page_id, regexp_replace(url, '^https?://', '') AS key FROM pages UNION ALL "
+        "SELECT page_id, split_part(regexp_replace(url, '^https?://', ''), '/', 1) FROM pages",
     ),
 }
