@@ -101,3 +101,15 @@ def test_hot_key_split_gives_the_same_rows(spark):
     assert a == b and len(a) == 4 * n
     counts = dict(Counter(r[2] for r in a))
     assert counts["file"] >= 2 * n // 3 and counts["dir"] >= 2 * n // 3
+
+
+def test_spread_only_when_the_scan_is_narrower_than_the_slots(spark):
+    from wordfold.plans.partitioning import spread_if_narrow
+    from wordfold.plans.inspect import physical_tree
+
+    slots = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 100, 1, 1)
+    wide = spark.range(0, 100, 1, slots + 2)
+    assert "Exchange" in physical_tree(spread_if_narrow(narrow))
+    assert spread_if_narrow(narrow).rdd.getNumPartitions() == slots
+    assert spread_if_narrow(wide) is wide

@@ -15,8 +15,12 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     returned unchanged, so at scale no shuffle is added. Reading the partition
     count plans the scan but runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the input as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 

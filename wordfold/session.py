@@ -52,6 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("WORDFOLD_DRIVER_MEMORY", "8g"))
     )
+    java_opts = os.environ.get("WORDFOLD_DRIVER_JAVA_OPTIONS")
+    if java_opts:
+        builder = builder.config("spark.driver.extraJavaOptions", java_opts)
     return builder.getOrCreate()
 
 
@@ -62,14 +65,18 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``). Only when neither is set, as in a local test
     session, a fresh local folder is made and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on the client (Spark Connect)
+        sc = None
+    if sc is not None:
+        d = sc.getCheckpointDir() or d or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="wordfold-shared-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     return d
 
 
