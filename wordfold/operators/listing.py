@@ -232,8 +232,9 @@ def path_status(
     all of them into one join task, and AQE cannot split it because the fact
     side is not a plain shuffle. So hot keys (``hot_keys``: found from a sample,
     at most ``hot_max_keys`` of them) take their facts from a broadcast on the
-    map side, and their rows enter the shuffle under unique salt keys that are
-    barred from matching. Every row is still processed; the sample only decides
+    map side, and their rows enter the shuffle under salt keys (key + map task
+    id) that are barred from matching, so they spread over the reducers. Every
+    row is still processed; the sample only decides
     which keys take the broadcast path. A caller whose manifest has one row per
     key (e.g. after ``distinct``) cannot have hot keys and may pass
     ``split_hot_keys=False`` to skip the detection pass.
@@ -253,8 +254,12 @@ def path_status(
         )
         tagged = manifest.join(F.broadcast(hot_side), m == F.col("_hot_k"), "left")
         is_hot = F.col("_hot_k").isNotNull()
+        # A hot row's shuffle key is its key salted with the id of the map task
+        # it came from: the same on any retry of that task (row positions may
+        # not be), so a lost executor cannot move a row to another reducer.
         tagged = tagged.withColumn(
-            "_jk", F.when(is_hot, F.monotonically_increasing_id().cast("string")).otherwise(m)
+            "_jk",
+            F.when(is_hot, F.concat(m, F.lit("\u0000"), F.spark_partition_id().cast("string"))).otherwise(m),
         )
         main = facts.alias("f")
         joined = tagged.join(main, (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
