@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3), BENCH_WARMUP (default 2). All queries are first run
+BENCH_REPEAT (default 5), BENCH_WARMUP (default 2). All queries are first run
 BENCH_WARMUP times (JIT warm-up of the shared code paths), then BENCH_REPEAT
 interleaved rounds are timed; the per-query value is the median wall time of a
 full evaluation into Spark's ``noop`` sink (every row computed, nothing
@@ -47,7 +47,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cpus, shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
 

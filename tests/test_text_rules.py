@@ -119,3 +119,28 @@ def test_file_lines_equal_column_lines(spark, tmp_path):
     col = {r["i"]: list(r["l"]) for r in df.select("i", split_lines("text").alias("l")).collect()}
     for i, t in enumerate(texts):
         assert col[i] == by_file[i], repr(t)
+
+
+def test_word_split_matches_java_on_every_document_line(spark):
+    """Whole sf0.001 documents table: every line split by Spark equals the JVM's split."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = lines_from_column(docs, "text").select("line", split_words("line").alias("w")).collect()
+    pattern = spark.sparkContext._jvm.java.util.regex.Pattern.compile(" ")
+    assert rows
+    for r in rows:
+        assert list(r["w"]) == list(pattern.split(r["line"])), repr(r["line"][:80])
+
+
+def test_column_lines_match_java_line_reader(spark):
+    """Every sf0.001 text split into lines equals java.io.BufferedReader.readLine's lines."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: list(r["l"]) for r in docs.select("doc_id", split_lines("text").alias("l")).collect()}
+    jvm = spark.sparkContext._jvm
+    for r in docs.collect():
+        reader = jvm.java.io.BufferedReader(jvm.java.io.StringReader(r["text"]))
+        want = []
+        line = reader.readLine()
+        while line is not None:
+            want.append(line)
+            line = reader.readLine()
+        assert got[r["doc_id"]] == want, r["doc_id"]
