@@ -49,10 +49,10 @@ def test_sink_needs_one_column(spark):
 
 
 def test_files_job_end_to_end(spark, tmp_path):
-    (tmp_path / "book1.txt").write_text("the cat\nthe dog\n", encoding="utf-8")
-    (tmp_path / "book2.txt").write_text("a cat  the\n", encoding="utf-8")
+    (tmp_path / "first.txt").write_text("the cat\nthe dog\n", encoding="utf-8")
+    (tmp_path / "second.txt").write_text("a cat  the\n", encoding="utf-8")
     out = write_top_words_report(
-        spark, [str(tmp_path / "book1.txt"), str(tmp_path / "book2.txt")], new_output_path(spark, "books")
+        spark, [str(tmp_path / "first.txt"), str(tmp_path / "second.txt")], new_output_path(spark, "texts")
     )
     assert [r.value for r in spark.read.text(out).collect()] == ["3 the", "2 cat", "1 ", "1 a", "1 dog"]
 

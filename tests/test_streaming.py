@@ -8,13 +8,13 @@ from wordfold.streaming import start_top_words
 def test_stream_counts_grow_with_new_files(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    (src / "book1.txt").write_text("the cat\nthe dog\n", encoding="utf-8")
+    (src / "first.txt").write_text("the cat\nthe dog\n", encoding="utf-8")
     q = start_top_words(spark, str(src), "wf_top_stream", k=3)
     try:
         q.processAllAvailable()
         first = [tuple(r) for r in spark.sql("SELECT * FROM wf_top_stream").collect()]
         assert first == [(2, "the"), (1, "cat"), (1, "dog")]
-        (src / "book2.txt").write_text("a dog  dog\n", encoding="utf-8")
+        (src / "second.txt").write_text("a dog  dog\n", encoding="utf-8")
         q.processAllAvailable()
         second = [tuple(r) for r in spark.sql("SELECT * FROM wf_top_stream").collect()]
         assert second == [(3, "dog"), (2, "the"), (1, "")]

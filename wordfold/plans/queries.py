@@ -170,19 +170,19 @@ def export_doc_texts(spark: SparkSession, sf_dir: str, lang: str) -> str:
     return write_text(docs, new_output_path(spark, f"documents-{lang}"))
 
 
-def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference job's input shape: two text sources ("books") read as lines
+def text_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference job's input shape: two text-file sources read as lines
     in one scan; here the English and the French documents, written by Spark."""
     return read_text_lines(spark, [export_doc_texts(spark, sf_dir, "en"), export_doc_texts(spark, sf_dir, "fr")])
 
 
 def q_file_lines(spark, sf_dir):
-    return book_lines(spark, sf_dir)
+    return text_file_lines(spark, sf_dir)
 
 
 def q_file_top_words_report(spark, sf_dir):
     """The whole job: text files -> union -> words -> counts -> top 100 -> report."""
-    return report(top_words_of_lines(book_lines(spark, sf_dir)))
+    return report(top_words_of_lines(text_file_lines(spark, sf_dir)))
 
 
 def q_key_inventory(spark, sf_dir):
