@@ -44,6 +44,14 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def cpu_calibration() -> float:
+    """Seconds for a fixed pure-Python loop: a yardstick for the machine's speed
+    at the time of the run (shared VMs vary), to compare runs with each other."""
+    t0 = time.perf_counter()
+    sum(i * i for i in range(2_000_000))
+    return round(time.perf_counter() - t0, 4)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -51,6 +59,7 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
 
+    calibration_before = cpu_calibration()
     warmup = int(os.environ.get("BENCH_WARMUP", "2"))
     for _ in range(warmup):
         for name in HEADLINE:
@@ -75,6 +84,7 @@ def main() -> None:
                 "cpus": cpus,
                 "repeat": repeat,
                 "warmup": warmup,
+                "cpu_calibration_sec": [calibration_before, cpu_calibration()],
             }
         )
     )
