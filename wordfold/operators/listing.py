@@ -136,8 +136,33 @@ def list_children(inventory: DataFrame, path: str = "") -> DataFrame:
     )
 
 
-# Kinds of facts one inventory key gives about manifest keys.
-_EXACT, _MARKER, _DIR_SELF, _DIR_STRIPPED = 0, 1, 2, 3
+# Kinds of facts one inventory key gives about manifest keys:
+# 0 exact object, 1 marker object (key + '/'), 2 directory prefix with its
+# trailing '/', 3 the same prefix without it.
+#
+# Each inventory key is exploded over j = 0 .. 2 * (number of parts):
+# j = 0 exact, 1 marker, 2 the root; j >= 3 is ancestor a = (j - 1) div 2, odd
+# j without and even j with its trailing '/'.
+_FACT_KEY_SQL = (
+    "CASE WHEN j = 0 THEN key "
+    "WHEN j = 1 THEN substring(key, 1, length(key) - 1) "
+    "WHEN j = 2 THEN '' "
+    "WHEN j % 2 = 1 THEN array_join(slice(parts, 1, greatest(CAST((j - 1) div 2 AS INT), 1)), '/') "
+    "ELSE concat(array_join(slice(parts, 1, greatest(CAST((j - 1) div 2 AS INT), 1)), '/'), '/') END"
+)
+_FACT_KIND_SQL = "CASE WHEN j <= 1 THEN j WHEN j % 2 = 0 THEN 2 ELSE 3 END"
+_FACT_AGGS = [
+    "bool_or(kind = 0) AS exact_found",
+    "max(CASE WHEN kind = 0 THEN size END) AS exact_size",
+    "bool_or(kind = 1) AS marker_found",
+    "max(CASE WHEN kind = 1 THEN size END) AS marker_size",
+    "bool_or(kind = 2) AS dir_self",
+    "bool_or(kind = 3) AS dir_stripped",
+]
+_FACT_MTIME_AGGS = [
+    "max(CASE WHEN kind = 0 THEN mtime END) AS exact_mtime",
+    "max(CASE WHEN kind = 1 THEN mtime END) AS marker_mtime",
+]
 
 
 def key_facts(inventory: DataFrame) -> DataFrame:
@@ -156,48 +181,44 @@ def key_facts(inventory: DataFrame) -> DataFrame:
     then grouped by ``k``. Ancestors repeat across keys (the root is in every
     key), so the map-side partial aggregate folds them before the shuffle.
     """
-    k = F.col("key")
-    parts = F.split(k, DELIMITER)
-    depth = F.size(parts) - 1  # number of delimiters in the key
-    # j = 0 exact, 1 marker, 2 root; j >= 3: ancestor a = (j - 1) // 2, even j
-    # gives the dir prefix with its trailing '/', odd j the prefix without it.
-    j = F.col("j")
-    a = F.greatest(F.expr("int((j - 1) div 2)"), F.lit(1))
-    anc = F.array_join(F.slice("parts", 1, a), DELIMITER)
-    mtime = [F.col(MTIME)] if _has_mtime(inventory) else []
+    mtime = [MTIME] if _has_mtime(inventory) else []
     facts = (
-        inventory.select(
-            k, F.col("size").cast("bigint").alias("size"), *mtime, parts.alias("parts"), depth.alias("depth")
-        )
-        .select("key", "size", *mtime, "parts", F.explode(F.sequence(F.lit(0), 2 + 2 * F.col("depth"))).alias("j"))
-        .where((j != _MARKER) | F.col("key").endswith(DELIMITER))
-        .select(
-            F.when(j == 0, F.col("key"))
-            .when(j == 1, F.expr("substring(key, 1, length(key) - 1)"))
-            .when(j == 2, F.lit(""))
-            .when(j % 2 == 1, anc)
-            .otherwise(F.concat(anc, F.lit(DELIMITER)))
-            .alias("k"),
-            F.when(j <= 1, j).when(j % 2 == 0, F.lit(_DIR_SELF)).otherwise(F.lit(_DIR_STRIPPED)).alias("kind"),
-            "size",
+        inventory.selectExpr(
+            "key",
+            "CAST(size AS BIGINT) AS size",
             *mtime,
+            "split(key, '/') AS parts",
+            "explode(sequence(0, 2 * size(split(key, '/')))) AS j",
         )
+        .where("j <> 1 OR endswith(key, '/')")
+        .selectExpr(f"{_FACT_KEY_SQL} AS k", f"{_FACT_KIND_SQL} AS kind", "size", *mtime)
+    )
+    aggs = _FACT_AGGS + (_FACT_MTIME_AGGS if mtime else [])
+    return facts.groupBy("k").agg(*[F.expr(a) for a in aggs])
+
+
+def _status_sql(key: str) -> tuple[str, str, str]:
+    """SQL for ``status``, ``length`` and ``mtime`` of manifest key column ``key``
+    over the columns of ``key_facts`` (NULL facts: the key is unknown)."""
+    k = f"`{key}`"
+    dir_like = f"({k} = '' OR endswith({k}, '/'))"
+    exact = f"({k} <> '' AND exact_found)"
+    exact_dir = f"(endswith({k}, '/') AND exact_size = 0)"
+    marker = f"(NOT {dir_like} AND marker_found)"
+    status = (
+        f"CASE WHEN {exact} THEN IF({exact_dir}, '{STATUS_EMPTY_DIR}', '{STATUS_FILE}') "
+        f"WHEN {marker} THEN IF(marker_size = 0, '{STATUS_EMPTY_DIR}', '{STATUS_FILE}') "
+        f"WHEN IF({dir_like}, dir_self, dir_stripped) THEN '{STATUS_DIR}' "
+        f"ELSE '{STATUS_MISSING}' END"
     )
-    kind = F.col("kind")
-    aggs = [
-        F.bool_or(kind == _EXACT).alias("exact_found"),
-        F.max(F.when(kind == _EXACT, F.col("size"))).alias("exact_size"),
-        F.bool_or(kind == _MARKER).alias("marker_found"),
-        F.max(F.when(kind == _MARKER, F.col("size"))).alias("marker_size"),
-        F.bool_or(kind == _DIR_SELF).alias("dir_self"),
-        F.bool_or(kind == _DIR_STRIPPED).alias("dir_stripped"),
-    ]
-    if mtime:
-        aggs += [
-            F.max(F.when(kind == _EXACT, F.col(MTIME))).alias("exact_mtime"),
-            F.max(F.when(kind == _MARKER, F.col(MTIME))).alias("marker_mtime"),
-        ]
-    return facts.groupBy("k").agg(*aggs)
+
+    def of_file(exact_col: str, marker_col: str) -> str:
+        return (
+            f"CASE WHEN {exact} THEN IF({exact_dir}, NULL, {exact_col}) "
+            f"WHEN {marker} AND marker_size <> 0 THEN {marker_col} END"
+        )
+
+    return status, f"CAST({of_file('exact_size', 'marker_size')} AS BIGINT)", of_file("exact_mtime", "marker_mtime")
 
 
 def path_status(
@@ -234,63 +255,43 @@ def path_status(
     at most ``hot_max_keys`` of them) take their facts from a broadcast on the
     map side, and their rows enter the shuffle under salt keys (key + map task
     id) that are barred from matching, so they spread over the reducers. Every
-    row is still processed; the sample only decides
-    which keys take the broadcast path. A caller whose manifest has one row per
-    key (e.g. after ``distinct``) cannot have hot keys and may pass
-    ``split_hot_keys=False`` to skip the detection pass.
+    row is still processed; the sample only decides which keys take the
+    broadcast path. A caller whose manifest has one row per key (e.g. after
+    ``distinct``) cannot have hot keys and may pass ``split_hot_keys=False`` to
+    skip the detection pass.
     """
     facts = key_facts(inventory)
     fact_cols = [c for c in facts.columns if c != "k"]
     m = F.col(key_col)
     if split_hot_keys:
-        hot = hot_keys(
-            manifest, key_col, hot_sample_fraction, hot_min_sampled_rows, hot_max_keys
-        ).select(F.col("key").alias("k"))
+        hot = hot_keys(manifest, key_col, hot_sample_fraction, hot_min_sampled_rows, hot_max_keys).select(
+            F.col("key").alias("k")
+        )
         # Each hot key with its facts, if any. Both sides have <= hot_max_keys
         # rows (facts are unique per key), so both broadcasts are bounded.
         hot_facts = hot.join(F.broadcast(facts.join(F.broadcast(hot), "k", "left_semi")), "k", "left")
         hot_side = hot_facts.select(
             F.col("k").alias("_hot_k"), *[F.col(c).alias("_hot_" + c) for c in fact_cols]
         )
-        tagged = manifest.join(F.broadcast(hot_side), m == F.col("_hot_k"), "left")
-        is_hot = F.col("_hot_k").isNotNull()
         # A hot row's shuffle key is its key salted with the id of the map task
         # it came from: the same on any retry of that task (row positions may
         # not be), so a lost executor cannot move a row to another reducer.
-        tagged = tagged.withColumn(
+        tagged = manifest.join(F.broadcast(hot_side), m == F.col("_hot_k"), "left").withColumn(
             "_jk",
-            F.when(is_hot, F.concat(m, F.lit("\u0000"), F.spark_partition_id().cast("string"))).otherwise(m),
+            F.when(F.col("_hot_k").isNotNull(), F.concat(m, F.lit("\u0000"), F.spark_partition_id().cast("string")))
+            .otherwise(m),
+        )
+        joined = tagged.join(facts.alias("f"), (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
+        # at most one side has facts for a row: the broadcast (hot) or the join
+        resolved = joined.select(
+            *[F.col(c) for c in manifest.columns],
+            *[F.coalesce(F.col("_hot_" + c), F.col("f." + c)).alias(c) for c in fact_cols],
         )
-        main = facts.alias("f")
-        joined = tagged.join(main, (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
-
-        def fact(c: str):
-            return F.when(F.col("_hot_k").isNotNull(), F.col("_hot_" + c)).otherwise(F.col("f." + c))
-
     else:
-        joined = manifest.join(facts, m == facts["k"], "left")
-
-        def fact(c: str):
-            return F.col(c)
+        resolved = manifest.join(facts, m == facts["k"], "left")
 
-    is_root = m == ""
-    dir_like = is_root | m.endswith(DELIMITER)
-    exact = ~is_root & F.coalesce(fact("exact_found"), F.lit(False))
-    marker = ~dir_like & F.coalesce(fact("marker_found"), F.lit(False))
-    exact_is_dir = m.endswith(DELIMITER) & (fact("exact_size") == 0)
-    is_dir = F.when(dir_like, fact("dir_self")).otherwise(fact("dir_stripped"))
-    status = (
-        F.when(exact, F.when(exact_is_dir, STATUS_EMPTY_DIR).otherwise(STATUS_FILE))
-        .when(marker, F.when(fact("marker_size") == 0, STATUS_EMPTY_DIR).otherwise(STATUS_FILE))
-        .when(F.coalesce(is_dir, F.lit(False)), STATUS_DIR)
-        .otherwise(STATUS_MISSING)
-    )
-    exact_file = exact & ~exact_is_dir
-    marker_file = marker & (fact("marker_size") != 0)
-    out = [
-        status.alias("status"),
-        F.when(exact_file, fact("exact_size")).when(marker_file, fact("marker_size")).cast("bigint").alias("length"),
-    ]
+    status, length, mtime = _status_sql(key_col)
+    out = [F.expr(status).alias("status"), F.expr(length).alias("length")]
     if _has_mtime(inventory):
-        out.append(F.when(exact_file, fact("exact_mtime")).when(marker_file, fact("marker_mtime")).alias(MTIME))
-    return joined.select(*[manifest[c] for c in manifest.columns], *out)
+        out.append(F.expr(mtime).alias(MTIME))
+    return resolved.select(*[F.col(c) for c in manifest.columns], *out)

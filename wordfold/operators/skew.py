@@ -14,7 +14,8 @@ def hot_keys(
     max_keys: int = 1000,
     seed: int = 17,
 ) -> DataFrame:
-    """``key_col`` values that hold a large share of ``df``'s rows; at most ``max_keys`` rows.
+    """``key, sampled_rows``: ``key_col`` values that hold a large share of ``df``'s
+    rows; at most ``max_keys`` rows.
 
     Estimated from a seeded sample: a key is hot when it has at least
     ``min_sampled_rows`` rows in the sample (with the defaults, about 100,000
@@ -24,11 +25,11 @@ def hot_keys(
     (a bounded top-k, no global sort), so it has a proven size bound and may
     be broadcast.
     """
-    counts = (
-        df.select(F.col(key_col).alias("key"))
-        .sample(fraction=sample_fraction, seed=seed)
-        .groupBy("key")
+    return (
+        df.sample(fraction=sample_fraction, seed=seed)
+        .groupBy(F.col(key_col).alias("key"))
         .agg(F.count(F.lit(1)).alias("sampled_rows"))
         .where(F.col("sampled_rows") >= min_sampled_rows)
+        .orderBy(F.col("sampled_rows").desc(), F.col("key"))
+        .limit(max_keys)
     )
-    return counts.orderBy(F.col("sampled_rows").desc(), F.col("key")).limit(max_keys).select("key")

@@ -202,11 +202,10 @@ def q_path_status(spark, sf_dir):
 def q_page_status(spark, sf_dir):
     """Status per page row of its own key and of its host: a manifest whose keys
     repeat (one host per many pages), so the hot-key split is on."""
+    pages = table(spark, sf_dir, "pages")
     key = F.regexp_replace("url", "^https?://", "")
-    manifest = table(spark, sf_dir, "pages").select(
-        "page_id", F.explode(F.array(key, F.substring_index(key, "/", 1))).alias("key")
-    )
-    return path_status(manifest, page_inventory(spark, sf_dir)).select("page_id", "key", "status", "length")
+    manifest = pages.select("page_id", F.explode(F.array(key, F.substring_index(key, "/", 1))).alias("key"))
+    return path_status(manifest, keys_from_urls(pages)).select("page_id", "key", "status", "length")
 
 
 def q_object_inventory(spark, sf_dir):
