@@ -24,6 +24,7 @@ from wordfold.operators import (
     list_children,
     path_status,
     report,
+    sum_pairs,
     tokenize,
     top_words,
     word_count,
@@ -142,6 +143,11 @@ def q_word_count(spark, sf_dir):
     return doc_counts(spark, sf_dir)
 
 
+def q_pair_word_count(spark, sf_dir):
+    """The pair form: (word, 1) pairs reduced by a keyed sum; same counts as word_count."""
+    return sum_pairs(word_pairs(doc_words(spark, sf_dir)))
+
+
 def q_count_word(spark, sf_dir):
     return count_word(doc_counts(spark, sf_dir))
 
@@ -223,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "tokenize": q_tokenize,
     "word_pairs": q_word_pairs,
     "word_count": q_word_count,
+    "pair_word_count": q_pair_word_count,
     "count_word": q_count_word,
     "top_words": q_top_words,
     "top_words_report": q_top_words_report,
@@ -306,6 +313,7 @@ ORACLE_SQL: dict[str, str] = {
     "tokenize": "SELECT word FROM (" + _WORDS + ")",
     "word_pairs": "SELECT word, 1 AS one FROM (" + _WORDS + ")",
     "word_count": _COUNTS,
+    "pair_word_count": "SELECT word, CAST(sum(one) AS BIGINT) AS n FROM (SELECT word, 1 AS one FROM (" + _WORDS + ")) GROUP BY word",
     "count_word": "SELECT n, word FROM (" + _COUNTS + ")",
     "top_words": _TOP,
     "top_words_report": _REPORT,
