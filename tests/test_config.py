@@ -27,3 +27,12 @@ def test_cluster_conf_keeps_aqe_and_ui_off():
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert conf["spark.ui.enabled"] == "false"
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+def test_apply_to_session_sets_hadoop_options(spark):
+    from wordfold.sources.object_store import apply_to_session
+
+    apply_to_session(spark, s3a_options("store.test:9000"))
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert hconf.get("fs.s3a.endpoint") == "store.test:9000"
+    assert hconf.get("fs.s3a.path.style.access") == "true"
