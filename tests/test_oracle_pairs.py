@@ -38,3 +38,10 @@ def test_entry_smoke(spark):
     assert [f.simpleString() for f in df.schema.fields] == ["n:bigint", "word:string"]
     rows = df.collect()
     assert 0 < len(rows) <= 100
+
+
+def test_every_query_has_a_stable_schema(spark):
+    for name, q in queries().items():
+        if name in ("report_roundtrip", "file_lines", "file_top_words_report"):
+            continue  # these write files on call; covered by their oracle pairs
+        assert q(spark, SF01).schema == q(spark, SF01).schema, name
