@@ -20,3 +20,38 @@ def test_stream_counts_grow_with_new_files(spark, tmp_path):
         assert second == [(3, "dog"), (2, "the"), (1, "")]
     finally:
         q.stop()
+
+
+def test_incremental_top_words_equals_batch_ranking(spark, tmp_path):
+    from wordfold.plans.jobs import top_words_of_files
+    from wordfold.streaming import latest_top_words, start_incremental_top_words
+
+    src = tmp_path / "in"
+    src.mkdir()
+    out = str(tmp_path / "ranked")
+    texts = [
+        "a a a b b c\n",  # top 2: a(3) b(2)
+        "c c c d\n",  # c reaches 4 and passes a
+        "d d d d b b b\n",  # d (not ranked before) reaches 5; b reaches 5
+    ]
+    q = start_incremental_top_words(spark, str(src), out, k=2)
+    try:
+        for i, text in enumerate(texts):
+            (src / f"part{i}.txt").write_text(text, encoding="utf-8")
+            q.processAllAvailable()
+            files = [str(src / f"part{j}.txt") for j in range(i + 1)]
+            want = [tuple(r) for r in top_words_of_files(spark, files, k=2).collect()]
+            got = [tuple(r) for r in latest_top_words(spark, out).collect()]
+            assert got == want, i
+        assert got == [(5, "b"), (5, "d")]
+    finally:
+        q.stop()
+
+
+def test_merge_keeps_words_that_did_not_change(spark):
+    from wordfold.streaming import merge_top_words
+
+    prev = spark.createDataFrame([(9, "x"), (7, "y")], "n bigint, word string")
+    changed = spark.createDataFrame([("z", 8), ("w", 1)], "word string, n bigint")
+    got = [tuple(r) for r in merge_top_words(prev, changed, 2).collect()]
+    assert got == [(9, "x"), (8, "z")]

@@ -1,5 +1,19 @@
 """Structured Streaming entry points for the same word pipeline."""
 
-from wordfold.streaming.words import start_top_words, top_words_stream, word_counts_stream
+from wordfold.streaming.words import (
+    latest_top_words,
+    merge_top_words,
+    start_incremental_top_words,
+    start_top_words,
+    top_words_stream,
+    word_counts_stream,
+)
 
-__all__ = ["start_top_words", "top_words_stream", "word_counts_stream"]
+__all__ = [
+    "latest_top_words",
+    "merge_top_words",
+    "start_incremental_top_words",
+    "start_top_words",
+    "top_words_stream",
+    "word_counts_stream",
+]
