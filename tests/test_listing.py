@@ -137,3 +137,13 @@ def test_mtime_is_carried_for_files_only(spark):
         "d": ("empty_dir", None, None),
         "a": ("dir", None, None),
     }
+
+
+def test_strict_listing_raises_for_a_missing_path(inv):
+    from wordfold.operators import path_exists
+
+    assert path_exists(inv, "") and path_exists(inv, "a") and path_exists(inv, "h") and path_exists(inv, "d")
+    assert not path_exists(inv, "zzz") and not path_exists(inv, "a/b")
+    with pytest.raises(FileNotFoundError):
+        list_children(inv, "zzz", strict=True)
+    assert listing(list_children(inv, "a", strict=True)) == [("b.txt", False, 10), ("c", True, 0)]

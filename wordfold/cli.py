@@ -87,7 +87,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             result = {"int_sum": int_sum(ints).collect()[0][0]}
         print(json.dumps(result))
     elif args.command == "list":
-        listing = list_children(spark.read.parquet(args.inventory), args.path)
+        listing = list_children(spark.read.parquet(args.inventory), args.path, strict=True)
         if args.output:
             listing.write.mode("overwrite").parquet(args.output)
             print(json.dumps({"listing": args.output}))

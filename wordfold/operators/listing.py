@@ -72,7 +72,21 @@ def _file_status_of(inventory: DataFrame, key: str) -> DataFrame:
     )
 
 
-def list_children(inventory: DataFrame, path: str = "") -> DataFrame:
+def path_exists(inventory: DataFrame, path: str) -> bool:
+    """Whether ``path`` is a file or a directory (runs one bounded job: ``limit(1)``).
+
+    The root exists when the inventory has any key.
+    """
+    key = path_key(path)
+    k = F.col("key")
+    if not key:
+        hits = inventory
+    else:
+        hits = inventory.where((k == key) | k.startswith(key + DELIMITER))
+    return len(hits.select("key").limit(1).collect()) > 0
+
+
+def list_children(inventory: DataFrame, path: str = "", strict: bool = False) -> DataFrame:
     """Delimiter listing of ``path``: ``name string, is_dir boolean, length bigint``.
 
     * an object one level below is a file with its size;
@@ -81,7 +95,8 @@ def list_children(inventory: DataFrame, path: str = "") -> DataFrame:
     * the directory's own marker and ``*_$folder$`` objects are skipped;
     * if ``path`` names a file (the exact key, or a ``path/`` object of non-zero
       size), the listing is that one file;
-    * a missing path lists nothing.
+    * a missing path lists nothing, or with ``strict=True`` raises
+      ``FileNotFoundError`` (checked eagerly by ``path_exists``).
 
     The prefix filter is a ``startsWith`` pushed into the scan. Children are one
     hash aggregate on ``(name, is_dir)`` with a map-side partial step, so a
@@ -90,6 +105,8 @@ def list_children(inventory: DataFrame, path: str = "") -> DataFrame:
     anti join on the map side; the children are never shuffled for it.
     """
     key = path_key(path)
+    if strict and not path_exists(inventory, key):
+        raise FileNotFoundError(f"No such file or directory: {path!r}")
     k = F.col("key")
     with_mtime = _has_mtime(inventory)
     mtime = [F.col(MTIME)] if with_mtime else []
