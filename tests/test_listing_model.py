@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from wordfold.operators import list_children, path_key, path_status
 
-SEGMENT = st.sampled_from(["a", "b", "c", "a_$folder$"])
+SEGMENT = st.sampled_from(["a", "b", "c", "", "a_$folder$"])
 KEY = st.builds(
     lambda segs, slash: "/".join(segs) + ("/" if slash else ""),
     st.lists(SEGMENT, min_size=1, max_size=3),

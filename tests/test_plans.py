@@ -48,10 +48,13 @@ def test_path_status_join_reuses_aggregate_partitioning(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert tree.count("Join") == 1
-    # both join inputs come straight from their aggregates: no exchange between
+    # the fact side (the join's last child) comes straight from its aggregate:
+    # no exchange between them; only the manifest is shuffled on its key stem
     lines = tree.splitlines()
     join_at = next(i for i, line in enumerate(lines) if "Join" in line)
-    assert all("Exchange" not in line for line in lines[join_at + 1 : join_at + 3])
+    indent = len(lines[join_at]) - len(lines[join_at].lstrip(" +-:"))
+    right = next(i for i in range(len(lines) - 1, join_at, -1) if lines[i][indent:].startswith("+- "))
+    assert "Sort" in lines[right] and "HashAggregate" in lines[right + 1]
 
 
 def test_hot_key_split_broadcasts_only_bounded_sides(spark):

@@ -153,89 +153,85 @@ def list_children(inventory: DataFrame, path: str = "", strict: bool = False) ->
     )
 
 
-# Kinds of facts one inventory key gives about manifest keys:
-# 0 exact object, 1 marker object (key + '/'), 2 directory prefix with its
-# trailing '/', 3 the same prefix without it.
+# Facts are keyed by a key's "stem": the key with one trailing '/' removed.
+# The object ``x`` (kind 0), the object ``x/`` (kind 1) and "some key lies under
+# the prefix ``x/``" (kind 2) all land on stem ``x``, and a manifest key finds
+# every fact it needs under its own stem. The root gets its own kind (3),
+# because the prefix '/' also has the stem ''.
 #
-# Each inventory key is exploded over j = 0 .. 2 * (number of parts):
-# j = 0 exact, 1 marker, 2 the root; j >= 3 is ancestor a = (j - 1) div 2, odd
-# j without and even j with its trailing '/'.
+# Each inventory key with d delimiters is exploded over j = 0 .. d + 1:
+# j = 0 the key's own object, j = 1 the root, j >= 2 its ancestor prefix j - 1.
+_STEM_SQL = "CASE WHEN endswith({c}, '/') THEN substring({c}, 1, length({c}) - 1) ELSE {c} END"
 _FACT_KEY_SQL = (
-    "CASE WHEN j = 0 THEN key "
-    "WHEN j = 1 THEN substring(key, 1, length(key) - 1) "
-    "WHEN j = 2 THEN '' "
-    "WHEN j % 2 = 1 THEN array_join(slice(parts, 1, greatest(CAST((j - 1) div 2 AS INT), 1)), '/') "
-    "ELSE concat(array_join(slice(parts, 1, greatest(CAST((j - 1) div 2 AS INT), 1)), '/'), '/') END"
+    "CASE WHEN j = 0 THEN " + _STEM_SQL.format(c="key") + " WHEN j = 1 THEN '' "
+    "ELSE array_join(slice(parts, 1, greatest(j - 1, 1)), '/') END"
 )
-_FACT_KIND_SQL = "CASE WHEN j <= 1 THEN j WHEN j % 2 = 0 THEN 2 ELSE 3 END"
+_FACT_KIND_SQL = "CASE WHEN j = 0 THEN IF(endswith(key, '/'), 1, 0) WHEN j = 1 THEN 3 ELSE 2 END"
 _FACT_AGGS = [
-    "bool_or(kind = 0) AS exact_found",
-    "max(CASE WHEN kind = 0 THEN size END) AS exact_size",
-    "bool_or(kind = 1) AS marker_found",
-    "max(CASE WHEN kind = 1 THEN size END) AS marker_size",
-    "bool_or(kind = 2) AS dir_self",
-    "bool_or(kind = 3) AS dir_stripped",
+    "bool_or(kind = 0) AS plain_found",
+    "max(CASE WHEN kind = 0 THEN size END) AS plain_size",
+    "bool_or(kind = 1) AS slashed_found",
+    "max(CASE WHEN kind = 1 THEN size END) AS slashed_size",
+    "bool_or(kind = 2) AS has_children",
+    "bool_or(kind = 3) AS root_has_keys",
 ]
 _FACT_MTIME_AGGS = [
-    "max(CASE WHEN kind = 0 THEN mtime END) AS exact_mtime",
-    "max(CASE WHEN kind = 1 THEN mtime END) AS marker_mtime",
+    "max(CASE WHEN kind = 0 THEN mtime END) AS plain_mtime",
+    "max(CASE WHEN kind = 1 THEN mtime END) AS slashed_mtime",
 ]
 
 
 def key_facts(inventory: DataFrame) -> DataFrame:
-    """Everything the inventory says about any key, one row per key.
-
-    ``k, exact_found, exact_size, marker_found, marker_size, dir_self, dir_stripped``
-    (+ ``exact_mtime, marker_mtime`` when the inventory has ``mtime``):
-
-    * ``exact_*``: object ``k`` exists (and its size);
-    * ``marker_*``: object ``k + '/'`` exists (and its size);
-    * ``dir_self``: some key starts with ``k`` where ``k`` is ``''`` or ends in ``/``;
-    * ``dir_stripped``: some key starts with ``k + '/'``.
-
-    Each inventory key of depth d is exploded (one ``Generate``, in codegen)
-    into its exact fact, its marker fact and 2 facts per ancestor directory,
-    then grouped by ``k``. Ancestors repeat across keys (the root is in every
-    key), so the map-side partial aggregate folds them before the shuffle.
+    """Everything the inventory says about any key stem, one row per stem ``k``.
+
+    * ``plain_found, plain_size``: object ``k`` exists (and its size);
+    * ``slashed_found, slashed_size``: object ``k + '/'`` exists (and its size);
+    * ``has_children``: some key starts with ``k + '/'``;
+    * ``root_has_keys`` (only for ``k = ''``): the inventory is not empty;
+    * ``plain_mtime, slashed_mtime`` when the inventory has ``mtime``.
+
+    Each inventory key of depth d is exploded (one ``Generate``, in codegen) into
+    2 + d facts: its own object, the root and one per ancestor directory. The
+    facts are then grouped by stem. Ancestors repeat across keys (the root is in
+    every key), so the map-side partial aggregate folds them before the shuffle.
     """
     mtime = [MTIME] if _has_mtime(inventory) else []
-    facts = (
-        inventory.selectExpr(
-            "key",
-            "CAST(size AS BIGINT) AS size",
-            *mtime,
-            "split(key, '/') AS parts",
-            "explode(sequence(0, 2 * size(split(key, '/')))) AS j",
-        )
-        .where("j <> 1 OR endswith(key, '/')")
-        .selectExpr(f"{_FACT_KEY_SQL} AS k", f"{_FACT_KIND_SQL} AS kind", "size", *mtime)
-    )
+    facts = inventory.selectExpr(
+        "key",
+        "CAST(size AS BIGINT) AS size",
+        *mtime,
+        "split(key, '/') AS parts",
+        "explode(sequence(0, size(split(key, '/')))) AS j",
+    ).selectExpr(f"{_FACT_KEY_SQL} AS k", f"{_FACT_KIND_SQL} AS kind", "size", *mtime)
     aggs = _FACT_AGGS + (_FACT_MTIME_AGGS if mtime else [])
     return facts.groupBy("k").agg(*[F.expr(a) for a in aggs])
 
 
 def _status_sql(key: str) -> tuple[str, str, str]:
     """SQL for ``status``, ``length`` and ``mtime`` of manifest key column ``key``
-    over the columns of ``key_facts`` (NULL facts: the key is unknown)."""
+    over the ``key_facts`` of its stem (NULL facts: nothing is known about it).
+
+    A key ending in ``/`` is looked up as the object ``stem/`` and then as a
+    directory; any other key as the object, then its ``key/`` marker, then as a
+    directory; the root only as a directory.
+    """
     k = f"`{key}`"
-    dir_like = f"({k} = '' OR endswith({k}, '/'))"
-    exact = f"({k} <> '' AND exact_found)"
-    exact_dir = f"(endswith({k}, '/') AND exact_size = 0)"
-    marker = f"(NOT {dir_like} AND marker_found)"
+    plain = f"(NOT endswith({k}, '/') AND plain_found)"
     status = (
-        f"CASE WHEN {exact} THEN IF({exact_dir}, '{STATUS_EMPTY_DIR}', '{STATUS_FILE}') "
-        f"WHEN {marker} THEN IF(marker_size = 0, '{STATUS_EMPTY_DIR}', '{STATUS_FILE}') "
-        f"WHEN IF({dir_like}, dir_self, dir_stripped) THEN '{STATUS_DIR}' "
+        f"CASE WHEN {k} = '' THEN IF(root_has_keys, '{STATUS_DIR}', '{STATUS_MISSING}') "
+        f"WHEN {plain} THEN '{STATUS_FILE}' "
+        f"WHEN slashed_found THEN IF(slashed_size = 0, '{STATUS_EMPTY_DIR}', '{STATUS_FILE}') "
+        f"WHEN has_children THEN '{STATUS_DIR}' "
         f"ELSE '{STATUS_MISSING}' END"
     )
 
-    def of_file(exact_col: str, marker_col: str) -> str:
+    def of_file(plain_col: str, slashed_col: str) -> str:
         return (
-            f"CASE WHEN {exact} THEN IF({exact_dir}, NULL, {exact_col}) "
-            f"WHEN {marker} AND marker_size <> 0 THEN {marker_col} END"
+            f"CASE WHEN {k} = '' THEN NULL WHEN {plain} THEN {plain_col} "
+            f"WHEN slashed_found AND slashed_size <> 0 THEN {slashed_col} END"
         )
 
-    return status, f"CAST({of_file('exact_size', 'marker_size')} AS BIGINT)", of_file("exact_mtime", "marker_mtime")
+    return status, f"CAST({of_file('plain_size', 'slashed_size')} AS BIGINT)", of_file("plain_mtime", "slashed_mtime")
 
 
 def path_status(
@@ -260,11 +256,11 @@ def path_status(
 
     ``length`` (and ``mtime`` if the inventory has it) is set for files only.
 
-    Plan: all facts come from ``key_facts`` (grouped by key, so at most one row
-    per manifest key) and every manifest row meets them in one left join.
-    Spark sizes that join: a small fact table is broadcast, a large one meets
-    the manifest in a shuffle join whose fact side keeps the partitioning of its
-    aggregate (no second exchange).
+    Plan: all facts come from ``key_facts`` (grouped by key stem, so at most one
+    row per manifest key) and every manifest row meets them in one left join on
+    its stem. Spark sizes that join: a small fact table is broadcast, a large
+    one meets the manifest in a shuffle join whose fact side keeps the
+    partitioning of its aggregate (no second exchange).
 
     Skew: a manifest key that repeats for a large share of the rows would put
     all of them into one join task, and AQE cannot split it because the fact
@@ -279,24 +275,26 @@ def path_status(
     """
     facts = key_facts(inventory)
     fact_cols = [c for c in facts.columns if c != "k"]
-    m = F.col(key_col)
+    stemmed = manifest.withColumn("_stem", F.expr(_STEM_SQL.format(c=f"`{key_col}`")))
+    stem = F.col("_stem")
     if split_hot_keys:
-        hot = hot_keys(manifest, key_col, hot_sample_fraction, hot_min_sampled_rows, hot_max_keys).select(
+        hot = hot_keys(stemmed, "_stem", hot_sample_fraction, hot_min_sampled_rows, hot_max_keys).select(
             F.col("key").alias("k")
         )
-        # Each hot key with its facts, if any. Both sides have <= hot_max_keys
-        # rows (facts are unique per key), so both broadcasts are bounded.
+        # Each hot stem with its facts, if any. Both sides have <= hot_max_keys
+        # rows (facts are unique per stem), so both broadcasts are bounded.
         hot_facts = hot.join(F.broadcast(facts.join(F.broadcast(hot), "k", "left_semi")), "k", "left")
         hot_side = hot_facts.select(
             F.col("k").alias("_hot_k"), *[F.col(c).alias("_hot_" + c) for c in fact_cols]
         )
-        # A hot row's shuffle key is its key salted with the id of the map task
+        # A hot row's shuffle key is its stem salted with the id of the map task
         # it came from: the same on any retry of that task (row positions may
         # not be), so a lost executor cannot move a row to another reducer.
-        tagged = manifest.join(F.broadcast(hot_side), m == F.col("_hot_k"), "left").withColumn(
+        tagged = stemmed.join(F.broadcast(hot_side), stem == F.col("_hot_k"), "left").withColumn(
             "_jk",
-            F.when(F.col("_hot_k").isNotNull(), F.concat(m, F.lit("\u0000"), F.spark_partition_id().cast("string")))
-            .otherwise(m),
+            F.when(
+                F.col("_hot_k").isNotNull(), F.concat(stem, F.lit("\u0000"), F.spark_partition_id().cast("string"))
+            ).otherwise(stem),
         )
         joined = tagged.join(facts.alias("f"), (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
         # at most one side has facts for a row: the broadcast (hot) or the join
@@ -305,7 +303,7 @@ def path_status(
             *[F.coalesce(F.col("_hot_" + c), F.col("f." + c)).alias(c) for c in fact_cols],
         )
     else:
-        resolved = manifest.join(facts, m == facts["k"], "left")
+        resolved = stemmed.join(facts, stem == facts["k"], "left")
 
     status, length, mtime = _status_sql(key_col)
     out = [F.expr(status).alias("status"), F.expr(length).alias("length")]
