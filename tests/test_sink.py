@@ -59,3 +59,27 @@ def test_files_job_end_to_end(spark, tmp_path):
 
 def test_shared_dir_comes_from_session(spark):
     assert shared_dir(spark).startswith(("file:", "/")) and "checkpoints" in shared_dir(spark)
+
+
+def test_shared_dir_is_never_a_local_fallback_on_a_cluster():
+    from wordfold import session as ws
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError):
+        ws.shared_dir(Session())

@@ -62,8 +62,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and written tables.
 
     Read from the session (``SparkContext.setCheckpointDir`` or
-    ``spark.checkpoint.dir``). Only when neither is set, as in a local test
-    session, a fresh local folder is made and registered as the checkpoint dir.
+    ``spark.checkpoint.dir``). Only when neither is set in a local-mode session
+    (tests), a fresh local folder is made and registered as the checkpoint dir;
+    on a cluster an unset folder is an error, never a driver-local fallback.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -73,6 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
     if sc is not None:
         d = sc.getCheckpointDir() or d or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            # a folder on the driver's disk is not shared with the executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="wordfold-shared-")
         if sc is not None:
             sc.setCheckpointDir(d)
