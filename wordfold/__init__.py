@@ -11,6 +11,7 @@ from wordfold.operators import (
     int_sum,
     int_sum_wrap32,
     list_children,
+    path_exists,
     path_status,
     report,
     sum_pairs,
@@ -42,6 +43,7 @@ __all__ = [
     "int_sum",
     "int_sum_wrap32",
     "list_children",
+    "path_exists",
     "path_status",
     "report",
     "sum_pairs",
