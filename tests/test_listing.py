@@ -147,3 +147,9 @@ def test_strict_listing_raises_for_a_missing_path(inv):
     with pytest.raises(FileNotFoundError):
         list_children(inv, "zzz", strict=True)
     assert listing(list_children(inv, "a", strict=True)) == [("b.txt", False, 10), ("c", True, 0)]
+
+
+def test_path_status_keeps_odd_manifest_column_names(spark, inv):
+    manifest = spark.createDataFrame([("a", 1)], "key string, `tag.id` int")
+    rows = path_status(manifest, inv).collect()
+    assert rows[0]["tag.id"] == 1 and rows[0]["status"] == "dir"

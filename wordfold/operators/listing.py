@@ -299,7 +299,7 @@ def path_status(
         joined = tagged.join(facts.alias("f"), (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
         # at most one side has facts for a row: the broadcast (hot) or the join
         resolved = joined.select(
-            *[F.col(c) for c in manifest.columns],
+            *[F.col(f"`{c}`") for c in manifest.columns],
             *[F.coalesce(F.col("_hot_" + c), F.col("f." + c)).alias(c) for c in fact_cols],
         )
     else:
@@ -309,4 +309,4 @@ def path_status(
     out = [F.expr(status).alias("status"), F.expr(length).alias("length")]
     if _has_mtime(inventory):
         out.append(F.expr(mtime).alias(MTIME))
-    return resolved.select(*[F.col(c) for c in manifest.columns], *out)
+    return resolved.select(*[F.col(f"`{c}`") for c in manifest.columns], *out)
