@@ -26,7 +26,9 @@ SCALE_CONF: dict[str, str] = {
 
 # Added on a cluster: size partitions by bytes (not by core count) so that a
 # 100 TB input gives ~128 MB tasks, and start shuffles wide enough for the
-# largest stage; AQE then coalesces the small ones.
+# largest stage; AQE then coalesces the small ones but never splits big ones, so
+# set spark.sql.shuffle.partitions to about (largest shuffle bytes) / 200 MB,
+# e.g. 50000 for a 10 TB word-count shuffle of a very large vocabulary.
 CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.shuffle.partitions": "20000",
