@@ -1,6 +1,6 @@
 """Run a registered query in Spark and its oracle SQL in DuckDB, and compare.
 
-Comparison: same column names, same row count, same multiset of rows
+Comparison: same column names and types, same row count, same multiset of rows
 (order-insensitive; floats rounded). Usable from pytest and as a script::
 
     python tests/oracle.py /root/testdata/sf0.01 [name ...]
@@ -50,16 +50,33 @@ def _rows(cols, rows):
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark type -> DuckDB type of the same values.
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, name: str, query, sql: str, sf_dir: str, con=None) -> tuple[bool, str]:
     df = query(spark, sf_dir)
     s_cols = df.columns
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     s_rows = [tuple(r) for r in df.collect()]
     con = con or duck(sf_dir)
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
+    d_types = {c[0]: str(c[1]) for c in res.description}
     d_rows = res.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"{name}: columns {s_cols} vs {d_cols}"
+    for c in s_cols:
+        if SAME_TYPE.get(s_types[c], s_types[c]) != d_types[c]:
+            return False, f"{name}: column {c} is {s_types[c]} in Spark but {d_types[c]} in DuckDB"
     if len(s_rows) != len(d_rows):
         return False, f"{name}: rows {len(s_rows)} vs {len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
