@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def is_narrow(df: DataFrame, min_partitions: int | None = None) -> bool | None:
+    """Whether ``df``'s scan has fewer partitions than task slots (None: unknown)."""
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        return df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD view (e.g. a Spark Connect session)
+        return None
+
+
+def spread_if_narrow(
+    df: DataFrame, min_partitions: int | None = None, narrow: bool | None = None
+) -> DataFrame:
     """Round-robin ``df`` over the task slots if its scan has fewer partitions.
 
     A parquet file with one huge row group (or a single unsplittable file) is
@@ -13,14 +24,12 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     partial counts) would run on one core. Only then is the input spread; a
     large input already has at least as many partitions as slots and is
     returned unchanged, so at scale no shuffle is added. Reading the partition
-    count plans the scan but runs no job.
+    count plans the scan but runs no job; a caller that already knows the answer
+    (``narrow``) skips that. Spreading never changes results, only speed.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the input as it is
-        return df
-    if current >= target:
+    if narrow is None:
+        narrow = is_narrow(df, min_partitions)
+    if not narrow:
         return df
-    return df.repartition(target)
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
 

@@ -31,7 +31,7 @@ from wordfold.operators import (
     word_pairs,
 )
 from wordfold.plans.jobs import top_words_of_lines
-from wordfold.plans.partitioning import spread_if_narrow
+from wordfold.plans.partitioning import is_narrow, spread_if_narrow
 from wordfold.session import new_output_path
 from wordfold.sinks.text import write_text
 from wordfold.sources.tables import read_table
@@ -54,9 +54,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- building blocks over the driver tables ---------------------------------
 
 
+# (session, table dir) -> is the documents scan narrower than the task slots?
+# Only a speed decision: a stale entry can never change a result.
+_NARROW: dict[tuple[int, str], bool | None] = {}
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table, spread over the task slots if its scan is narrower."""
-    return spread_if_narrow(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    key = (id(spark), sf_dir)
+    if key not in _NARROW:
+        _NARROW[key] = is_narrow(docs)
+    return spread_if_narrow(docs, narrow=_NARROW[key])
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
