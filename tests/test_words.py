@@ -81,3 +81,20 @@ def test_top_words_over_two_tables_counts_across_both(spark):
     b = spark.createDataFrame([("y y",)], "text string")
     got = [tuple(r) for r in top_words_of_columns([a, b], "text", k=10).collect()]
     assert got == [(3, "y"), (2, "x")]
+
+
+def test_text_source_reads_directories_globs_and_several_paths(spark, tmp_path):
+    from wordfold.sources import read_text_lines
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.txt").write_text("x1\nx2\n", encoding="utf-8")
+    (tmp_path / "y.txt").write_text("y1\n", encoding="utf-8")
+    (tmp_path / "y.log").write_text("skip\n", encoding="utf-8")
+    both = read_text_lines(spark, [str(tmp_path / "d"), str(tmp_path / "*.txt")])
+    assert sorted(r.value for r in both.collect()) == ["x1", "x2", "y1"]
+
+
+def test_union_all_matches_columns_by_name_and_keeps_duplicates(spark):
+    a = spark.createDataFrame([(1, "a")], "n int, w string")
+    b = spark.createDataFrame([("a", 1), ("b", 2)], "w string, n int")
+    assert sorted(tuple(r) for r in union_all(a, b, a).collect()) == [(1, "a"), (1, "a"), (1, "a"), (2, "b")]
