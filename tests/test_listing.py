@@ -153,3 +153,14 @@ def test_path_status_keeps_odd_manifest_column_names(spark, inv):
     manifest = spark.createDataFrame([("a", 1)], "key string, `tag.id` int")
     rows = path_status(manifest, inv).collect()
     assert rows[0]["tag.id"] == 1 and rows[0]["status"] == "dir"
+
+
+def test_repeated_inventory_keys_fold_like_a_dedupe(spark, inv):
+    doubled = inv.unionByName(spark.createDataFrame([("a/b.txt", 3), ("h", 0), ("e/", 2)], "key string, size bigint"))
+    deduped = doubled.groupBy("key").agg({"size": "max"}).withColumnRenamed("max(size)", "size")
+    for path in ("", "a", "e"):
+        assert listing(list_children(doubled, path)) == listing(list_children(deduped, path))
+    manifest = spark.createDataFrame([(k,) for k in STATUS], "key string")
+    a = sorted(tuple(r) for r in path_status(manifest, doubled).collect())
+    b = sorted(tuple(r) for r in path_status(manifest, deduped).collect())
+    assert a == b

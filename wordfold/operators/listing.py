@@ -1,7 +1,9 @@
 """Object-store metadata questions as table jobs over a key inventory.
 
 The inventory is ``key string, size bigint`` and optionally ``mtime timestamp``
-(one row per object key, see ``wordfold.sources.inventory``). Keys use ``/``
+(one row per object key, see ``wordfold.sources.inventory``; a key that
+repeats counts once, with its largest size and mtime, so an inventory need not
+be deduplicated first). Keys use ``/``
 as the directory delimiter. A key ending in ``/`` with size 0 is a directory
 marker. When the inventory has ``mtime``, file rows of the results carry it
 (directories have none).

@@ -87,8 +87,10 @@ def wrap_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(((F.col("l_orderkey") % 1000) * 2000000).cast("int").alias("x"))
 
 
-def page_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keys_from_urls(table(spark, sf_dir, "pages"))
+def page_inventory(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
+    """Pages as an object inventory. The listing and status operators fold
+    repeated keys themselves, so they read it with ``dedupe=False``."""
+    return keys_from_urls(table(spark, sf_dir, "pages"), dedupe=dedupe)
 
 
 def page_manifest(inv: DataFrame) -> DataFrame:
@@ -205,11 +207,11 @@ def q_key_inventory(spark, sf_dir):
 
 
 def q_list_children(spark, sf_dir):
-    return list_children(page_inventory(spark, sf_dir), "")
+    return list_children(page_inventory(spark, sf_dir, dedupe=False), "")
 
 
 def q_path_status(spark, sf_dir):
-    inv = page_inventory(spark, sf_dir)
+    inv = page_inventory(spark, sf_dir, dedupe=False)
     # The manifest is deduplicated, so no key repeats and there is no hot key to split.
     return path_status(page_manifest(inv), inv, split_hot_keys=False).select("key", "status", "length")
 
@@ -220,7 +222,7 @@ def q_page_status(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     key = F.regexp_replace("url", "^https?://", "")
     manifest = pages.select("page_id", F.explode(F.array(key, F.substring_index(key, "/", 1))).alias("key"))
-    return path_status(manifest, keys_from_urls(pages)).select("page_id", "key", "status", "length")
+    return path_status(manifest, keys_from_urls(pages, dedupe=False)).select("page_id", "key", "status", "length")
 
 
 def q_object_inventory(spark, sf_dir):

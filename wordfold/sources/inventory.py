@@ -43,18 +43,19 @@ def keys_from_files(files: DataFrame) -> DataFrame:
     return files.select(*cols)
 
 
-def keys_from_urls(df: DataFrame, url_col: str = "url", body_col: str = "html") -> DataFrame:
+def keys_from_urls(
+    df: DataFrame, url_col: str = "url", body_col: str = "html", dedupe: bool = True
+) -> DataFrame:
     """Web pages as objects: key = URL without ``http(s)://``, size = body length.
 
-    A key seen more than once keeps its largest size (one object per key). The
-    dedupe is a hash aggregate with a map-side partial step, so a key that holds
-    a large share of the rows is combined before the shuffle.
+    With ``dedupe`` a key seen more than once keeps its largest size (one object
+    per key): a hash aggregate with a map-side partial step, so a key that holds
+    a large share of the rows is combined before the shuffle. ``list_children``
+    and ``path_status`` already fold repeated keys the same way in their own
+    aggregates, so they can take ``dedupe=False`` and save that shuffle.
     """
-    return (
-        df.select(
-            F.regexp_replace(url_col, _WEB_SCHEME, "").alias("key"),
-            F.length(body_col).cast("bigint").alias("size"),
-        )
-        .groupBy("key")
-        .agg(F.max("size").alias("size"))
+    keys = df.select(
+        F.regexp_replace(url_col, _WEB_SCHEME, "").alias("key"),
+        F.length(body_col).cast("bigint").alias("size"),
     )
+    return keys.groupBy("key").agg(F.max("size").alias("size")) if dedupe else keys
