@@ -135,6 +135,12 @@ def q_text_lines(spark, sf_dir):
 
 
 def q_line_union_all(spark, sf_dir):
+    """Bag union of two inputs (the English and the French documents' lines).
+
+    Two inputs are two scans. Where both come from one table, one scan with
+    ``lang IN ('en', 'fr')`` gives the same bag; for text files, several paths
+    are one scan (``file_lines``).
+    """
     docs = documents(spark, sf_dir)
     return union_all(
         lines_from_column(docs.where(F.col("lang") == "en"), "text"),
