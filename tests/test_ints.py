@@ -47,7 +47,7 @@ def test_nulls_negatives_and_zero(spark):
 
 
 def test_thousand_random_ints(spark):
-    rng = random.Random(20160825)
+    rng = random.Random(1234)
     values = [rng.randint(-(2**31), 2**31 - 1) for _ in range(1000)]
     df = ints_from_list(spark, values)
     assert one(int_sum(df)) == sum(values)
@@ -55,7 +55,7 @@ def test_thousand_random_ints(spark):
     assert one(even_count(df)) == sum(1 for v in values if v % 2 == 0)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=25, deadline=None, derandomize=True)
 @given(st.lists(INT32, max_size=60), st.integers(min_value=1, max_value=9))
 def test_wrap32_is_modular_sum_for_any_partitioning(spark, values, parts):
     df = ints_from_list(spark, values).repartition(parts)
