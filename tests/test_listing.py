@@ -122,7 +122,7 @@ def test_object_inventory_reads_metadata_only(spark, tmp_path):
 def test_mtime_is_carried_for_files_only(spark):
     import datetime as dt
 
-    t = [dt.datetime(2016, 8, 25, h) for h in range(8)]
+    t = [dt.datetime(2024, 1, 2, h) for h in range(8)]
     inv = spark.createDataFrame(
         [(k, s, t[i]) for i, (k, s) in enumerate(INVENTORY)], "key string, size bigint, mtime timestamp"
     )
