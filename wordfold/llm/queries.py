@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from wordfold.llm.decontaminate import q_decontamination
 from wordfold.llm.quality import q_quality
+from wordfold.llm.simhash import q_simhash
 
 QUERIES = {
     "op1_quality": q_quality,
+    "op7_decontamination": q_decontamination,
+    "op10_simhash": q_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
