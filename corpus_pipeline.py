@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from wordfold.llm.common import stored, table
+from wordfold.llm.decontaminate import decontaminate
+from wordfold.llm.mixing import mix_documents
+from wordfold.llm.pii import redact
 from wordfold.llm.quality import quality_filter
+from wordfold.llm.simhash import simhash_dedup
 
 
 def rules(spark, docs, sf_dir):
@@ -11,8 +15,32 @@ def rules(spark, docs, sf_dir):
     return quality_filter(docs)
 
 
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each SimHash component: the one with the smallest id."""
+    return simhash_dedup(docs)
+
+
+def benchmark(spark, docs, sf_dir):
+    """Documents without a passage of the benchmark."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark, docs, sf_dir):
+    """All documents, with personal data replaced by its kind."""
+    return redact(docs)
+
+
+def mixture(spark, docs, sf_dir):
+    """All documents, with the number of words that the mix takes of each (``taken``)."""
+    return mix_documents(docs)
+
+
 STAGES = [
     ("quality_rules", rules),
+    ("simhash_dedup", near_duplicates),
+    ("decontamination", benchmark),
+    ("personal_data", personal_data),
+    ("mixing", mixture),
 ]
 
 #: The stages are not all expressible in SQL; tests hold them against brute force.

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from wordfold.llm.decontaminate import q_decontamination
+from wordfold.llm.mixing import q_mixing
 from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
 from wordfold.llm.simhash import q_simhash
 
 QUERIES = {
     "op1_quality": q_quality,
+    "op6_mixing": q_mixing,
     "op7_decontamination": q_decontamination,
     "op8_pii": q_pii,
     "op10_simhash": q_simhash,
