@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from wordfold.llm.chat import q_chat
 from wordfold.llm.decontaminate import q_decontamination
 from wordfold.llm.mixing import q_mixing
 from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
 from wordfold.llm.simhash import q_simhash
+from wordfold.llm.warc import q_warc
 
 QUERIES = {
     "op1_quality": q_quality,
+    "op3_chat": q_chat,
+    "op5_warc": q_warc,
     "op6_mixing": q_mixing,
     "op7_decontamination": q_decontamination,
     "op8_pii": q_pii,
