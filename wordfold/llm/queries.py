@@ -8,6 +8,7 @@ from wordfold.llm.mixing import q_mixing
 from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
 from wordfold.llm.simhash import q_simhash
+from wordfold.llm.substring import q_substring
 from wordfold.llm.warc import q_warc
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_mixing": q_mixing,
     "op7_decontamination": q_decontamination,
     "op8_pii": q_pii,
+    "op9_substring": q_substring,
     "op10_simhash": q_simhash,
 }
 
