@@ -9,10 +9,12 @@ from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
 from wordfold.llm.simhash import q_simhash
 from wordfold.llm.substring import q_substring
+from wordfold.llm.suffix import q_suffix
 from wordfold.llm.warc import q_warc
 
 QUERIES = {
     "op1_quality": q_quality,
+    "op2_suffix": q_suffix,
     "op3_chat": q_chat,
     "op5_warc": q_warc,
     "op6_mixing": q_mixing,
