@@ -116,9 +116,9 @@ def _sent(keys: Keys, splitters: np.ndarray) -> list[tuple[int, bytes]]:
     return out
 
 
-def _combine(payloads: list[bytes], two: bool, how: str) -> list[bytes]:
+def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], int]:
     """Answers to each payload: for ``sum`` the totals, for ``min`` which keys have different values
-    and their smallest."""
+    and their smallest. Also the number of odd keys with a sum over zero."""
     first, second, values, many, sizes = [], [], [], [], []
     for p in payloads:
         n, low = struct.unpack_from("<Iq", p)
@@ -135,7 +135,8 @@ def _combine(payloads: list[bytes], two: bool, how: str) -> list[bytes]:
     keys = Keys(np.concatenate(first), v, np.concatenate(second) if two else None, how)
     if how == "sum":
         mine = keys.values[keys.group]
-        return [planes(x.view(np.uint64)) for x in np.split(mine, np.cumsum(sizes)[:-1])]
+        odd = int(np.count_nonzero((keys.values > 0) & ((keys.first & np.uint64(1)) == 1)))
+        return [planes(x.view(np.uint64)) for x in np.split(mine, np.cumsum(sizes)[:-1])], odd
     np.logical_or.at(keys.many, keys.group, np.concatenate(many))
     differ, least = keys.many[keys.group], keys.values[keys.group]
     out = []
@@ -143,7 +144,7 @@ def _combine(payloads: list[bytes], two: bool, how: str) -> list[bytes]:
         x = x[d]
         low = int(x.min()) if len(x) else 0
         out.append(struct.pack("<q", low) + np.packbits(d).tobytes() + planes((x - low).view(np.uint64)))
-    return out
+    return out, 0
 
 
 class Answers:
@@ -222,17 +223,23 @@ class Blocks:
             d, rows = prepared(rows)
             return run(d, Answers(answers), rows)
 
-        return grouped.cogroup(self.answers.groupBy("block")).applyInArrow(told, schema)
+        mine = self.answers.where("block >= 0")
+        return grouped.cogroup(mine.groupBy("block")).applyInArrow(told, schema)
+
+    def odd_keys(self, kind: str) -> int:
+        """The number of odd keys with a sum over zero, of a ``sum``."""
+        own = self.answers.where((F.col("block") < 0) & (F.col("kind") == kind))
+        return int(own.agg(F.coalesce(F.sum("bucket"), F.lit(0))).first()[0])
 
     def learn(self, answers: DataFrame) -> None:
         self.answers = answers if self.answers is None else self.answers.union(answers)
 
-    def ask(self, kind: str, find: Callable[[Docs, Answers], Keys], splitters: np.ndarray | None = None, two: bool = False) -> None:
+    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys], splitters: np.ndarray | None = None, two: bool = False) -> None:
         """Combine the keys that ``find`` gives for each block; the answers are of ``kind``."""
         split = self.splitters if splitters is None else splitters
 
         def send(docs: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-            keys = find(docs, answers)
+            keys = find(docs, answers, rows)
             out = _sent(keys, split)
             block = rows.column("block")[0].as_py()
             return pa.table(
@@ -245,13 +252,14 @@ class Blocks:
             )
 
         def combine(rows: pa.Table) -> pa.Table:
-            payloads = _combine(rows.column("payload").to_pylist(), two, rows.column("how")[0].as_py())
+            payloads, odd = _combine(rows.column("payload").to_pylist(), two, rows.column("how")[0].as_py())
+            # block -1 is nobody's: it counts for the whole corpus
             return pa.table(
                 {
-                    "block": rows.column("block"),
-                    "kind": pa.array([kind] * rows.num_rows, pa.string()),
-                    "bucket": rows.column("bucket"),
-                    "payload": pa.array(payloads, pa.binary()),
+                    "block": pa.array([*rows.column("block").to_pylist(), -1], pa.int64()),
+                    "kind": pa.array([kind] * (rows.num_rows + 1), pa.string()),
+                    "bucket": pa.array([*rows.column("bucket").to_pylist(), odd], pa.int64()),
+                    "payload": pa.array([*payloads, b""], pa.binary()),
                 }
             )
 

@@ -7,6 +7,7 @@ from wordfold.llm.decontaminate import q_decontamination
 from wordfold.llm.mixing import q_mixing
 from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
+from wordfold.llm.scoring import q_scoring
 from wordfold.llm.simhash import q_simhash
 from wordfold.llm.substring import q_substring
 from wordfold.llm.suffix import q_suffix
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_quality": q_quality,
     "op2_suffix": q_suffix,
     "op3_chat": q_chat,
+    "op4_scoring": q_scoring,
     "op5_warc": q_warc,
     "op6_mixing": q_mixing,
     "op7_decontamination": q_decontamination,

@@ -179,7 +179,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
     id. ``kept`` is what is left, its words joined by one space."""
     blocks = Blocks(docs, "substring")
     split = blocks.splitters
-    blocks.ask("kmer", lambda d, _: _Sampled(d, k, window).asked())
+    blocks.ask("kmer", lambda d, _, rows: _Sampled(d, k, window).asked())
 
     def graph(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
         s = _Sampled(d, k, window)
@@ -222,7 +222,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
 
     blocks.learn(stored(on.select("block", "k").groupBy("block").applyInArrow(packed, ANSWERS), "substring-path"))
 
-    def verify(d: Docs, answers: Answers) -> Keys:
+    def verify(d: Docs, answers: Answers, rows: pa.Table) -> Keys:
         s = _Sampled(d, k, window)
         _, place, start = _checked(s, answers, split, k, window)
         return Keys(_hashes(s, place, start), s.id[place], None, "min")

@@ -163,10 +163,10 @@ def suffix_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
     blocks = Blocks(docs, "suffix")
     even = blocks.splitters
     split = sampled_splitters(blocks, k, window)
-    blocks.ask("gram", lambda d, _: _Grams(d, k, window).grams())
-    blocks.ask("sparse", lambda d, t: _sparse(_Grams(d, k, window), t, even)[1], split, two=True)
-    blocks.ask("needed", lambda d, t: _needed(_Grams(d, k, window), t, even, split)[2])
-    blocks.ask("dense", lambda d, t: _dense(_Grams(d, k, window), t, even, split)[3], split, two=True)
+    blocks.ask("gram", lambda d, _, rows: _Grams(d, k, window).grams())
+    blocks.ask("sparse", lambda d, t, rows: _sparse(_Grams(d, k, window), t, even)[1], split, two=True)
+    blocks.ask("needed", lambda d, t, rows: _needed(_Grams(d, k, window), t, even, split)[2])
+    blocks.ask("dense", lambda d, t, rows: _dense(_Grams(d, k, window), t, even, split)[3], split, two=True)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def remove(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
