@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from wordfold.cli import main
 
 
@@ -37,7 +39,9 @@ def test_list_and_status(spark, tmp_path, capsys):
     spark.createDataFrame([("a",), ("c",), ("z",)], "key string").write.parquet(man)
     out = str(tmp_path / "listing")
     run(capsys, spark, ["list", "--inventory", inv, "--output", out])
-    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("a", True, 0), ("c", False, 1)]
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("a", True, 0, "a"), ("c", False, 1, "c")]
+    with pytest.raises(SystemExit):  # a listing is never cut to what fits a screen
+        main(["list", "--inventory", inv], spark=spark)
     out = str(tmp_path / "status")
     run(capsys, spark, ["status", "--inventory", inv, "--manifest", man, "--output", out])
     got = {r.key: r.status for r in spark.read.parquet(out).collect()}

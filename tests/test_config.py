@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordfold.session import cluster_conf
+from wordfold.session import CLUSTER_CONF, SCALE_CONF, cluster_conf, defaults
 from wordfold.sources.object_store import as_spark_conf, s3a_options
 
 
@@ -29,6 +29,14 @@ def test_cluster_conf_keeps_aqe_and_ui_off():
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
 
 
+def test_defaults_never_override_what_the_user_set():
+    given = {"spark.sql.files.maxPartitionBytes": "1m", "spark.master": "local[2]"}
+    assert "spark.sql.files.maxPartitionBytes" not in defaults(given=given)
+    assert set(defaults(given=given)) == set(SCALE_CONF) - set(given)
+    cluster = defaults("yarn", given={"spark.sql.shuffle.partitions": "7"})
+    assert set(cluster) == (set(SCALE_CONF) | set(CLUSTER_CONF)) - {"spark.sql.shuffle.partitions"}
+
+
 def test_apply_to_session_sets_hadoop_options(spark):
     from wordfold.sources.object_store import apply_to_session
 

@@ -97,6 +97,14 @@ def test_exact_file_wins_over_children(spark):
     assert listing(list_children(inv, "")) == [("p", False, 3), ("p", True, 0)]
 
 
+def test_empty_names_and_newlines(spark):
+    inv = spark.createDataFrame([("a//b", 1), ("a/c", 2), ("/x", 3), ("n\n", 4), ("n\n/z", 5)], "key string, size bigint")
+    assert listing(list_children(inv, "a")) == [("c", False, 2)]
+    assert listing(list_children(inv, "")) == [("a", True, 0), ("n\n", False, 4), ("n\n", True, 0)]
+    assert listing(list_children(inv, "n\n")) == [("n\n", False, 4)]
+    assert [r.key for r in list_children(inv, "a").collect()] == ["a/c"]
+
+
 def test_path_key():
     assert path_key("") == "" and path_key("/") == ""
     assert path_key("/a//b/") == "a/b"
@@ -114,9 +122,9 @@ def test_object_inventory_reads_metadata_only(spark, tmp_path):
     root = str(tmp_path).lstrip("/")
     assert keys == [(f"{root}/two.txt", 1), (f"{root}/x/one.txt", 5)]
     # a listing over the real files: files carry their modification time
-    rows = sorted(tuple(r) for r in list_children(inv, str(tmp_path)).collect())
+    rows = sorted(list_children(inv, str(tmp_path)).collect())
     assert [r[:3] for r in rows] == [("two.txt", False, 1), ("x", True, 0)]
-    assert rows[0][3] is not None and rows[1][3] is None
+    assert rows[0].mtime is not None and rows[1].mtime is None
 
 
 def test_mtime_is_carried_for_files_only(spark):
@@ -128,7 +136,7 @@ def test_mtime_is_carried_for_files_only(spark):
     )
     root = {r.name: (r.is_dir, r.length, r.mtime) for r in list_children(inv, "").collect()}
     assert root["h"] == (False, 0, t[7]) and root["a"] == (True, 0, None)
-    assert [tuple(r) for r in list_children(inv, "e").collect()] == [("e", False, 7, t[4])]
+    assert [tuple(r) for r in list_children(inv, "e").collect()] == [("e", False, 7, "e", t[4])]
     manifest = spark.createDataFrame([("a/b.txt",), ("e",), ("d",), ("a",)], "key string")
     got = {r.key: (r.status, r.length, r.mtime) for r in path_status(manifest, inv).collect()}
     assert got == {

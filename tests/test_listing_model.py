@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from wordfold.operators import list_children, path_key, path_status
 
-SEGMENT = st.sampled_from(["a", "b", "c", "", "a_$folder$"])
+SEGMENT = st.sampled_from(["a", "b", "c", "", "a\n", "a_$folder$"])
 KEY = st.builds(
     lambda segs, slash: "/".join(segs) + ("/" if slash else ""),
     st.lists(SEGMENT, min_size=1, max_size=3),
@@ -37,23 +37,26 @@ def model_status(inv: dict[str, int], key: str) -> tuple[str, int | None]:
     return "missing", None
 
 
-def model_listing(inv: dict[str, int], path: str) -> list[tuple[str, bool, int]]:
+def model_listing(inv: dict[str, int], path: str) -> list[tuple[str, bool, int, str]]:
     key = path_key(path)
     status, size = model_status(inv, key)
     if status == "missing":
         return []
     if status == "file":
-        return [(key.rsplit("/", 1)[-1], False, size)]
+        return [(key.rsplit("/", 1)[-1], False, size, key)]
     prefix = key + "/" if key else ""
     out = set()
     for k, sz in inv.items():
         if not k.startswith(prefix) or k == prefix:
             continue
         rest = k[len(prefix) :]
+        name = rest.split("/", 1)[0]
+        if name == "":
+            continue  # "a//b" under "a" is "a" itself again
         if "/" in rest:
-            out.add((rest.split("/", 1)[0], True, 0))
+            out.add((name, True, 0, prefix + name))
         elif not rest.endswith("_$folder$"):
-            out.add((rest, False, sz))
+            out.add((name, False, sz, prefix + name))
     return sorted(out)
 
 
@@ -77,7 +80,7 @@ def test_path_status_matches_model(spark, inv):
 
 
 @settings(max_examples=10, deadline=None, derandomize=True)
-@given(INVENTORY, st.sampled_from(["", "a", "b", "a/b", "a/c", "a_$folder$"]))
+@given(INVENTORY, st.sampled_from(["", "a", "b", "a/b", "a/c", "a\n", "a_$folder$"]))
 def test_list_children_matches_model(spark, inv, path):
     df = spark.createDataFrame(list(inv.items()), "key string, size bigint")
     got = sorted(tuple(r) for r in list_children(df, path).collect())

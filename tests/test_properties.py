@@ -94,7 +94,7 @@ def test_hot_key_split_gives_the_same_rows(spark):
         .alias("key"),
         F.col("id"),
     )
-    split = path_status(man, inv, hot_sample_fraction=1.0, hot_min_sampled_rows=100)
+    split = path_status(man, inv, hot_sample_fraction=1.0, hot_share=0.1)
     plain = path_status(man, inv, split_hot_keys=False)
     a = sorted(tuple(r) for r in split.collect())
     b = sorted(tuple(r) for r in plain.collect())
@@ -103,13 +103,40 @@ def test_hot_key_split_gives_the_same_rows(spark):
     assert counts["file"] >= 2 * n // 3 and counts["dir"] >= 2 * n // 3
 
 
-def test_spread_only_when_the_scan_is_narrower_than_the_slots(spark):
-    from wordfold.plans.partitioning import spread_if_narrow
-    from wordfold.plans.inspect import physical_tree
+def _reducer_rows(spark, df) -> list[int]:
+    """Rows of each task after the join, with fixed partitions and no broadcast."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return [r["count"] for r in df().groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_and_hot_keys_are_spread_over_the_reducers(spark):
+    n = 40_000
+    inv = spark.range(100).select(F.concat(F.lit("d/"), F.col("id").cast("string")).alias("key"), F.lit(1).alias("size"))
+    hot = F.when(F.col("id") % 2 == 0, F.lit(None)).when(F.col("id") % 4 == 1, F.lit("d")).otherwise(
+        F.concat(F.lit("x"), F.col("id").cast("string"))
+    )
+    man = spark.range(0, n, 1, 64).select(hot.cast("string").alias("key"))
+    rows = _reducer_rows(spark, lambda: path_status(man, inv, hot_sample_fraction=1.0))
+    assert sum(rows) == n and max(rows) < n / 4  # half of the rows are null, a quarter is one key
+    plain = path_status(man, inv, split_hot_keys=False)
+    split = path_status(man, inv, hot_sample_fraction=1.0)
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_every_hot_key_is_split_and_hot_keys_may_be_unknown(spark):
+    from wordfold.operators.skew import hot_keys
 
-    slots = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 100, 1, 1)
-    wide = spark.range(0, 100, 1, slots + 2)
-    assert "Exchange" in physical_tree(spread_if_narrow(narrow))
-    assert spread_if_narrow(narrow).rdd.getNumPartitions() == slots
-    assert spread_if_narrow(wide) is wide
+    n = 30_000
+    man = spark.range(0, n, 1, 32).select(F.concat(F.lit("k"), (F.col("id") % 1500).cast("string")).alias("key"))
+    assert hot_keys(man, "key", min_share=1 / 3000, sample_fraction=1.0).count() == 1500
+    assert hot_keys(man, "key", min_share=1 / 1000, sample_fraction=1.0).count() == 0
+    inv = spark.createDataFrame([("k1", 5)], "key string, size bigint")  # all others are not in it
+    got = Counter(r.status for r in path_status(man, inv, hot_share=1 / 3000, hot_sample_fraction=1.0).collect())
+    assert got == {"file": n // 1500, "missing": n - n // 1500}

@@ -10,11 +10,10 @@ from wordfold.operators import (
     sum_pairs,
     tokenize,
     top_words,
-    top_words_report,
     word_count,
     word_pairs,
 )
-from wordfold.plans.jobs import top_words_of_columns, top_words_of_lines
+from wordfold.plans.jobs import top_words_of_lines
 from wordfold.sources import lines_from_column, union_all
 
 SF01 = "/root/testdata/sf0.01"
@@ -56,7 +55,7 @@ def test_top_k_larger_than_vocabulary_and_zero(spark):
 
 def test_empty_input_gives_empty_report(spark):
     df = lines_df(spark, [])
-    assert top_words_report(word_count(tokenize(df))).count() == 0
+    assert report(top_words(word_count(tokenize(df)))).count() == 0
 
 
 def test_report_format_and_order(spark):
@@ -79,7 +78,7 @@ def test_token_total_and_union_counts(spark):
 def test_top_words_over_two_tables_counts_across_both(spark):
     a = spark.createDataFrame([("x y",), ("x",)], "text string")
     b = spark.createDataFrame([("y y",)], "text string")
-    got = [tuple(r) for r in top_words_of_columns([a, b], "text", k=10).collect()]
+    got = [tuple(r) for r in top_words_of_lines(union_all(*[lines_from_column(x, "text", line_col="value") for x in (a, b)]), k=10).collect()]
     assert got == [(3, "y"), (2, "x")]
 
 
@@ -98,3 +97,15 @@ def test_union_all_matches_columns_by_name_and_keeps_duplicates(spark):
     a = spark.createDataFrame([(1, "a")], "n int, w string")
     b = spark.createDataFrame([("a", 1), ("b", 2)], "w string, n int")
     assert sorted(tuple(r) for r in union_all(a, b, a).collect()) == [(1, "a"), (1, "a"), (1, "a"), (2, "b")]
+
+
+def test_a_path_given_twice_counts_twice_and_adds_no_column(spark, tmp_path):
+    from wordfold.sources import read_text_lines
+
+    folder = tmp_path / "t" / "lang=en"
+    folder.mkdir(parents=True)
+    (folder / "a.txt").write_text("x\ny\n", encoding="utf-8")
+    for path in (str(tmp_path / "t"), str(folder), str(folder / "a.txt")):
+        twice = read_text_lines(spark, [path, path])
+        assert twice.columns == ["value"]
+        assert sorted(r.value for r in twice.collect()) == ["x", "x", "y", "y"]

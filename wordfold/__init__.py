@@ -17,7 +17,6 @@ from wordfold.operators import (
     sum_pairs,
     tokenize,
     top_words,
-    top_words_report,
     word_count,
     word_pairs,
 )
@@ -49,7 +48,6 @@ __all__ = [
     "sum_pairs",
     "tokenize",
     "top_words",
-    "top_words_report",
     "word_count",
     "word_pairs",
     "write_text",

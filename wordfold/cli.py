@@ -3,13 +3,14 @@
     python -m wordfold top-words --input a.txt --input b.txt --output out/ [--k 100]
     python -m wordfold int-sum --table t.parquet --column x [--wrap32]
     python -m wordfold even-count --table t.parquet --column x
-    python -m wordfold list --inventory inv.parquet [--path dir] [--output out/]
+    python -m wordfold list --inventory inv.parquet [--path dir] --output out/
     python -m wordfold status --inventory inv.parquet --manifest man.parquet --output out/
 
 Object-store inputs (``s3a://...``) take ``--s3a-endpoint`` (and optionally
 ``--s3a-ssl``); credentials come from the S3A provider chain, never from flags.
-Scalar results are printed as one JSON line; tables are written as parquet
-(or, without ``--output``, a listing prints its first rows).
+Scalar results are printed as one JSON line; tables are written as parquet.
+Session settings of the library are defaults: what ``spark-submit --conf`` or the
+session already sets is kept.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import SparkSession
 
 from wordfold.operators import even_count, int_sum, int_sum_wrap32, list_children, path_status
 from wordfold.plans.jobs import write_top_words_report
-from wordfold.session import SCALE_CONF
+from wordfold.session import defaults
 from wordfold.sources import int_column
 from wordfold.sources.object_store import as_spark_conf, s3a_options
 
@@ -49,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     ls = sub.add_parser("list", help="delimiter listing over a key inventory (key, size[, mtime])")
     ls.add_argument("--inventory", required=True, help="parquet path")
     ls.add_argument("--path", default="", help="directory to list (default: root)")
-    ls.add_argument("--output", help="parquet directory for the listing")
+    ls.add_argument("--output", required=True, help="parquet directory for the listing")
 
     st = sub.add_parser("status", help="file / empty_dir / dir / missing for every manifest key")
     st.add_argument("--inventory", required=True, help="parquet path")
@@ -63,7 +64,7 @@ def _session(args: argparse.Namespace) -> SparkSession:
     builder = SparkSession.builder.appName(f"wordfold-{args.command}")
     if args.master:
         builder = builder.master(args.master)
-    for k, v in SCALE_CONF.items():
+    for k, v in defaults(args.master).items():
         builder = builder.config(k, v)
     if args.s3a_endpoint:
         for k, v in as_spark_conf(s3a_options(args.s3a_endpoint, ssl=args.s3a_ssl)).items():
@@ -88,11 +89,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(json.dumps(result))
     elif args.command == "list":
         listing = list_children(spark.read.parquet(args.inventory), args.path, strict=True)
-        if args.output:
-            listing.write.mode("overwrite").parquet(args.output)
-            print(json.dumps({"listing": args.output}))
-        else:
-            listing.show(20, truncate=False)
+        listing.write.mode("overwrite").parquet(args.output)
+        print(json.dumps({"listing": args.output}))
     elif args.command == "status":
         statuses = path_status(spark.read.parquet(args.manifest), spark.read.parquet(args.inventory), args.key_column)
         statuses.write.mode("overwrite").parquet(args.output)

@@ -9,7 +9,6 @@ from wordfold.operators.words import (
     sum_pairs,
     tokenize,
     top_words,
-    top_words_report,
     word_count,
     word_pairs,
 )
@@ -31,7 +30,6 @@ __all__ = [
     "sum_pairs",
     "tokenize",
     "top_words",
-    "top_words_report",
     "word_count",
     "word_pairs",
 ]

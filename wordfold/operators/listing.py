@@ -31,6 +31,9 @@ STATUS_MISSING = "missing"
 
 MTIME = "mtime"
 
+# A key with one trailing delimiter removed (its "stem").
+_STEM_SQL = "CASE WHEN endswith({c}, '/') THEN substring({c}, 1, length({c}) - 1) ELSE {c} END"
+
 _MAX_LEN = 2**31 - 1
 
 
@@ -67,7 +70,7 @@ def _file_status_of(inventory: DataFrame, key: str) -> DataFrame:
         out.append(F.when(has_exact, F.col("exact_mtime")).otherwise(F.col("marker_mtime")).alias(MTIME))
     return (
         inventory.where(k.isin(key, marker))
-        .groupBy(F.regexp_replace(k, "/$", "").alias("parent"))
+        .groupBy(F.expr(_STEM_SQL.format(c="key")).alias("parent"))
         .agg(*aggs)
         .where(has_exact | (F.col("marker") > 0))
         .select("parent", *out)
@@ -89,12 +92,16 @@ def path_exists(inventory: DataFrame, path: str) -> bool:
 
 
 def list_children(inventory: DataFrame, path: str = "", strict: bool = False) -> DataFrame:
-    """Delimiter listing of ``path``: ``name string, is_dir boolean, length bigint``.
+    """Delimiter listing of ``path``: ``name string, is_dir boolean, length bigint, key string``.
+
+    ``key`` is the child's own key (``path/name``), so that listings of several
+    directories can be put together.
 
     * an object one level below is a file with its size;
     * anything deeper collapses into its first component, a directory of
       length 0 (a child's own ``c/`` marker folds into the same entry);
-    * the directory's own marker and ``*_$folder$`` objects are skipped;
+    * the directory's own marker and ``*_$folder$`` objects are skipped, and so is
+      a child with an empty name (``a//b`` under ``a``: it is ``a`` itself again);
     * if ``path`` names a file (the exact key, or a ``path/`` object of non-zero
       size), the listing is that one file;
     * a missing path lists nothing, or with ``strict=True`` raises
@@ -137,13 +144,14 @@ def list_children(inventory: DataFrame, path: str = "", strict: bool = False) ->
             "size",
             *mtime,
         )
-        .where((F.col("rest") != "") & (F.col("is_dir") | ~F.col("rest").endswith(FOLDER_SUFFIX)))
+        .where((F.col("name") != "") & (F.col("is_dir") | ~F.col("rest").endswith(FOLDER_SUFFIX)))
         .groupBy("name", "is_dir")
         .agg(F.max("size").alias("size"), *[F.max(c).alias(MTIME) for c in mtime])
         .select(
             "name",
             "is_dir",
             F.when(F.col("is_dir"), F.lit(0).cast("bigint")).otherwise(F.col("size")).alias("length"),
+            F.concat(F.lit(prefix), "name").alias("key"),
             *[F.when(~F.col("is_dir"), F.col(MTIME)).alias(MTIME) for _ in mtime],
         )
     )
@@ -151,7 +159,7 @@ def list_children(inventory: DataFrame, path: str = "", strict: bool = False) ->
         return children
     name = key.rsplit(DELIMITER, 1)[-1]
     return children.unionByName(
-        status.select(F.lit(name).alias("name"), F.lit(False).alias("is_dir"), "length", *mtime)
+        status.select(F.lit(name).alias("name"), F.lit(False).alias("is_dir"), "length", F.lit(key).alias("key"), *mtime)
     )
 
 
@@ -163,7 +171,6 @@ def list_children(inventory: DataFrame, path: str = "", strict: bool = False) ->
 #
 # Each inventory key with d delimiters is exploded over j = 0 .. d + 1:
 # j = 0 the key's own object, j = 1 the root, j >= 2 its ancestor prefix j - 1.
-_STEM_SQL = "CASE WHEN endswith({c}, '/') THEN substring({c}, 1, length({c}) - 1) ELSE {c} END"
 _FACT_KEY_SQL = (
     "CASE WHEN j = 0 THEN " + _STEM_SQL.format(c="key") + " WHEN j = 1 THEN '' "
     "ELSE array_join(slice(parts, 1, greatest(j - 1, 1)), '/') END"
@@ -241,9 +248,9 @@ def path_status(
     inventory: DataFrame,
     key_col: str = "key",
     split_hot_keys: bool = True,
+    hot_share: float | None = None,
     hot_sample_fraction: float = 0.01,
-    hot_min_sampled_rows: int = 1000,
-    hot_max_keys: int = 1000,
+    salts: int = 64,
 ) -> DataFrame:
     """Status of every manifest key: manifest columns + ``status string, length bigint``.
 
@@ -261,51 +268,38 @@ def path_status(
     Plan: all facts come from ``key_facts`` (grouped by key stem, so at most one
     row per manifest key) and every manifest row meets them in one left join on
     its stem. Spark sizes that join: a small fact table is broadcast, a large
-    one meets the manifest in a shuffle join whose fact side keeps the
-    partitioning of its aggregate (no second exchange).
+    one meets the manifest in a shuffle join.
 
     Skew: a manifest key that repeats for a large share of the rows would put
-    all of them into one join task, and AQE cannot split it because the fact
-    side is not a plain shuffle. So hot keys (``hot_keys``: found from a sample,
-    at most ``hot_max_keys`` of them) take their facts from a broadcast on the
-    map side, and their rows enter the shuffle under salt keys (key + map task
-    id) that are barred from matching, so they spread over the reducers. Every
-    row is still processed; the sample only decides which keys take the
-    broadcast path. A caller whose manifest has one row per key (e.g. after
-    ``distinct``) cannot have hot keys and may pass ``split_hot_keys=False`` to
-    skip the detection pass.
+    all of them into one join task. So the join key is stem and salt. The stems
+    found by ``hot_keys`` (at most ``1 / hot_share``, so they may be broadcast) have
+    their facts once for each of ``salts`` salts, and their manifest rows take the salt of
+    the map task they come from: the same on any retry of that task. Other stems
+    have salt 0. NULL keys match nothing; they are spread over the reducers by
+    their map task under salt -1. Every row is joined once; the sample only
+    decides which stems are salted. A caller whose manifest has one row per key
+    (e.g. after ``distinct``) may pass ``split_hot_keys=False`` to skip the detection.
     """
     facts = key_facts(inventory)
-    fact_cols = [c for c in facts.columns if c != "k"]
     stemmed = manifest.withColumn("_stem", F.expr(_STEM_SQL.format(c=f"`{key_col}`")))
-    stem = F.col("_stem")
     if split_hot_keys:
-        hot = hot_keys(stemmed, "_stem", hot_sample_fraction, hot_min_sampled_rows, hot_max_keys).select(
-            F.col("key").alias("k")
-        )
-        # Each hot stem with its facts, if any. Both sides have <= hot_max_keys
-        # rows (facts are unique per stem), so both broadcasts are bounded.
-        hot_facts = hot.join(F.broadcast(facts.join(F.broadcast(hot), "k", "left_semi")), "k", "left")
-        hot_side = hot_facts.select(
-            F.col("k").alias("_hot_k"), *[F.col(c).alias("_hot_" + c) for c in fact_cols]
-        )
-        # A hot row's shuffle key is its stem salted with the id of the map task
-        # it came from: the same on any retry of that task (row positions may
-        # not be), so a lost executor cannot move a row to another reducer.
-        tagged = stemmed.join(F.broadcast(hot_side), stem == F.col("_hot_k"), "left").withColumn(
-            "_jk",
-            F.when(
-                F.col("_hot_k").isNotNull(), F.concat(stem, F.lit("\u0000"), F.spark_partition_id().cast("string"))
-            ).otherwise(stem),
-        )
-        joined = tagged.join(facts.alias("f"), (F.col("_jk") == F.col("f.k")) & F.col("_hot_k").isNull(), "left")
-        # at most one side has facts for a row: the broadcast (hot) or the join
-        resolved = joined.select(
+        hot = hot_keys(stemmed, "_stem", hot_share, hot_sample_fraction).select(F.col("key").alias("_hot"))
+        task = F.spark_partition_id()
+        tagged = stemmed.join(F.broadcast(hot), F.col("_stem") == F.col("_hot"), "left").select(
             *[F.col(f"`{c}`") for c in manifest.columns],
-            *[F.coalesce(F.col("_hot_" + c), F.col("f." + c)).alias(c) for c in fact_cols],
+            F.coalesce(F.col("_stem"), task.cast("string")).alias("_stem"),
+            F.when(F.col("_stem").isNull(), F.lit(-1))
+            .when(F.col("_hot").isNotNull(), F.pmod(task, F.lit(salts)))
+            .otherwise(F.lit(0))
+            .alias("_salt"),
+        )
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        salted = facts.join(F.broadcast(hot), F.col("k") == F.col("_hot"), "left").select(
+            *facts.columns, F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0)))).alias("_s")
         )
+        resolved = tagged.join(salted, (F.col("_stem") == F.col("k")) & (F.col("_salt") == F.col("_s")), "left")
     else:
-        resolved = stemmed.join(facts, stem == facts["k"], "left")
+        resolved = stemmed.join(facts, F.col("_stem") == facts["k"], "left")
 
     status, length, mtime = _status_sql(key_col)
     out = [F.expr(status).alias("status"), F.expr(length).alias("length")]

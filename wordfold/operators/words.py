@@ -68,8 +68,3 @@ def report(ranked: DataFrame) -> DataFrame:
     same ``TakeOrderedAndProject``.
     """
     return ranked.select(report_line("n", "word").alias("value"))
-
-
-def top_words_report(counts: DataFrame, k: int = DEFAULT_K) -> DataFrame:
-    """Top-k and formatting in one: ranked report lines."""
-    return report(top_words(counts, k))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordfold.operators.words import DEFAULT_K, report, tokenize, top_words, word_count
 from wordfold.sinks.text import write_text
-from wordfold.sources.text import lines_from_column, read_text_lines, union_all
+from wordfold.sources.text import read_text_lines
 
 
 def top_words_of_lines(lines: DataFrame, k: int = DEFAULT_K, line_col: str = "value") -> DataFrame:
@@ -17,16 +17,10 @@ def top_words_of_lines(lines: DataFrame, k: int = DEFAULT_K, line_col: str = "va
 
 
 def top_words_of_files(spark: SparkSession, paths: Sequence[str], k: int = DEFAULT_K) -> DataFrame:
-    """Top words over the union of text files (all files are one scan)."""
+    """Top words over the union of text files (one scan each)."""
     return top_words_of_lines(read_text_lines(spark, paths), k)
 
 
-def top_words_of_columns(inputs: Sequence[DataFrame], text_col: str = "text", k: int = DEFAULT_K) -> DataFrame:
-    """Top words over the bag union of the texts held in several tables."""
-    lines = union_all(*[lines_from_column(df, text_col, line_col="value") for df in inputs])
-    return top_words_of_lines(lines, k)
-
-
 def write_top_words_report(
     spark: SparkSession, paths: Sequence[str], out_path: str, k: int = DEFAULT_K
 ) -> str:

@@ -4,7 +4,7 @@ Every query reads whole tables (no id subsets, no row caps); the only limit is
 the top-k of the ranked report, which is the feature itself.
 
 Inputs used: ``documents.text`` (its languages stand in for separate text
-files), ``part.p_size`` and an int derived from ``lineitem.l_orderkey`` for the
+files, English and not), ``part.p_size`` and an int derived from ``lineitem.l_orderkey`` for the
 integer jobs, ``pages.url`` (scheme removed) as object keys.
 """
 
@@ -31,7 +31,6 @@ from wordfold.operators import (
     word_pairs,
 )
 from wordfold.plans.jobs import top_words_of_lines
-from wordfold.plans.partitioning import is_narrow, spread_if_narrow
 from wordfold.session import new_output_path
 from wordfold.sinks.text import write_text
 from wordfold.sources.tables import read_table
@@ -39,7 +38,6 @@ from wordfold.sources import (
     int_column,
     keys_from_urls,
     lines_from_column,
-    object_inventory,
     read_text_lines,
     union_all,
 )
@@ -47,25 +45,15 @@ from wordfold.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
-
-
 # --- building blocks over the driver tables ---------------------------------
 
-
-# (session, table dir) -> is the documents scan narrower than the task slots?
-# Only a speed decision: a stale entry can never change a result.
-_NARROW: dict[tuple[int, str], bool | None] = {}
+def is_english():
+    """Splits the table into two inputs that cover it (a null language is not English)."""
+    return F.coalesce(F.col("lang") == "en", F.lit(False))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table, spread over the task slots if its scan is narrower."""
-    docs = table(spark, sf_dir, "documents")
-    key = (id(spark), sf_dir)
-    if key not in _NARROW:
-        _NARROW[key] = is_narrow(docs)
-    return spread_if_narrow(docs, narrow=_NARROW[key])
+    return read_table(spark, sf_dir, "documents")
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,14 +71,14 @@ def doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wrap_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``x int`` values that overflow a 32-bit sum: (orderkey mod 1000) * 2,000,000."""
-    li = table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem")
     return li.select(((F.col("l_orderkey") % 1000) * 2000000).cast("int").alias("x"))
 
 
 def page_inventory(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
     """Pages as an object inventory. The listing and status operators fold
     repeated keys themselves, so they read it with ``dedupe=False``."""
-    return keys_from_urls(table(spark, sf_dir, "pages"), dedupe=dedupe)
+    return keys_from_urls(read_table(spark, sf_dir, "pages"), dedupe=dedupe)
 
 
 def page_manifest(inv: DataFrame) -> DataFrame:
@@ -111,11 +99,11 @@ def page_manifest(inv: DataFrame) -> DataFrame:
 
 
 def q_local_ints(spark, sf_dir):
-    return int_column(table(spark, sf_dir, "part"), "p_size")
+    return int_column(read_table(spark, sf_dir, "part"), "p_size")
 
 
 def q_int_sum(spark, sf_dir):
-    return int_sum(int_column(table(spark, sf_dir, "part"), "p_size"))
+    return int_sum(int_column(read_table(spark, sf_dir, "part"), "p_size"))
 
 
 def q_int_sum_wrap32(spark, sf_dir):
@@ -123,11 +111,11 @@ def q_int_sum_wrap32(spark, sf_dir):
 
 
 def q_even_rows(spark, sf_dir):
-    return even_rows(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_size")
+    return even_rows(read_table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_size")
 
 
 def q_even_count(spark, sf_dir):
-    return even_count(int_column(table(spark, sf_dir, "part"), "p_size"))
+    return even_count(int_column(read_table(spark, sf_dir, "part"), "p_size"))
 
 
 def q_text_lines(spark, sf_dir):
@@ -135,16 +123,11 @@ def q_text_lines(spark, sf_dir):
 
 
 def q_line_union_all(spark, sf_dir):
-    """Bag union of two inputs (the English and the French documents' lines).
-
-    Two inputs are two scans. Where both come from one table, one scan with
-    ``lang IN ('en', 'fr')`` gives the same bag; for text files, several paths
-    are one scan (``file_lines``).
-    """
+    """Bag union of two inputs: the English documents' lines and those of all others."""
     docs = documents(spark, sf_dir)
     return union_all(
-        lines_from_column(docs.where(F.col("lang") == "en"), "text"),
-        lines_from_column(docs.where(F.col("lang") == "fr"), "text"),
+        lines_from_column(docs.where(is_english()), "text"),
+        lines_from_column(docs.where(~is_english()), "text"),
     )
 
 
@@ -183,20 +166,31 @@ def q_report_roundtrip(spark, sf_dir):
     return spark.read.text(path)
 
 
-def export_doc_texts(spark: SparkSession, sf_dir: str, lang: str) -> str:
-    """Write the ``lang`` documents' texts as a text-file set in the shared folder.
+# (application, table folder) -> the text files written from it, one set per application
+_EXPORTS: dict[tuple[str, str], list[str]] = {}
+
+
+def export_doc_texts(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Write the documents' texts as two text-file sets in the shared folder, the English
+    ones and all others, once per application and table folder. Returns the two folders.
 
     Each text becomes its lines followed by one LF, so the files hold, per
-    document, the lines of ``text + LF``. Returns the directory written.
+    document, the lines of ``text + LF``.
     """
-    docs = table(spark, sf_dir, "documents").where(F.col("lang") == lang).select("text")
-    return write_text(docs, new_output_path(spark, f"documents-{lang}"))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EXPORTS:
+        docs = documents(spark, sf_dir)
+        _EXPORTS[key] = [
+            write_text(docs.where(part).select("text"), new_output_path(spark, f"documents-{name}"))
+            for name, part in (("en", is_english()), ("other", ~is_english()))
+        ]
+    return _EXPORTS[key]
 
 
 def text_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference job's input shape: two text-file sources read as lines
-    in one scan; here the English and the French documents, written by Spark."""
-    return read_text_lines(spark, [export_doc_texts(spark, sf_dir, "en"), export_doc_texts(spark, sf_dir, "fr")])
+    """The reference job's input shape: two text-file sources read as lines and united;
+    here the English documents and all others, written by Spark."""
+    return read_text_lines(spark, export_doc_texts(spark, sf_dir))
 
 
 def q_file_lines(spark, sf_dir):
@@ -216,6 +210,22 @@ def q_list_children(spark, sf_dir):
     return list_children(page_inventory(spark, sf_dir, dedupe=False), "")
 
 
+def q_list_children_dir(spark, sf_dir):
+    """The listing of one directory below the root: the first host that is not a key itself."""
+    inv = page_inventory(spark, sf_dir, dedupe=False)
+    hosts = inv.groupBy(F.substring_index("key", "/", 1).alias("host")).agg(
+        F.bool_or(F.col("key") == F.substring_index("key", "/", 1)).alias("is_key")
+    )
+    return list_children(inv, hosts.where("NOT is_key").agg(F.min("host")).first()[0] or "")
+
+
+def q_list_children_file(spark, sf_dir):
+    """The listing of a path that is a file: the first plain key."""
+    inv = page_inventory(spark, sf_dir, dedupe=False)
+    plain = inv.where("key <> '' AND NOT endswith(key, '/') AND NOT contains(key, '//') AND NOT startswith(key, '/')")
+    return list_children(inv, plain.agg(F.min("key")).first()[0] or "")
+
+
 def q_path_status(spark, sf_dir):
     inv = page_inventory(spark, sf_dir, dedupe=False)
     # The manifest is deduplicated, so no key repeats and there is no hot key to split.
@@ -224,15 +234,12 @@ def q_path_status(spark, sf_dir):
 
 def q_page_status(spark, sf_dir):
     """Status per page row of its own key and of its host: a manifest whose keys
-    repeat (one host per many pages), so the hot-key split is on."""
-    pages = table(spark, sf_dir, "pages")
+    repeat (one host per many pages). Every host with a hundredth of the rows is
+    taken as hot, from all rows, so the hot-key split is in use."""
+    pages = read_table(spark, sf_dir, "pages")
     key = F.regexp_replace("url", "^https?://", "")
     manifest = pages.select("page_id", F.explode(F.array(key, F.substring_index(key, "/", 1))).alias("key"))
-    return path_status(manifest, keys_from_urls(pages, dedupe=False)).select("page_id", "key", "status", "length")
-
-
-def q_object_inventory(spark, sf_dir):
-    return object_inventory(spark, sf_dir, glob="*.parquet")
+    return path_status(manifest, keys_from_urls(pages, dedupe=False), hot_share=0.01, hot_sample_fraction=1.0).select("page_id", "key", "status", "length")
 
 
 QUERIES: dict[str, Query] = {
@@ -255,9 +262,10 @@ QUERIES: dict[str, Query] = {
     "file_top_words_report": q_file_top_words_report,
     "key_inventory": q_key_inventory,
     "list_children": q_list_children,
+    "list_children_dir": q_list_children_dir,
+    "list_children_file": q_list_children_file,
     "path_status": q_path_status,
     "page_status": q_page_status,
-    "object_inventory": q_object_inventory,
 }
 
 
@@ -279,7 +287,7 @@ _REPORT = "SELECT concat(CAST(n AS VARCHAR), ' ', word) AS value FROM (" + _TOP
 # Lines of the documents written as text files: each text followed by one LF.
 _FILE_LINES = (
     r"SELECT unnest(string_split_regex(regexp_replace(text || chr(10), '(\r\n|\r|\n)\z', ''), "
-    r"'\r\n|\r|\n')) AS value FROM documents WHERE lang IN ('en', 'fr')"
+    r"'\r\n|\r|\n')) AS value FROM documents"
 )
 _FILE_WORDS = (
     "SELECT unnest(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN [] "
@@ -294,6 +302,16 @@ _INV = (
     "FROM pages GROUP BY 1"
 )
 
+# Children of the directory given by {dir}, whose keys start with {prefix}.
+_CHILDREN = (
+    "WITH inv AS (" + _INV + "), dir AS ({dir}), below AS ("
+    "SELECT {prefix} AS prefix, substr(key, length({prefix}) + 1) AS rest, size FROM inv, dir WHERE starts_with(key, {prefix})) "
+    "SELECT name, is_dir, CASE WHEN is_dir THEN CAST(0 AS BIGINT) ELSE max(size) END AS length, any_value(prefix) || name AS key FROM ("
+    "SELECT prefix, split_part(rest, '/', 1) AS name, instr(rest, '/') > 0 AS is_dir, size FROM below "
+    "WHERE NOT (instr(rest, '/') = 0 AND right(rest, 9) = '_$folder$')"
+    ") WHERE name <> '' GROUP BY name, is_dir"
+)
+
 # Status of every manifest row ({man}), first match wins; {cols} are the output keys.
 _STATUS = (
     "WITH inv AS (" + _INV + "), man AS ({man}) "
@@ -325,7 +343,7 @@ ORACLE_SQL: dict[str, str] = {
     "text_lines": "SELECT doc_id, line FROM (" + _LINES + ")",
     "line_union_all": (
         "SELECT line FROM (" + _LINES + ") WHERE lang = 'en' UNION ALL "
-        "SELECT line FROM (" + _LINES + ") WHERE lang = 'fr'"
+        "SELECT line FROM (" + _LINES + ") WHERE lang IS DISTINCT FROM 'en'"
     ),
     "tokenize": "SELECT word FROM (" + _WORDS + ")",
     "word_pairs": "SELECT word, 1 AS one FROM (" + _WORDS + ")",
@@ -338,11 +356,14 @@ ORACLE_SQL: dict[str, str] = {
     "file_lines": _FILE_LINES,
     "file_top_words_report": _FILE_REPORT,
     "key_inventory": _INV,
-    "list_children": (
-        "SELECT name, is_dir, CASE WHEN is_dir THEN CAST(0 AS BIGINT) ELSE max(size) END AS length FROM ("
-        "SELECT split_part(key, '/', 1) AS name, instr(key, '/') > 0 AS is_dir, size FROM (" + _INV + ") "
-        "WHERE key <> '' AND NOT (instr(key, '/') = 0 AND right(key, 9) = '_$folder$')"
-        ") GROUP BY name, is_dir"
+    "list_children": _CHILDREN.format(dir="SELECT '' AS d", prefix="''"),
+    "list_children_dir": _CHILDREN.format(
+        dir="SELECT min(split_part(key, '/', 1)) AS d FROM inv WHERE split_part(key, '/', 1) NOT IN (SELECT key FROM inv)",
+        prefix="d || '/'",
+    ),
+    "list_children_file": (
+        "WITH inv AS (" + _INV + ") SELECT split_part(key, '/', -1) AS name, false AS is_dir, size AS length, key FROM inv "
+        "WHERE key = (SELECT min(key) FROM inv WHERE key <> '' AND right(key, 1) <> '/' AND instr(key, '//') = 0 AND left(key, 1) <> '/')"
     ),
     "path_status": _STATUS.format(
         cols="m.key AS key",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,9 +32,6 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
 }
 
 
@@ -44,6 +40,25 @@ def cluster_conf() -> dict[str, str]:
     return {**SCALE_CONF, **CLUSTER_CONF}
 
 
+def submitted_conf() -> dict[str, str]:
+    """Settings that a launcher (``spark-submit --conf``, its properties file) has given this process."""
+    from pyspark import SparkConf, SparkContext
+
+    SparkContext._ensure_initialized()
+    return dict(SparkConf().getAll())
+
+
+def defaults(master: str | None = None, given: dict[str, str] | None = None) -> dict[str, str]:
+    """The library's settings for a session on ``master``, without any that the user has set.
+
+    A cluster master gets ``cluster_conf``, a local one ``SCALE_CONF``.
+    """
+    given = submitted_conf() if given is None else given
+    master = master or given.get("spark.master") or "local[*]"
+    conf = SCALE_CONF if master.startswith("local") else cluster_conf()
+    return {k: v for k, v in conf.items() if k not in given}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wordfold") -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -64,9 +79,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and written tables.
 
     Read from the session (``SparkContext.setCheckpointDir`` or
-    ``spark.checkpoint.dir``). Only when neither is set in a local-mode session
-    (tests), a fresh local folder is made and registered as the checkpoint dir;
-    on a cluster an unset folder is an error, never a driver-local fallback.
+    ``spark.checkpoint.dir``). Only where it is unset in a local-mode session
+    is a folder set: one below the warehouse folder, which such a session already
+    writes to. On a cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -80,7 +95,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not str(master).startswith("local"):
             # a folder on the driver's disk is not shared with the executors
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        d = tempfile.mkdtemp(prefix="wordfold-shared-")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/wordfold-shared"
         if sc is not None:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir() or d

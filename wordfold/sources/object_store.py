@@ -17,6 +17,9 @@ SSL_ENABLED = "fs.s3a.connection.ssl.enabled"
 PATH_STYLE = "fs.s3a.path.style.access"
 BLOCK_SIZE = "fs.s3a.block.size"
 PAGING_MAXIMUM = "fs.s3a.paging.maximum"
+# Defaults for the split size (32 MiB) and the listing page.
+DEFAULT_BLOCK_SIZE = 32 * 1024 * 1024
+DEFAULT_PAGING_MAXIMUM = 5000
 
 
 def s3a_options(
@@ -26,8 +29,8 @@ def s3a_options(
     secret_key: str | None = None,
     ssl: bool = False,
     path_style: bool = True,
-    block_size: int = 32 * 1024 * 1024,
-    paging_maximum: int = 5000,
+    block_size: int = DEFAULT_BLOCK_SIZE,
+    paging_maximum: int = DEFAULT_PAGING_MAXIMUM,
 ) -> dict[str, str]:
     """Hadoop options for an S3-compatible store at ``endpoint``.
 

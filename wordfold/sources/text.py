@@ -16,12 +16,13 @@ def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
     ``spark.read.text`` splits files into input partitions by
     ``spark.sql.files.maxPartitionBytes`` and breaks lines on LF, CR and CRLF,
-    so each executor reads its own byte range; several paths are one scan
-    (the same bag as a union of one scan per path).
+    so each executor reads its own byte range. Every path is a scan of its own
+    and the result is their bag union: a path given twice counts twice, and
+    ``key=value`` folders add no column.
     """
     if isinstance(paths, str):
         paths = [paths]
-    return spark.read.text(list(paths))
+    return union_all(*[spark.read.text(p).select("value") for p in paths])
 
 
 def lines_from_column(
