@@ -27,6 +27,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Few small rows that stand for much work, dealt over all tasks. The number is given, so
+    that AQE does not put them together again by their size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def text_bytes(column: str = "text"):
     """The text's UTF-8 bytes; a null text is empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordfold.llm.common import mix64, stored, table, text_bytes
+from wordfold.llm.common import mix64, spread, stored, table, text_bytes
 
 WEIGHTS = (3, 1, 2)
 TOTAL_PERCENT = 150
@@ -109,10 +109,10 @@ def mix_slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed:
     """``shard, sid, slot, block``: every slot of the mix and the block that fills it.
 
     ``sources`` is ``sid, source_size, target`` with the total number of slots as
-    ``total_slots``. Slots of a source are made in runs of 2^20, so a large source is
+    ``total_slots``. Slots of a source are made in runs of 2^16, so a large source is
     spread over many tasks.
     """
-    run_size = 1 << 20
+    run_size = 1 << 16
     runs = sources.where("slots > 0").select(
         "sid", "blocks", "slots", "shards",
         F.explode(F.sequence(F.lit(0).cast("bigint"), ((F.col("slots") - 1) / run_size).cast("bigint"))).alias("run"),
@@ -134,8 +134,7 @@ def mix_slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed:
                 cols = [np.repeat(hit, count), np.full(n, sid), slot, at]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["shard", "sid", "slot", "block"])
 
-    spread = runs.repartition("sid", "run")
-    return spread.mapInArrow(make, "shard bigint, sid bigint, slot bigint, block bigint")
+    return spread(runs, "sid", "run").mapInArrow(make, "shard bigint, sid bigint, slot bigint, block bigint")
 
 
 def source_slots(targets: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
@@ -183,7 +182,8 @@ def mix_plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int
     pieces = block_pieces(known.select("pid", "sid", "bucket", "size"), block)
     slots = mix_slots(sources.select("sid", "blocks", "slots", "shards"), block, shard, seed)
     times = slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
-    used = pieces.join(times, ["sid", "block"]).groupBy("sid", "pid").agg(F.sum(F.expr("words * times")).alias("taken"))
+    # the planner takes the slots for as small as the sources they are made from: no broadcast
+    used = pieces.join(times.hint("merge"), ["sid", "block"]).groupBy("sid", "pid").agg(F.sum(F.expr("words * times")).alias("taken"))
     used = stored(used.select(F.col("sid").alias("_sid"), F.col("pid").alias("_pid"), "taken"), "mix-taken")
     found = known.join(used, (F.col("sid") == F.col("_sid")) & (F.col("pid") == F.col("_pid")), "left")
     return found.withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint"))).drop("_sid", "_pid", "bucket"), slots

@@ -34,7 +34,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import stored, table, text_bytes, with_class_min
+from wordfold.llm.common import spread, stored, table, text_bytes, with_class_min
 from wordfold.session import new_output_path
 
 MIN_PAYLOAD = 0
@@ -273,7 +273,7 @@ def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
         "path string, offset bigint, page_id bigint, url string, payload binary, payload_bytes bigint, "
         "payload_digest string, record_type string, refers_to bigint"
     )
-    return ranges.repartition("path", "first").mapInArrow(run, schema)
+    return spread(ranges, "path", "first").mapInArrow(run, schema)
 
 
 def q_warc(spark: SparkSession, sf_dir: str):
