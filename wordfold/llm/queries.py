@@ -5,6 +5,7 @@ from __future__ import annotations
 from wordfold.llm.chat import q_chat
 from wordfold.llm.decontaminate import q_decontamination
 from wordfold.llm.mixing import q_mixing
+from wordfold.llm.oracle import ORACLE_SQL
 from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
 from wordfold.llm.scoring import q_scoring
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_simhash": q_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
