@@ -48,43 +48,55 @@ class _Sampled:
     """The sampled k-mers of a block's documents, document after document."""
 
     def __init__(self, docs: Docs, k: int, window: int) -> None:
-        symbols = _Symbols()
-        at, key, first, stop, doc, whole, count = [], [], [], [], [], [], []
+        self.k, self.window = k, window
+        known = _Symbols().__getitem__
+        at, key, first, stop, doc = [], [], [], [], []
+        self.symbols: dict[int, np.ndarray] = {}
         for i, (_, data) in enumerate(docs):
             words = data.split()
-            count.append(len(words))
             if len(words) < window:
-                whole.append(np.empty(0, np.uint64))
                 continue
-            sym = np.fromiter(map(symbols.__getitem__, words), np.uint64, len(words))
+            sym = np.fromiter(map(known, words), np.uint64, len(words))
             h = window_hashes(sym, k)
             a, s, e = window_anchors(h, window - k + 1)
+            self.symbols[i] = sym
             at.append(a)
             key.append(h[a])
             first.append(s)
             stop.append(e)
             doc.append(np.full(len(a), i, np.int64))
-            whole.append(window_hashes(sym, window))
-            self._edges(sym, a, k)
         cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
         self.at, self.key, self.first, self.stop = cat(at, np.int64), cat(key, np.uint64), cat(first, np.int64), cat(stop, np.int64)
-        self.doc, self.edge = cat(doc, np.int64), cat(getattr(self, "_e", []), np.uint64)
-        self.whole, self.n_words = whole, count
-        self.ids = np.array([d for d, _ in docs], np.int64)
-        self.id = self.ids[self.doc] if len(self.doc) else np.empty(0, np.int64)
-
-    def _edges(self, sym: np.ndarray, a: np.ndarray, k: int) -> None:
-        """Hash of the words from each sampled k-mer's start to the next one's end (0 for the last)."""
-        if not hasattr(self, "_e"):
-            self._e: list[np.ndarray] = []
-        # a polynomial over the stretch between two places, from running sums
-        power = np.cumprod(np.full(len(sym) + 1, 0x9E3779B97F4A7C15, np.uint64))
-        inverse = np.cumprod(np.full(len(sym) + 1, pow(0x9E3779B97F4A7C15, -1, 2**64), np.uint64))
-        run = np.r_[_U(0), np.cumsum(sym * power[:-1], dtype=np.uint64)]
-        out = np.zeros(len(a), np.uint64)
-        lo, hi = a[:-1], a[1:] + k
-        out[:-1] = mix64((run[hi] - run[lo]) * inverse[lo] + (hi - lo).astype(np.uint64))
-        self._e.append(out)
+        self.doc = cat(doc, np.int64)
+        ids = np.array([d for d, _ in docs], np.int64)
+        self.id = ids[self.doc] if len(self.doc) else np.empty(0, np.int64)
+
+    def per_document(self, place: np.ndarray):
+        """The runs of ``place`` (sorted) that are in one document, with its symbols."""
+        doc = self.doc[place]
+        cuts = np.flatnonzero(np.diff(doc)) + 1
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(doc)]):
+            if lo < hi:
+                yield lo, hi, self.symbols[int(doc[lo])]
+
+    def edges(self, place: np.ndarray) -> np.ndarray:
+        """Hash of the words from the start of each sampled k-mer ``place`` to the next one's end."""
+        out = np.empty(len(place), np.uint64)
+        for lo, hi, sym in self.per_document(place):
+            a, b = self.at[place[lo:hi]], self.at[place[lo:hi] + 1] + self.k
+            # a polynomial over the stretch between two places, from running sums
+            power = np.cumprod(np.full(len(sym) + 1, 0x9E3779B97F4A7C15, np.uint64))
+            inverse = np.cumprod(np.full(len(sym) + 1, pow(0x9E3779B97F4A7C15, -1, 2**64), np.uint64))
+            run = np.r_[_U(0), np.cumsum(sym * power[:-1], dtype=np.uint64)]
+            out[lo:hi] = mix64((run[b] - run[a]) * inverse[a] + (b - a).astype(np.uint64))
+        return out
+
+    def hashes(self, place: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Hash of the window at each ``start`` in the document of the sampled k-mer ``place``."""
+        out = np.empty(len(place), np.uint64)
+        for lo, hi, sym in self.per_document(place):
+            out[lo:hi] = window_hashes(sym, self.window)[start[lo:hi]]
+        return out
 
     def asked(self) -> Keys:
         return Keys(self.key, self.id, None, "min")
@@ -138,13 +150,6 @@ def _checked(s: _Sampled, answers: Answers, splitters: np.ndarray, k: int, windo
     return (place[gone], start[gone]), place[~gone], start[~gone]
 
 
-def _hashes(s: _Sampled, place: np.ndarray, start: np.ndarray) -> np.ndarray:
-    sizes = np.array([len(x) for x in s.whole], np.int64)
-    base = np.cumsum(sizes) - sizes
-    every = np.concatenate(s.whole) if s.whole else np.empty(0, np.uint64)
-    return every[base[s.doc[place]] + start]
-
-
 def compact_paths(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``k, path``: nodes with a non-branching edge to the next node, and the first node of their
     path (null on a circle). ``edges``: ``e, a, b, n``; ``nodes``: ``k, n``."""
@@ -185,7 +190,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
         s = _Sampled(d, k, window)
         node, _ = _known(s, answers, split)
         link = np.flatnonzero(_linked(s, node))
-        e, edge_at, edge_n = np.unique(s.edge[link], return_index=True, return_counts=True)
+        e, edge_at, edge_n = np.unique(s.edges(link), return_index=True, return_counts=True)
         v, node_n = np.unique(s.key[node], return_counts=True)
         a, b = s.key[link[edge_at]], s.key[link[edge_at] + 1]
         block = rows.column("block")[0].as_py()
@@ -225,7 +230,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
     def verify(d: Docs, answers: Answers, rows: pa.Table) -> Keys:
         s = _Sampled(d, k, window)
         _, place, start = _checked(s, answers, split, k, window)
-        return Keys(_hashes(s, place, start), s.id[place], None, "min")
+        return Keys(s.hashes(place, start), s.id[place], None, "min")
 
     blocks.ask("window", verify)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -233,7 +238,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
     def remove(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
         s = _Sampled(d, k, window)
         (gone_at, gone_start), place, start = _checked(s, answers, split, k, window)
-        keys = Keys(_hashes(s, place, start), s.id[place], None, "min")
+        keys = Keys(s.hashes(place, start), s.id[place], None, "min")
         _, least = answers.least("window", keys, split)
         hit = least[keys.group] < s.id[place]
         doc = np.r_[s.doc[gone_at], s.doc[place[hit]]]
