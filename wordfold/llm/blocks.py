@@ -33,7 +33,7 @@ from wordfold.session import new_output_path
 #: log2 of the documents in a block, at most.
 BLOCK_BITS = 11
 #: Blocks whose keys a bucket gathers, about.
-BLOCKS_PER_BUCKET = 3
+BLOCKS_PER_BUCKET = 1
 #: A document without an id comes after all others.
 NO_ID = 2**63 - 1
 
@@ -234,25 +234,36 @@ class Blocks:
     def learn(self, answers: DataFrame) -> None:
         self.answers = answers if self.answers is None else self.answers.union(answers)
 
-    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys], splitters: np.ndarray | None = None, two: bool = False) -> None:
-        """Combine the keys that ``find`` gives for each block; the answers are of ``kind``."""
+    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes]], splitters: np.ndarray | None = None, two: bool = False) -> None:
+        """Combine the keys that ``find`` gives for each block; the answers are of ``kind``.
+
+        ``find`` may give ``(keys, state)``: bytes that later steps get back for the same block
+        as ``<kind>-state``, so that they need not find its places again.
+        """
         split = self.splitters if splitters is None else splitters
 
         def send(docs: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-            keys = find(docs, answers, rows)
-            out = _sent(keys, split)
+            found = find(docs, answers, rows)
+            keys, state = found if isinstance(found, tuple) else (found, None)
+            out = [(bucket, keys.how, p) for bucket, p in _sent(keys, split)]
             block = rows.column("block")[0].as_py()
+            if state is not None:  # alone in a bucket below all others
+                out.append((-1 - block, "state", state))
             return pa.table(
                 {
-                    "bucket": pa.array([b for b, _ in out], pa.int64()),
+                    "bucket": pa.array([b for b, _, _ in out], pa.int64()),
                     "block": pa.array([block] * len(out), pa.int64()),
-                    "how": pa.array([keys.how] * len(out), pa.string()),
-                    "payload": pa.array([p for _, p in out], pa.binary()),
+                    "how": pa.array([h for _, h, _ in out], pa.string()),
+                    "payload": pa.array([p for _, _, p in out], pa.binary()),
                 }
             )
 
         def combine(rows: pa.Table) -> pa.Table:
-            payloads, odd = _combine(rows.column("payload").to_pylist(), two, rows.column("how")[0].as_py())
+            how = rows.column("how")[0].as_py()
+            if how == "state":
+                kinds = pa.array([f"{kind}-state"] * rows.num_rows, pa.string())
+                return pa.table({"block": rows.column("block"), "kind": kinds, "bucket": rows.column("bucket"), "payload": rows.column("payload")})
+            payloads, odd = _combine(rows.column("payload").to_pylist(), two, how)
             # block -1 is nobody's: it counts for the whole corpus
             return pa.table(
                 {

@@ -30,13 +30,14 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.blocks import Answers, Blocks, Docs, Keys
+from wordfold.llm.blocks import Answers, Blocks, Docs, Keys, from_planes, planes
 from wordfold.llm.common import mix64, table, window_anchors, window_hashes
 
 K = 20
@@ -52,86 +53,87 @@ _GRAM = ~_U(0xFFFF)
 
 
 class _Grams:
-    """The sampled 20-grams of a block's documents, document after document."""
-
-    def __init__(self, docs: Docs, k: int, window: int) -> None:
-        self.docs, self.window = docs, window
-        at, key, first, stop, doc = [], [], [], [], []
-        for i, (_, data) in enumerate(docs):
-            if len(data) >= window:
-                h = window_hashes(_BYTE[np.frombuffer(data, np.uint8)], k)
-                a, s, e = window_anchors(h, window - k + 1)
-                at.append(a)
-                key.append(h[a] & _GRAM)
-                first.append(s)
-                stop.append(e)
-                doc.append(np.full(len(a), i, np.int64))
-        cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
-        self.key, self.first, self.stop = cat(key, np.uint64), cat(first, np.int64), cat(stop, np.int64)
-        self.doc = cat(doc, np.int64)
-        ids = np.array([d for d, _ in docs], np.int64)
-        self.id = ids[self.doc] if len(self.doc) else np.empty(0, np.int64)
-
-    def grams(self) -> Keys:
-        return Keys(self.key, self.id, None, "min")
-
-    def suffixes(self, place: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sort keys of the suffixes that cover the windows from ``start`` to before ``stop``: their
-        leading bytes, and a fingerprint of all their bytes."""
-        lead, print_ = np.empty(len(place), np.uint64), np.empty(len(place), np.uint64)
-        doc = self.doc[place]
-        cuts = np.flatnonzero(np.diff(doc)) + 1
-        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(doc)]):
-            if lo == hi:
-                continue
-            raw = np.frombuffer(self.docs[doc[lo]][1], np.uint8)
-            whole = window_hashes(_BYTE[raw], self.window)
-            s, e = start[lo:hi], stop[lo:hi]
-            # the first and the last window overlap or touch, so they fix every byte between
-            print_[lo:hi] = mix64(whole[s] * _U(0xD6E8FEB86659FD93) + whole[e - 1] + (e - s).astype(np.uint64))
-            head = np.zeros(hi - lo, np.uint64)
-            for j in range(LEAD):
-                head = (head << _U(8)) | raw[s + j].astype(np.uint64)
-            lead[lo:hi] = head
-        low = _U(0xFFFFFFFF)
-        return (lead << _U(32)) | (print_ >> _U(32)), print_ & low
-
-
-def _sparse(g: _Grams, answers: Answers, even: np.ndarray):
-    """``(places, keys, smaller gram)``: places whose 20-gram is in several documents, their sparse
-    suffixes, and whether a smaller document has the 20-gram."""
-    grams = g.grams()
-    many, least = answers.least("gram", grams, even)
-    place = np.flatnonzero(many[grams.group]) if len(grams.group) else np.empty(0, np.int64)
-    a, b = g.suffixes(place, g.first[place], g.stop[place])
-    return place, Keys(a, g.id[place], b, "min"), least[grams.group][place] < g.id[place]
-
-
-def _settled(g: _Grams, answers: Answers, even: np.ndarray, split: np.ndarray):
-    """``(covered, open)`` places after the sparse sort, with a flag on the open ones that a smaller
-    document has their 20-gram."""
-    place, keys, smaller = _sparse(g, answers, even)
-    _, least = answers.least("sparse", keys, split)
-    done = least[keys.group] < g.id[place]
-    return place[done], place[~done], smaller[~done]
-
-
-def _needed(g: _Grams, answers: Answers, even: np.ndarray, split: np.ndarray):
-    covered, still, smaller = _settled(g, answers, even, split)
-    return covered, still, Keys(g.key[still], np.where(smaller, 0, 1), None, "min")
-
-
-def _dense(g: _Grams, answers: Answers, even: np.ndarray, split: np.ndarray):
-    """``(covered, place, start, keys)``: settled places, and every window of the places to compare."""
-    covered, still, needed = _needed(g, answers, even, split)
-    # a 20-gram that has no answer is needed nowhere: no document waits for it
-    many, _ = answers.least("needed", needed, even)
-    which = still[many[needed.group]] if len(still) else still
-    size = g.stop[which] - g.first[which]
-    place = np.repeat(which, size)
+    """Sampled 20-grams of a block's documents: ``doc`` (place in the block), ``id``, ``key``, and the
+    windows from ``first`` to before ``stop`` that sample it."""
+
+    def __init__(self, ids: np.ndarray, doc: np.ndarray, key: np.ndarray, first: np.ndarray, stop: np.ndarray) -> None:
+        self.ids, self.doc, self.key, self.first, self.stop = ids, doc, key, first, stop
+        self.id = ids[doc]
+
+    def at(self, which: np.ndarray) -> _Grams:
+        return _Grams(self.ids, self.doc[which], self.key[which], self.first[which], self.stop[which])
+
+    def packed(self, flag: np.ndarray) -> bytes:
+        """With a flag for each, to be kept for later steps."""
+        size = (self.stop - self.first).astype(np.int64)
+        columns = [planes(x) for x in (self.doc, self.key, self.first, size)]
+        return struct.pack("<q", len(self.doc)) + b"".join(columns) + np.packbits(flag).tobytes()
+
+    @classmethod
+    def unpacked(cls, docs: Docs, data: bytes) -> tuple[_Grams, np.ndarray]:
+        (n,) = struct.unpack_from("<q", data)
+        doc, key, first, size = (from_planes(data[8 + 8 * n * i :], n) for i in range(4))
+        first = first.view(np.int64)
+        g = cls(_ids(docs), doc.view(np.int64), key, first, first + size.view(np.int64))
+        return g, np.unpackbits(np.frombuffer(data, np.uint8, offset=8 + 32 * n), count=n).astype(bool)
+
+
+def _ids(docs: Docs) -> np.ndarray:
+    return np.array([d for d, _ in docs], np.int64)
+
+
+def _sampled(docs: Docs, k: int, window: int) -> _Grams:
+    key, first, stop, doc = [], [], [], []
+    for i, (_, data) in enumerate(docs):
+        if len(data) >= window:
+            h = window_hashes(_BYTE[np.frombuffer(data, np.uint8)], k)
+            a, s, e = window_anchors(h, window - k + 1)
+            key.append(h[a] & _GRAM)
+            first.append(s)
+            stop.append(e)
+            doc.append(np.full(len(a), i, np.int64))
+    cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
+    return _Grams(_ids(docs), cat(doc, np.int64), cat(key, np.uint64), cat(first, np.int64), cat(stop, np.int64))
+
+
+def _suffixes(docs: Docs, doc: np.ndarray, start: np.ndarray, stop: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort keys of the suffixes that cover the windows from ``start`` to before ``stop`` of the
+    documents ``doc`` (sorted): their leading bytes, and a fingerprint of all their bytes."""
+    lead, mark = np.empty(len(doc), np.uint64), np.empty(len(doc), np.uint64)
+    cuts = np.flatnonzero(np.diff(doc)) + 1
+    for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(doc)]):
+        if lo == hi:
+            continue
+        raw = np.frombuffer(docs[doc[lo]][1], np.uint8)
+        s, e = start[lo:hi], stop[lo:hi]
+        a, z = int(s.min()), int(e.max()) + window - 1
+        whole = window_hashes(_BYTE[raw[a:z]], window)
+        # the first and the last window overlap or touch, so they fix every byte between
+        mark[lo:hi] = mix64(whole[s - a] * _U(0xD6E8FEB86659FD93) + whole[e - 1 - a] + (e - s).astype(np.uint64))
+        head = np.zeros(hi - lo, np.uint64)
+        for j in range(LEAD):
+            head = (head << _U(8)) | raw[s + j].astype(np.uint64)
+        lead[lo:hi] = head
+    return (lead << _U(32)) | (mark >> _U(32)), mark & _U(0xFFFFFFFF)
+
+
+def _sparse_keys(docs: Docs, g: _Grams, window: int) -> Keys:
+    a, b = _suffixes(docs, g.doc, g.first, g.stop, window)
+    return Keys(a, g.id, b, "min")
+
+
+def _dense(docs: Docs, g: _Grams, window: int) -> tuple[np.ndarray, np.ndarray, Keys]:
+    """``(document, start, keys)`` of every window of ``g``."""
+    size = g.stop - g.first
+    place = np.repeat(np.arange(len(size)), size)
     start = g.first[place] + np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)
-    a, b = g.suffixes(place, start, start + 1)
-    return covered, place, start, Keys(a, g.id[place], b, "min")
+    a, b = _suffixes(docs, g.doc[place], start, start + 1, window)
+    return g.doc[place], start, Keys(a, g.id[place], b, "min")
+
+
+def _gram_keys(docs: Docs, k: int, window: int) -> Keys:
+    g = _sampled(docs, k, window)
+    return Keys(g.key, g.id, None, "min")
 
 
 def sampled_splitters(blocks: Blocks, k: int, window: int) -> np.ndarray:
@@ -141,10 +143,9 @@ def sampled_splitters(blocks: Blocks, k: int, window: int) -> np.ndarray:
 
     def some(rows: pa.Table) -> pa.Table:
         docs = [(0, x) for x in rows.column("text").to_pylist()]
-        g = _Grams(docs, k, window)
-        step = max(1, len(g.key) // PER_BLOCK)
-        place = np.arange(0, len(g.key), step)
-        a, _ = g.suffixes(place, g.first[place], g.stop[place])
+        g = _sampled(docs, k, window)
+        g = g.at(np.arange(0, len(g.key), max(1, len(g.key) // PER_BLOCK)))
+        a, _ = _suffixes(docs, g.doc, g.first, g.stop, window)
         return pa.table({"first": pa.array(a.view(np.int64))})
 
     sampled = blocks.table.where(F.pmod(F.xxhash64("block"), F.lit(every)) == 0)
@@ -163,20 +164,54 @@ def suffix_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
     blocks = Blocks(docs, "suffix")
     even = blocks.splitters
     split = sampled_splitters(blocks, k, window)
-    blocks.ask("gram", lambda d, _, rows: _Grams(d, k, window).grams())
-    blocks.ask("sparse", lambda d, t, rows: _sparse(_Grams(d, k, window), t, even)[1], split, two=True)
-    blocks.ask("needed", lambda d, t, rows: _needed(_Grams(d, k, window), t, even, split)[2])
-    blocks.ask("dense", lambda d, t, rows: _dense(_Grams(d, k, window), t, even, split)[3], split, two=True)
+
+    def sparse(docs_: Docs, told: Answers, rows: pa.Table) -> tuple[Keys, bytes]:
+        """Places whose 20-gram is in several documents, flagged where one of them is smaller."""
+        g = _sampled(docs_, k, window)
+        keys = Keys(g.key, g.id, None, "min")
+        many, least = told.least("gram", keys, even)
+        which = np.flatnonzero(many[keys.group])
+        g, least = g.at(which), least[keys.group][which]
+        return _sparse_keys(docs_, g, window), g.packed(least < g.id)
+
+    def needed(docs_: Docs, told: Answers, rows: pa.Table) -> tuple[Keys, bytes]:
+        """Of those, flagged: places whose sparse suffix starts in a smaller document. The 20-grams of
+        the others: 0 for one that a smaller document has, 1 where none has."""
+        g, smaller = _Grams.unpacked(docs_, told.rows("sparse-state")[0])
+        keys = _sparse_keys(docs_, g, window)
+        _, least = told.least("sparse", keys, split)
+        done = least[keys.group] < g.id
+        still = g.at(np.flatnonzero(~done))
+        return Keys(still.key, np.where(smaller[~done], 0, 1), None, "min"), g.packed(done)
+
+    def dense(docs_: Docs, told: Answers, rows: pa.Table) -> tuple[Keys, bytes]:
+        """The settled places, and (flagged) those to compare window by window."""
+        g, done = _Grams.unpacked(docs_, told.rows("needed-state")[0])
+        smaller = _Grams.unpacked(docs_, told.rows("sparse-state")[0])[1]
+        still = np.flatnonzero(~done)
+        keys = Keys(g.key[still], np.where(smaller[still], 0, 1), None, "min")
+        # a 20-gram without both kinds of places is needed nowhere: no document waits for it
+        many, _ = told.least("needed", keys, even)
+        wait = np.zeros(len(done), bool)
+        wait[still[many[keys.group]]] = True
+        g, wait = g.at(np.flatnonzero(done | wait)), wait[done | wait]
+        return _dense(docs_, g.at(np.flatnonzero(wait)), window)[2], g.packed(wait)
+
+    blocks.ask("gram", lambda d, _, rows: _gram_keys(d, k, window))
+    blocks.ask("sparse", sparse, split, two=True)
+    blocks.ask("needed", needed)
+    blocks.ask("dense", dense, split, two=True)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def remove(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-        g = _Grams(d, k, window)
-        covered, place, start, keys = _dense(g, answers, even, split)
+        g, wait = _Grams.unpacked(d, answers.rows("dense-state")[0])
+        covered = g.at(np.flatnonzero(~wait))
+        at, start, keys = _dense(d, g.at(np.flatnonzero(wait)), window)
         _, least = answers.least("dense", keys, split)
-        hit = least[keys.group] < g.id[place] if len(place) else np.empty(0, bool)
-        doc = np.r_[g.doc[covered], g.doc[place[hit]]]
-        begin = np.r_[g.first[covered], start[hit]]
-        end = np.r_[g.stop[covered], start[hit] + 1] + window - 1
+        hit = least[keys.group] < _ids(d)[at]
+        doc = np.r_[covered.doc, at[hit]]
+        begin = np.r_[covered.first, start[hit]]
+        end = np.r_[covered.stop, start[hit] + 1] + window - 1
         order = np.argsort(doc, kind="stable")
         doc, begin, end = doc[order], begin[order], end[order]
         out = []
