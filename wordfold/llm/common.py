@@ -95,6 +95,40 @@ def window_hashes(symbols: np.ndarray, k: int) -> np.ndarray:
     return mix64(done[: n - k + 1])
 
 
+#: A scrambled value for each byte, and what bytes separate words.
+BYTE_SYMBOLS = mix64(np.arange(1, 257, dtype=np.uint64) * _U(_MULT))
+_BREAK = np.zeros(256, bool)
+_BREAK[[0x20, 9, 10, 11, 12, 13]] = True
+_POWERS: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the multiplier, and of its inverse modulo 2^64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(1 << 16, 2 * n)
+        _POWERS[:] = [np.r_[_U(1), np.cumprod(np.full(size, x, np.uint64))] for x in (_MULT, pow(_MULT, -1, 2**64))]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def stretch_hashes(symbols: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch ``symbols[start:stop]``: equal stretches anywhere have equal
+    hashes (a polynomial from running sums, moved to the stretch's start)."""
+    up, down = powers(len(symbols) + 1)
+    run = np.empty(len(symbols) + 1, np.uint64)
+    run[0] = 0
+    np.cumsum(symbols * up[:-1], dtype=np.uint64, out=run[1:])
+    return mix64((run[stop] - run[start]) * down[start] + (stop - start).astype(np.uint64))
+
+
+def word_symbols(data: bytes) -> np.ndarray:
+    """A 64-bit symbol for each word (a run of anything but ASCII white space) of a text."""
+    raw = np.frombuffer(data, np.uint8)
+    gap = np.ones(len(raw) + 2, bool)
+    gap[1:-1] = _BREAK[raw]
+    edge = np.flatnonzero(gap[1:] != gap[:-1])
+    return stretch_hashes(BYTE_SYMBOLS[raw], edge[0::2], edge[1::2])
+
+
 _POS = _U(0xFFFFF)
 
 

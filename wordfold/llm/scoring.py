@@ -30,12 +30,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordfold.llm.blocks import Answers, Blocks, Docs, Keys
-from wordfold.llm.common import mix64, stored, table
+from wordfold.llm.common import mix64, stored, table, word_symbols
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 2
@@ -55,25 +54,16 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == HELD_OUT
 
 
-class _Symbols(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
 class _Texts:
     """A block's symbols, text after text, each with an end."""
 
     def __init__(self, docs: Docs, held: np.ndarray) -> None:
-        symbols = _Symbols()
+        end = np.array([END])
         parts, sizes = [], []
         for _, data in docs:
-            words = data.lower().split()
-            x = np.empty(len(words) + 1, np.uint64)
-            x[:-1] = np.fromiter(map(symbols.__getitem__, words), np.uint64, len(words))
-            x[-1] = END
-            parts.append(x)
-            sizes.append(len(x))
+            words = word_symbols(data.lower())
+            parts += [words, end]
+            sizes.append(len(words) + 1)
         self.symbol = np.concatenate(parts)
         self.sizes = np.array(sizes, np.int64)
         self.doc = np.repeat(np.arange(len(docs)), self.sizes)

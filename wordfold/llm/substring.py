@@ -26,22 +26,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordfold.llm.blocks import ANSWERS, Answers, Blocks, Docs, Keys
-from wordfold.llm.common import mix64, stored, table, window_anchors, window_hashes
+from wordfold.llm.common import stored, stretch_hashes, table, window_anchors, window_hashes, word_symbols
 
 K = 16
 WINDOW = 50
-_U = np.uint64
-
-
-class _Symbols(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
 
 class _Sampled:
@@ -49,14 +41,12 @@ class _Sampled:
 
     def __init__(self, docs: Docs, k: int, window: int) -> None:
         self.k, self.window = k, window
-        known = _Symbols().__getitem__
         at, key, first, stop, doc = [], [], [], [], []
         self.symbols: dict[int, np.ndarray] = {}
         for i, (_, data) in enumerate(docs):
-            words = data.split()
-            if len(words) < window:
+            sym = word_symbols(data)
+            if len(sym) < window:
                 continue
-            sym = np.fromiter(map(known, words), np.uint64, len(words))
             h = window_hashes(sym, k)
             a, s, e = window_anchors(h, window - k + 1)
             self.symbols[i] = sym
@@ -83,12 +73,7 @@ class _Sampled:
         """Hash of the words from the start of each sampled k-mer ``place`` to the next one's end."""
         out = np.empty(len(place), np.uint64)
         for lo, hi, sym in self.per_document(place):
-            a, b = self.at[place[lo:hi]], self.at[place[lo:hi] + 1] + self.k
-            # a polynomial over the stretch between two places, from running sums
-            power = np.cumprod(np.full(len(sym) + 1, 0x9E3779B97F4A7C15, np.uint64))
-            inverse = np.cumprod(np.full(len(sym) + 1, pow(0x9E3779B97F4A7C15, -1, 2**64), np.uint64))
-            run = np.r_[_U(0), np.cumsum(sym * power[:-1], dtype=np.uint64)]
-            out[lo:hi] = mix64((run[b] - run[a]) * inverse[a] + (b - a).astype(np.uint64))
+            out[lo:hi] = stretch_hashes(sym, self.at[place[lo:hi]], self.at[place[lo:hi] + 1] + self.k)
         return out
 
     def hashes(self, place: np.ndarray, start: np.ndarray) -> np.ndarray:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordfold.llm.blocks import Answers, Blocks, Docs, Keys, from_planes, planes
-from wordfold.llm.common import mix64, table, window_anchors, window_hashes
+from wordfold.llm.common import BYTE_SYMBOLS, mix64, table, window_anchors, window_hashes
 
 K = 20
 WINDOW = 50
@@ -47,7 +47,6 @@ LEAD = 4
 PER_SPLITTER, PER_BLOCK = 8, 512
 
 _U = np.uint64
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 #: Sampled 20-grams are compared by 48 bits: a collision only makes more suffixes candidates.
 _GRAM = ~_U(0xFFFF)
 
@@ -86,7 +85,7 @@ def _sampled(docs: Docs, k: int, window: int) -> _Grams:
     key, first, stop, doc = [], [], [], []
     for i, (_, data) in enumerate(docs):
         if len(data) >= window:
-            h = window_hashes(_BYTE[np.frombuffer(data, np.uint8)], k)
+            h = window_hashes(BYTE_SYMBOLS[np.frombuffer(data, np.uint8)], k)
             a, s, e = window_anchors(h, window - k + 1)
             key.append(h[a] & _GRAM)
             first.append(s)
@@ -107,7 +106,7 @@ def _suffixes(docs: Docs, doc: np.ndarray, start: np.ndarray, stop: np.ndarray,
         raw = np.frombuffer(docs[doc[lo]][1], np.uint8)
         s, e = start[lo:hi], stop[lo:hi]
         a, z = int(s.min()), int(e.max()) + window - 1
-        whole = window_hashes(_BYTE[raw[a:z]], window)
+        whole = window_hashes(BYTE_SYMBOLS[raw[a:z]], window)
         # the first and the last window overlap or touch, so they fix every byte between
         mark[lo:hi] = mix64(whole[s - a] * _U(0xD6E8FEB86659FD93) + whole[e - 1 - a] + (e - s).astype(np.uint64))
         head = np.zeros(hi - lo, np.uint64)
