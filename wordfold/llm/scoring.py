@@ -101,9 +101,9 @@ class Tree:
         return out
 
 
-def _pairs(t: _Texts, states: list[np.ndarray]) -> tuple[Keys, list[np.ndarray]]:
-    """Keys of the ``(state, symbol)`` pairs of a block with their training counts, and for each
-    context length the places that have one."""
+def _pairs(t: _Texts, states: list[np.ndarray]) -> tuple[Keys, list[np.ndarray], np.ndarray]:
+    """Keys of the ``(state, symbol)`` pairs and of the states of a block with their training counts;
+    for each context length the places that have a pair; and the states."""
     key, count, places = [], [], []
     for s in states:
         p = np.flatnonzero(s >= 0)
@@ -112,12 +112,16 @@ def _pairs(t: _Texts, states: list[np.ndarray]) -> tuple[Keys, list[np.ndarray]]
         k = mix64(t.symbol[p] + s[p].astype(np.uint64) * _ROOT) & ~_U(1)
         key.append(k | (s[p] == 0).astype(np.uint64))
         count.append(t.train[p].astype(np.int64))
-    return Keys(np.concatenate(key), np.concatenate(count), None, "sum"), places
+    used, at = np.unique(np.concatenate([s[p] for s, p in zip(states[1:], places[1:])]), return_inverse=True)
+    key.append(mix64(used.astype(np.uint64) * _ROOT + START) & ~_U(1))
+    count.append(np.bincount(at, np.concatenate(count[1:]), len(used)).astype(np.int64))
+    return Keys(np.concatenate(key), np.concatenate(count), None, "sum"), places, used
 
 
-def _counts(t: _Texts, states: list[np.ndarray], answers: Answers) -> list[np.ndarray]:
-    """Training count of each symbol in its state, by context length (-1 without a state)."""
-    keys, places = _pairs(t, states)
+def _counts(t: _Texts, states: list[np.ndarray], size: int, answers: Answers) -> tuple[list[np.ndarray], np.ndarray]:
+    """Training count of each symbol in its state, by context length (-1 without a state), and of
+    each state that the block uses."""
+    keys, places, used = _pairs(t, states)
     total = answers.totals("pairs")[keys.group]
     out, at = [], 0
     for s, p in zip(states, places):
@@ -125,7 +129,9 @@ def _counts(t: _Texts, states: list[np.ndarray], answers: Answers) -> list[np.nd
         c[p] = total[at : at + len(p)]
         out.append(c)
         at += len(p)
-    return out
+    totals = np.zeros(size, np.int64)
+    totals[used] = total[at:]
+    return out, totals
 
 
 def _ladder(states, counts, totals: np.ndarray, n: int, v: int, kept: np.ndarray | None, leave: np.ndarray | None):
@@ -186,42 +192,35 @@ def lm_scores(docs: DataFrame, min_share: float = MIN_SHARE, divergence: float =
 
     blocks.ask("pairs", lambda d, _, rows: _pairs(*pairs(d, rows))[0])
 
-    def state_totals(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-        t, states = pairs(d, rows)
-        total = np.zeros(tree.size, np.int64)
-        for s in states:
-            np.add.at(total, s[(s >= 0) & t.train], 1)
-        some = np.flatnonzero(total)
-        return pa.table({"state": pa.array(some, pa.int64()), "n": pa.array(total[some], pa.int64())})
-
-    summed = blocks.step(state_totals, "state bigint, n bigint").groupBy("state").agg(F.sum("n").alias("n"))
-    totals = np.zeros(tree.size, np.int64)
-    for r in stored(summed, "scoring-totals").collect():  # a row for each state of the bounded tree
-        totals[r.state] = r.n
     v = blocks.odd_keys("pairs")
 
     def gains(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
         t, states = pairs(d, rows)
-        counts = _counts(t, states, answers)
+        counts, totals = _counts(t, states, tree.size, answers)
         _, each, without = _ladder(states, counts, totals, n, v, None, t.train.astype(np.int64))
-        gain = np.zeros(tree.size)
+        gain, count = np.zeros(tree.size), np.zeros(tree.size, np.int64)
         for depth in range(1, len(states)):
             own = (states[depth] >= 0) & t.train
             ratio = np.log(without[depth][own]) - np.log(each[depth - 1][own])
             gain += np.bincount(states[depth][own], ratio, tree.size)
-        some = np.flatnonzero(gain)
+            count += np.bincount(states[depth][own], minlength=tree.size)
+        some = np.flatnonzero(count)
         # whole millionths, so that the sum does not depend on its order
-        return pa.table({"state": pa.array(some, pa.int64()), "gain": pa.array(np.round(gain[some] * 1e6).astype(np.int64))})
+        millionths = np.round(gain[some] * 1e6).astype(np.int64)
+        return pa.table({"state": pa.array(some, pa.int64()), "gain": pa.array(millionths), "n": pa.array(count[some], pa.int64())})
 
-    gained = blocks.step(gains, "state bigint, gain bigint").groupBy("state").agg(F.sum("gain").alias("gain"))
+    # a row for each state of the bounded tree
+    gained = blocks.step(gains, "state bigint, gain bigint, n bigint").groupBy("state").agg(
+        F.sum("gain").alias("gain"), F.sum("n").alias("n")
+    )
     kept = np.zeros(tree.size, bool)
     kept[0] = True
     for r in stored(gained, "scoring-gains").collect():
-        kept[r.state] = r.gain / 1e6 >= divergence * totals[r.state]
+        kept[r.state] = r.gain / 1e6 >= divergence * r.n
 
     def score(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
         t, states = pairs(d, rows)
-        counts = _counts(t, states, answers)
+        counts, totals = _counts(t, states, tree.size, answers)
         p, each, _ = _ladder(states, counts, totals, n, v, kept, None)
         of = lambda x: np.bincount(t.doc, x, len(d))
         return pa.table(
