@@ -201,9 +201,9 @@ class Blocks:
         self.n_buckets = max(parts, blocks // BLOCKS_PER_BUCKET)
         self.splitters = even_splitters(self.n_buckets)
 
-    def step(self, run: Callable[[Docs, Answers, pa.Table], pa.Table], schema: str) -> DataFrame:
+    def step(self, run: Callable[[Docs, Answers, pa.Table], pa.Table], schema: str, kinds: list[str] | None = None) -> DataFrame:
         """``run(documents, answers, rows)`` over every block; documents are ``(id, bytes)`` in the
-        order of ``rows`` (``block, rid, doc_id, text``)."""
+        order of ``rows`` (``block, rid, doc_id, text``). Only answers of ``kinds`` are moved (all by default)."""
 
         def prepared(rows: pa.Table) -> tuple[Docs, pa.Table]:
             rows = rows.sort_by("rid")
@@ -224,6 +224,8 @@ class Blocks:
             return run(d, Answers(answers), rows)
 
         mine = self.answers.where("block >= 0")
+        if kinds is not None:
+            mine = mine.where(F.col("kind").isin(kinds))
         return grouped.cogroup(mine.groupBy("block")).applyInArrow(told, schema)
 
     def odd_keys(self, kind: str) -> int:
@@ -234,7 +236,7 @@ class Blocks:
     def learn(self, answers: DataFrame) -> None:
         self.answers = answers if self.answers is None else self.answers.union(answers)
 
-    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes]], splitters: np.ndarray | None = None, two: bool = False) -> None:
+    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes]], splitters: np.ndarray | None = None, two: bool = False, kinds: list[str] | None = None) -> None:
         """Combine the keys that ``find`` gives for each block; the answers are of ``kind``.
 
         ``find`` may give ``(keys, state)``: bytes that later steps get back for the same block
@@ -274,5 +276,5 @@ class Blocks:
                 }
             )
 
-        sent = self.step(send, "bucket bigint, block bigint, how string, payload binary")
+        sent = self.step(send, "bucket bigint, block bigint, how string, payload binary", kinds)
         self.learn(stored(sent.groupBy("bucket").applyInArrow(combine, ANSWERS), f"{self.name}-{kind}"))

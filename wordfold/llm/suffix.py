@@ -197,9 +197,9 @@ def suffix_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
         return _dense(docs_, g.at(np.flatnonzero(wait)), window)[2], g.packed(wait)
 
     blocks.ask("gram", lambda d, _, rows: _gram_keys(d, k, window))
-    blocks.ask("sparse", sparse, split, two=True)
-    blocks.ask("needed", needed)
-    blocks.ask("dense", dense, split, two=True)
+    blocks.ask("sparse", sparse, split, two=True, kinds=["gram"])
+    blocks.ask("needed", needed, kinds=["sparse", "sparse-state"])
+    blocks.ask("dense", dense, split, two=True, kinds=["sparse-state", "needed", "needed-state"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def remove(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
@@ -232,7 +232,7 @@ def suffix_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
         return pa.table({"doc_id": rows.column("doc_id")} | cols)
 
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
-    return blocks.step(remove, schema)
+    return blocks.step(remove, schema, kinds=["dense", "dense-state"])
 
 
 def q_suffix(spark, sf_dir):
