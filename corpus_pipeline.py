@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordfold.llm.common import stored, table
+from wordfold.llm.common import ROW, keyed, stored, table
 from wordfold.llm.decontaminate import decontaminate
 from wordfold.llm.mixing import mix_documents
 from wordfold.llm.pii import redact
@@ -48,8 +48,9 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over the ``documents`` table, each stored and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the ``documents`` table, each stored and read again. Every row gets a key
+    at the start, by which the stages match it with what they decide about it."""
+    docs = keyed(table(spark, sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir).drop(ROW)

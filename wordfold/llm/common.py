@@ -27,6 +27,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The key of a row, unlike ``doc_id`` never null or repeated.
+ROW = "_row_key"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique ``ROW`` for each row, stored so that it is the same whenever it is
+    read; a table that carries the key already keeps it."""
+    return docs if ROW in docs.columns else stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
+def row_key(docs: DataFrame) -> list[str]:
+    """The key column, for tables that carry one."""
+    return [ROW] if ROW in docs.columns else []
+
+
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Few small rows that stand for much work, dealt over all tasks. The number is given, so
     that AQE does not put them together again by their size."""

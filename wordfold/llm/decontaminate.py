@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import mix64, stored, table, text_bytes, window_hashes
+from wordfold.llm.common import ROW, keyed, mix64, row_key, stored, table, text_bytes, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -159,12 +159,13 @@ def contaminated(
     """``doc_id, item_id, first_word, n_words, similarity``: a row for each document of
     ``docs`` (``doc_id, text``) and item of ``items`` (``item_id, text``) that it holds, with
     its most similar window (the first of equals; words counted from 0)."""
-    slim = docs.select("doc_id", text_bytes().alias("_text"))
+    key = row_key(docs)
+    slim = docs.select("doc_id", text_bytes().alias("_text"), *key)
     id_type, item_type = slim.schema["doc_id"].dataType, items.schema["item_id"].dataType
     schema = (
         f"doc_id {id_type.simpleString()}, item_id {item_type.simpleString()}, "
         "first_word bigint, n_words bigint, similarity double"
-    )
+    ) + "".join(f", {c} bigint" for c in key)
 
     def search(block: list[tuple[object, bytes]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +180,9 @@ def contaminated(
                         pa.array(at, pa.int64()),
                         pa.array(size, pa.int64()),
                         pa.array(s, pa.float64()),
+                        *[b.column(2).take(pa.array(doc, pa.int64())) for _ in key],
                     ],
-                    names=["doc_id", "item_id", "first_word", "n_words", "similarity"],
+                    names=["doc_id", "item_id", "first_word", "n_words", "similarity", *key],
                 ) if found else None
                 if out is not None:
                     yield from out.to_batches()
@@ -196,8 +198,9 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    bad = stored(contaminated(docs, items, **settings).select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]), "left_anti")
+    rows = keyed(docs)
+    bad = stored(contaminated(rows, items, **settings).select(F.col(ROW).alias("_key")).distinct(), "contaminated")
+    return rows.join(bad, rows[ROW] == bad["_key"], "left_anti").select(*docs.columns)
 
 
 def q_decontamination(spark, sf_dir):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordfold.llm.common import mix64, spread, stored, table, text_bytes
+from wordfold.llm.common import ROW, keyed, mix64, row_key, spread, stored, table, text_bytes
 
 WEIGHTS = (3, 1, 2)
 TOTAL_PERCENT = 150
@@ -45,15 +45,17 @@ SEED = 20_011
 
 def document_sizes(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size`` of ``docs`` (``doc_id, text, source``)."""
-    slim = docs.select("doc_id", "source", text_bytes().alias("_text"))
+    key = row_key(docs)
+    slim = docs.select("doc_id", "source", text_bytes().alias("_text"), *key)
     kinds = [slim.schema[c].dataType.simpleString() for c in ("doc_id", "source")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size = pa.array([len(x.as_py().split()) for x in b.column(2)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), size], names=["doc_id", "source", "size"])
+            cols = [b.column(0), b.column(1), size, *b.columns[3:]]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "size", *key])
 
-    return slim.mapInArrow(run, f"doc_id {kinds[0]}, source {kinds[1]}, size bigint")
+    return slim.mapInArrow(run, f"doc_id {kinds[0]}, source {kinds[1]}, size bigint" + "".join(f", {c} bigint" for c in key))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -190,14 +192,13 @@ def mix_plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with all columns plus ``size, source_size, target, taken``. Rows that share an id
-    share the sum of what the mix takes of them."""
-    found, _ = mix_plan(docs, **settings)
-    first = [F.max(c).alias(c) for c in ("size", "source_size", "target")]
-    per = found.groupBy(F.col("doc_id").alias("_id")).agg(*first, F.sum("taken").alias("taken"))
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    per = stored(per, "mix-per-document")
-    return docs.select(*kept).join(per, docs["doc_id"].eqNullSafe(per["_id"])).drop("_id")
+    """``docs`` with all columns plus ``size, source_size, target, taken`` of each row."""
+    rows = keyed(docs)
+    found, _ = mix_plan(rows, **settings)
+    added = ["size", "source_size", "target", "taken"]
+    kept = [c for c in docs.columns if c not in added]
+    per = stored(found.select(F.col(ROW).alias("_key"), *added), "mix-per-document")
+    return rows.drop(*added).join(per, F.col(ROW) == F.col("_key")).select(*kept, *added)
 
 
 def q_mixing(spark, sf_dir):

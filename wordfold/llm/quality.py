@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import stored, table, text_bytes
+from wordfold.llm.common import ROW, keyed, row_key, stored, table, text_bytes
 
 # Symbols that junk is full of and prose is not (fixed by the query's contract).
 SYMBOLS = b"#*$%&|<>"
@@ -83,15 +83,16 @@ def text_features(data: bytes) -> tuple[int, int, int, int, int]:
 
 def quality_features(docs: DataFrame) -> DataFrame:
     """``docs`` (``doc_id, text, lang, source``) as ``doc_id, lang, source`` and the features."""
-    slim = docs.select("doc_id", "lang", "source", text_bytes().alias("_text"))
+    names = ["doc_id", "lang", "source", *row_key(docs)]
+    slim = docs.select(*names, text_bytes().alias("_text"))
     schema = slim.drop("_text").schema.simpleString()[7:-1].replace(":", " ")
     schema += "".join(f", {c} bigint" for c in _FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = np.array([text_features(x.as_py()) for x in b.column(3)], np.int64).reshape(-1, len(_FEATURES))
-            cols = [b.column(i) for i in range(3)] + [pa.array(rows[:, i]) for i in range(len(_FEATURES))]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang", "source", *_FEATURES])
+            rows = np.array([text_features(x.as_py()) for x in b.column(len(names))], np.int64).reshape(-1, len(_FEATURES))
+            cols = [b.column(i) for i in range(len(names))] + [pa.array(rows[:, i]) for i in range(len(_FEATURES))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *_FEATURES])
 
     feats = slim.mapInArrow(run, schema)
     return feats.withColumn(
@@ -190,14 +191,11 @@ def _judged(feats: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns.
-
-    Documents are matched with their verdicts by ``doc_id``; of rows that share
-    an id (or have none), all stay if one of them is kept.
-    """
-    good = quality_verdicts(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    good = stored(good, "quality-kept")
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["_id"]), "left_semi")
+    """The rows of ``docs`` that are kept, with all their columns. Each row is matched with
+    its own verdict, whether or not it has an id or shares it."""
+    rows = keyed(docs)
+    good = stored(quality_verdicts(rows).where("kept").select(F.col(ROW).alias("_key")), "quality-kept")
+    return rows.join(good, rows[ROW] == good["_key"], "left_semi").select(*docs.columns)
 
 
 def q_quality(spark, sf_dir):

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import stored, table, text_bytes
+from wordfold.llm.common import ROW, keyed, row_key, stored, table, text_bytes
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -70,15 +70,17 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer."""
-    slim = docs.select("doc_id", text_bytes().alias("_text"))
+    key = row_key(docs)
+    slim = docs.select("doc_id", text_bytes().alias("_text"), *key)
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(x.as_py(), shingle) for x in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            cols = [b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "fp", *key])
 
-    return slim.mapInArrow(run, f"doc_id {id_type}, fp bigint")
+    return slim.mapInArrow(run, f"doc_id {id_type}, fp bigint" + "".join(f", {c} bigint" for c in key))
 
 
 class Golay:
@@ -279,8 +281,8 @@ def star_components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def simhash_components(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs`` (``doc_id, text``)."""
+def _named_rows(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """The fingerprints of ``docs`` with ``root`` and ``component_id`` of their components."""
     fps = stored(fingerprints(docs, shingle), "simhash-fingerprints")
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     stars = star_components(fingerprint_links(nodes, bits))
@@ -290,17 +292,23 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_
     placed = stored(placed, "simhash-placed")
     ids = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-ids")
     named = placed.join(ids.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"))
-    named = stored(named.select(F.col("fp").alias("_fp"), "component_id"), "simhash-named")
-    return fps.join(named, fps.fp == named["_fp"]).select("doc_id", "fp", "component_id")
+    named = stored(named.select(F.col("fp").alias("_fp"), "root", "component_id"), "simhash-named")
+    return fps.join(named, fps.fp == named["_fp"]).drop("_fp")
+
+
+def simhash_components(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row of ``docs`` (``doc_id, text``)."""
+    return _named_rows(docs, shingle, bits).select("doc_id", "fp", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all columns.
-    Rows without an id stay only if their component has no id at all."""
-    found = simhash_components(docs, shingle, bits)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    first = stored(first.distinct(), "simhash-first")
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
+    """One row of ``docs`` for each component, with all columns: one with its smallest id.
+    A row without an id stays only if its component has no id at all."""
+    rows = keyed(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("least")
+    first = _named_rows(rows, shingle, bits).groupBy("root").agg(least)
+    first = stored(first.select(F.col(f"least.{ROW}").alias("_key")), "simhash-first")
+    return rows.join(first, rows[ROW] == first["_key"], "left_semi").select(*docs.columns)
 
 
 def q_simhash(spark, sf_dir):
