@@ -1,0 +1,48 @@
+"""Which candidates are examples, and which ones the trees decide."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordfold.llm import pii
+
+
+def card(r: random.Random, n: int) -> str:
+    """``n`` digits, the last one the check digit."""
+    d = [r.randint(1, 9) for _ in range(n - 1)]
+    s = sum(x if i % 2 else 2 * x - 9 * (x > 4) for i, x in enumerate(reversed(d)))
+    return "".join(map(str, d)) + str(-s % 10)
+
+
+def corpus() -> list[str]:
+    r = random.Random(3)
+    out = []
+    for i in range(400):
+        c = card(r, 16)
+        sep = (" ", "-", "")[i % 3]
+        out.append(f"pay by card {sep.join(c[j : j + 4] for j in range(0, 16, 4))} now")
+        wrong = c[:-1] + str((int(c[-1]) + 3) % 10)
+        out.append(f"order {wrong} of {r.randint(10, 10**7)} in {r.randint(1900, 2100)}")
+    return out
+
+
+PLANTED = {"3782 822463 10005": True, "4111.1111.1111.1111": True, "5555  5555  5555  4444": True, "30569309025904": True, "4111.1111.1111.1112": False, "3782 822463 10006": False}
+
+
+def spans(df, model=None) -> dict:
+    return {r[0]: r[1] for r in pii.personal_spans(df, model).select("text", F.expr(pii._listed("_all_"))).collect()}
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    texts = corpus() + [f"visa card {m} paid" for m in PLANTED]
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+
+
+def test_cards_of_other_forms_are_added(planted):
+    got = spans(planted)
+    for m, is_card in PLANTED.items():
+        assert (f"card:10:{10 + len(m)}" in got[f"visa card {m} paid"].split(",")) == is_card, m

@@ -10,7 +10,8 @@ is shuffled but the bounded training sample. Matches of a pattern come from
   ones) and may overlap.
 * A candidate that overlaps a valid base match of its kind is a positive
   example, one that overlaps an invalid base match is a negative one and is
-  never redacted. At most ``SAMPLE`` such rows, spread over all documents by hash,
+  never redacted. The base pattern of cards matches any two digits, so a card
+  candidate is negative by its own digits: not 13 to 19, or a wrong check digit. At most ``SAMPLE`` such rows, spread over all documents by hash,
   fit gradient-boosted trees over format and context features; a quarter of
   them is held out, and each kind's threshold is the least score at which
   the held-out precision is ``PRECISION``.
@@ -155,6 +156,13 @@ FEATURES = {
 }
 
 
+def _negative(kind: str) -> str:
+    """SQL: candidate ``x``, which overlaps no valid base match of its kind, is a negative example."""
+    if kind == "card":
+        return f"NOT (length({_DIGITS.format(m='x.m')}) BETWEEN 13 AND 19 AND {_luhn('x.m')})"
+    return _overlaps("x", f"_raw_{kind}")
+
+
 def candidates(df: DataFrame) -> DataFrame:
     """``base_spans`` output with ``_cands``: every generator's spans with features and ``label``
     (1, 0, or null where the base patterns do not decide)."""
@@ -164,7 +172,7 @@ def candidates(df: DataFrame) -> DataFrame:
         f"transform(concat(_raw_{k}, _loose_{k}), x -> named_struct('kind', {i}, 'start', x.start, 'stop', x.stop, 'm', x.m, "
         f"'before', substring(_text, CAST(greatest(x.start - {CONTEXT}, 0) + 1 AS INT), CAST(least(x.start, {CONTEXT}) AS INT)), "
         "'after', substring(_text, CAST(x.stop + 1 AS INT), 1), "
-        f"'label', CASE WHEN {_overlaps('x', f'_base_{k}')} THEN 1 WHEN {_overlaps('x', f'_raw_{k}')} THEN 0 END))"
+        f"'label', CASE WHEN {_overlaps('x', f'_base_{k}')} THEN 1 WHEN {_negative(k)} THEN 0 END))"
         for i, k in enumerate(KINDS)
     ]
     return df.withColumn("_cands", F.expr(f"concat({', '.join(parts)})"))
