@@ -46,3 +46,27 @@ def test_cards_of_other_forms_are_added(planted):
     got = spans(planted)
     for m, is_card in PLANTED.items():
         assert (f"card:10:{10 + len(m)}" in got[f"visa card {m} paid"].split(",")) == is_card, m
+
+
+def test_thresholds_count_every_held_out_example(spark):
+    rows = [(0, 1.0, True, 2.0, 1), (0, 1.0, True, 1.0, 99), (0, 0.0, True, 1.0, 1), (0, 0.0, True, 0.0, 50),
+            (1, 1.0, False, 3.0, 5), (1, 0.0, False, 1.0, 5), (2, 0.0, True, 1.0, 5)]
+    scored = spark.createDataFrame(rows, "kind_id int, label double, held boolean, score double, n long")
+    assert pii.span_thresholds(scored) == {0: 1.0, 1: 3.0}
+
+
+def test_copies_do_not_fill_the_sample(spark, planted):
+    copies = spark.range(5000).selectExpr("id + 100000 AS doc_id", "'order 123 of 45 in 1999' AS text")
+    df = planted.union(copies)
+    rows = pii.examples(df)
+    assert rows.agg(F.sum("n")).first()[0] > 15000 > 20 * rows.count()
+    model = pii.fit_spans(df, sample=400)
+    assert 2 in model.thresholds
+    got = spans(planted, model)
+    assert all((f"card:10:{10 + len(m)}" in got[f"visa card {m} paid"].split(",")) == is_card for m, is_card in PLANTED.items())
+
+
+def test_emails_have_negative_examples(spark):
+    df = spark.createDataFrame([(1, "bob (at) example (dot) org or tom [at] 3.5")], "doc_id long, text string")
+    c = pii.candidates(pii.base_spans(df)).selectExpr("inline(_cands)").where("kind = 0")
+    assert {(r.m, r.label) for r in c.collect()} == {("bob (at) example (dot) org", None), ("tom [at] 3.5", 0)}

@@ -1,7 +1,7 @@
 """Personal data: base patterns, and further spans chosen by boosted trees.
 
 Everything is DataFrame and SQL expressions over one row per document; nothing
-is shuffled but the bounded training sample. Matches of a pattern come from
+is shuffled but counts of equal examples. Matches of a pattern come from
 ``regexp_extract_all``, and their places from the lengths of the pieces that
 ``split`` leaves between them, both in code points.
 
@@ -11,10 +11,13 @@ is shuffled but the bounded training sample. Matches of a pattern come from
 * A candidate that overlaps a valid base match of its kind is a positive
   example, one that overlaps an invalid base match is a negative one and is
   never redacted. The base pattern of cards matches any two digits, so a card
-  candidate is negative by its own digits: not 13 to 19, or a wrong check digit. At most ``SAMPLE`` such rows, spread over all documents by hash,
-  fit gradient-boosted trees over format and context features; a quarter of
-  them is held out, and each kind's threshold is the least score at which
-  the held-out precision is ``PRECISION``.
+  candidate is negative by its own digits: not 13 to 19, or a wrong check digit.
+  Every base match of an e-mail address is valid, so a candidate is negative if
+  its host does not end in letters. Equal examples are counted over all documents. A quarter
+  of them is held out; at most ``SAMPLE`` of the other distinct ones, with equal parts
+  for each kind and label, fit gradient-boosted trees over format and context
+  features. Each kind's threshold is the least score at which the precision over
+  all held-out examples is ``PRECISION``.
 * The other candidates that reach their kind's threshold are added. The trees
   are applied as SQL ``IF`` expressions.
 
@@ -158,6 +161,8 @@ FEATURES = {
 
 def _negative(kind: str) -> str:
     """SQL: candidate ``x``, which overlaps no valid base match of its kind, is a negative example."""
+    if kind == "email":  # no base match is invalid; no host ends in anything but letters
+        return "NOT x.m RLIKE '[A-Za-z]{2,}$'"
     if kind == "card":
         return f"NOT (length({_DIGITS.format(m='x.m')}) BETWEEN 13 AND 19 AND {_luhn('x.m')})"
     return _overlaps("x", f"_raw_{kind}")
@@ -199,29 +204,49 @@ def _tree_sql(node, names: list[str]) -> str:
     return f"IF({FEATURES[names[s.featureIndex()]]} <= {s.threshold()!r}D, {left}, {right})"
 
 
-def fit_spans(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> SpanModel:
-    """Fit the trees and thresholds on at most ``sample`` labelled candidates of ``docs``."""
+def examples(docs: DataFrame) -> DataFrame:
+    """The labelled candidates of all ``docs``, equal ones counted: ``kind_id, label, held``, the
+    features and ``n``. Features are small numbers, so there are few rows for any corpus, and copies
+    of a text only raise counts."""
     x = candidates(base_spans(docs)).select(F.explode(F.expr("filter(_cands, c -> c.label IS NOT NULL)")).alias("x"))
     rows = x.select(
         F.expr("x.kind AS kind_id"), F.expr("CAST(x.label AS DOUBLE) AS label"),
-        F.expr("xxhash64(x.kind, x.start, x.m, x.before) AS h"), *[F.expr(f"{v} AS f_{k}") for k, v in FEATURES.items()],
+        F.expr("xxhash64(x.kind, x.start, x.m, x.before) % 4 = 0 AS held"), *[F.expr(f"{v} AS f_{k}") for k, v in FEATURES.items()],
     )
-    columns = [c for c in rows.columns if c != "h"]
-    rows = stored(rows.orderBy("h", *columns).limit(sample), "pii-sample")
-    train, held = rows.where("h % 4 <> 0"), rows.where("h % 4 = 0")
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def fit_spans(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> SpanModel:
+    """Fit the trees on at most ``sample`` kinds of labelled candidates of ``docs``, and the
+    thresholds on all held-out ones."""
+    rows = stored(examples(docs), "pii-examples")
+    names = list(FEATURES)
+    columns = ["label", *[f"f_{k}" for k in names]]
+    train, quota = None, sample // (2 * len(KINDS))
+    for kind in range(len(KINDS)):
+        for label in (0.0, 1.0):
+            one = rows.where((F.col("kind_id") == kind) & (F.col("label") == label) & ~F.col("held"))
+            one = one.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(quota)
+            train = one if train is None else train.union(one)
+    train = stored(train, "pii-sample")
     if train.select("label").distinct().count() < 2:
         return SpanModel(None, {})
-    names = list(FEATURES)
     assembled = VectorAssembler(inputCols=[f"f_{k}" for k in names], outputCol="features").transform(train)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(assembled.select("features", "label"))
     parts = [f"{w!r}D * {_tree_sql(t._java_obj.rootNode(), names)}" for t, w in zip(model.trees, model.treeWeights)]
     score = f"round({' + '.join(parts)}, 6)"
-    held = held.select("kind_id", "label", F.expr(_over_columns(score)).alias("score"))
-    by_score = held.groupBy("kind_id", "score").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+    return SpanModel(score, span_thresholds(rows.withColumn("score", F.expr(_over_columns(score))), precision))
+
+
+def span_thresholds(scored: DataFrame, precision: float = PRECISION) -> dict[int, float]:
+    """The least score of each kind at which the precision over all held-out examples of ``scored``
+    (``kind_id, label, held, score, n``) is ``precision``. A kind with no held-out example takes all it has."""
+    by_score = scored.groupBy("kind_id", "held", "score").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n"))
+    by_score = by_score.withColumn("any_held", F.expr("max(held) OVER (PARTITION BY kind_id)")).where("held OR NOT any_held")
     over = "OVER (PARTITION BY kind_id ORDER BY score DESC)"
     ranked = by_score.select("kind_id", "score", F.expr(f"sum(good) {over} / sum(n) {over} AS p"))
     least = ranked.where(F.col("p") >= precision).groupBy("kind_id").agg(F.min("score").alias("score"))
-    return SpanModel(score, {r.kind_id: r.score for r in least.collect()})  # one row per kind
+    return {r.kind_id: r.score for r in least.collect()}  # one row per kind
 
 
 def _over_columns(score: str) -> str:
