@@ -125,10 +125,24 @@ _WARC = (
     "CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to FROM f"
 )
 
+_NEGATIVES = (
+    "WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, "
+    "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE label IS NOT NULL "
+    "AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)), "
+    "pairs AS (SELECT a.rid, a.vec_id AS anchor_id, c.vec_id AS other, c.label = a.label AS same, "
+    "CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score FROM v a JOIN v c ON a.rid <> c.rid WHERE a.vec_id % 50 = 0), "
+    "pos AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, other) AS p FROM pairs WHERE same), "
+    "found AS (SELECT pos.anchor_id, pos.other AS positive_id, CAST(row_number() OVER (PARTITION BY pos.rid, p ORDER BY n.score DESC, n.other) AS INTEGER) AS rank, "
+    "n.other AS negative_id, pos.score AS positive_score, n.score AS negative_score FROM pos JOIN pairs n ON pos.rid = n.rid "
+    "AND p <= 5 AND NOT n.same AND 50 * pos.score <= 100 * n.score AND 100 * n.score <= 95 * pos.score) "
+    "SELECT * FROM found WHERE rank <= 3"
+)
+
 ORACLE_SQL = {
     "op1_quality": _quality(),
     "op2_suffix": _SUFFIX,
     "op3_chat": _CHAT,
     "op5_warc": _WARC,
     "op9_substring": _SUBSTRING,
+    "op11_negatives": _NEGATIVES,
 }

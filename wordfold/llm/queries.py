@@ -5,6 +5,7 @@ from __future__ import annotations
 from wordfold.llm.chat import q_chat
 from wordfold.llm.decontaminate import q_decontamination
 from wordfold.llm.mixing import q_mixing
+from wordfold.llm.negatives import q_negatives
 from wordfold.llm.oracle import ORACLE_SQL
 from wordfold.llm.pii import q_pii
 from wordfold.llm.quality import q_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_pii": q_pii,
     "op9_substring": q_substring,
     "op10_simhash": q_simhash,
+    "op11_negatives": q_negatives,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
