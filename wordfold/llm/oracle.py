@@ -138,6 +138,57 @@ _NEGATIVES = (
     "SELECT * FROM found WHERE rank <= 3"
 )
 
+_PIECES = "[^.!?]{1,96}[.!?]*[\\x20\\x09-\\x0D]*|[.!?]+[\\x20\\x09-\\x0D]*"
+_IN_SECTION = "[(CASE WHEN j = 1 THEN 1 ELSE ends[j - 1] + 1 END):ends[j]]"
+_PRINTS = (
+    "a AS (SELECT text, string_split(text, chr(10)) AS lines FROM texts), "
+    f"b AS (SELECT *, list_transform(lines, lambda l: list_transform(regexp_extract_all(l, '{_PIECES}'), lambda x: md5(x))) AS leaves FROM a), "
+    "c AS (SELECT *, list_transform(leaves, lambda h: md5('p' || coalesce(array_to_string(h, ''), ''))) AS paragraphs FROM b), "
+    "e AS (SELECT *, list_filter(range(1, len(paragraphs) + 1), lambda i: i = len(paragraphs) OR lines[i] = '' OR substr(paragraphs[i], 1, 1) < '4') AS ends FROM c), "
+    f"f AS (SELECT *, list_transform(range(1, len(ends) + 1), lambda j: md5('s' || array_to_string(paragraphs{_IN_SECTION}, ''))) AS sections, "
+    f"list_transform(range(1, len(ends) + 1), lambda j: array_to_string(list_transform(leaves{_IN_SECTION}, lambda h: "
+    "coalesce(array_to_string(list_transform(h, lambda x: substr(x, 1, 8)), ''), '')), ',')) AS shapes FROM e), "
+    "prints AS (SELECT text, sha256('r' || array_to_string(sections, '')) || ':' || array_to_string(shapes, ';') AS print, "
+    "list_distinct(flatten(list_transform(leaves, lambda h: list_transform(h, lambda x: substr(x, 1, 8))))) AS leafs FROM f)"
+)
+_NEAR = (
+    "CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE CAST(len(list_intersect({a}, {b})) * 2 AS DOUBLE) / (len({a}) + len({b})) END"
+)
+_FINGERPRINTS = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), o AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next "
+    "FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), "
+    "pairs AS (SELECT *, left(text, length(text) - length(text) // 2) || left(next, length(text) // 2) AS edited FROM o), "
+    "texts AS (SELECT text FROM pairs UNION SELECT edited FROM pairs), "
+    f"{_PRINTS} SELECT doc_id, length(o.text) AS n_chars, sha256(o.edited) AS edited_sha256, p.print AS fingerprint, q.print AS edited_fingerprint, "
+    f"{_NEAR.format(a='p.leafs', b='q.leafs')} AS near_edited, {_NEAR.format(a='p.leafs', b='r.leafs')} AS near_next "
+    "FROM pairs o JOIN prints p ON o.text = p.text JOIN prints q ON o.edited = q.text JOIN prints r ON o.next = r.text"
+)
+
+# CRC-32 bit by bit over the list b of bytes.
+_CRC_IN = "xor(c, CASE WHEN k % 8 = 0 THEN b[k // 8 + 1] ELSE 0 END)"
+_CRC = (
+    f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], range(8 * len(b))), lambda c, k: "
+    f"xor({_CRC_IN} >> 1, 3988292384 * ({_CRC_IN} & 1))), 4294967295)"
+)
+_VARIANTS = (
+    "WITH RECURSIVE runs AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, "
+    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{5,}')) AS run FROM documents) GROUP BY doc_id, run), "
+    "bytes AS (SELECT run, k, list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS BIGINT)) AS b "
+    "FROM (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs)), "
+    f"crcs AS (SELECT run, k, {_CRC} AS crc FROM bytes), "
+    "words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT k, CASE WHEN crc % 97 = 0 THEN left(run, crc % length(run)) || substr(run, crc % length(run) + 2) "
+    "ELSE run END AS word FROM crcs) WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3), "
+    "skips AS (SELECT word, n, left(word, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)), "
+    "shorter AS (SELECT DISTINCT s.word, s.n, w.word AS less, w.n AS less_n FROM skips s JOIN words w ON s.a || s.b = w.word), "
+    "near AS (SELECT x.word, y.word AS other, y.n FROM skips x JOIN skips y ON x.a = y.a AND x.b = y.b AND x.word <> y.word "
+    "UNION ALL SELECT word, less, less_n FROM shorter UNION ALL SELECT less, word, n FROM shorter), "
+    "best AS (SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS place FROM near), "
+    "forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 2 * w.n THEN other END AS form, CASE WHEN b.n >= 2 * w.n THEN b.n END AS form_n "
+    "FROM words w LEFT JOIN best b ON w.word = b.word AND place = 1), "
+    "paths AS (SELECT word, word AS root, 0 AS step FROM forms UNION ALL SELECT p.word, f.form, step + 1 FROM paths p JOIN forms f ON p.root = f.word WHERE f.form IS NOT NULL) "
+    "SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, arg_max(root, step) AS root FROM paths GROUP BY word) r ON f.word = r.word"
+)
+
 ORACLE_SQL = {
     "op1_quality": _quality(),
     "op2_suffix": _SUFFIX,
@@ -145,4 +196,6 @@ ORACLE_SQL = {
     "op5_warc": _WARC,
     "op9_substring": _SUBSTRING,
     "op11_negatives": _NEGATIVES,
+    "op12_fingerprints": _FINGERPRINTS,
+    "op13_variants": _VARIANTS,
 }

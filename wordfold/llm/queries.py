@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wordfold.llm.chat import q_chat
 from wordfold.llm.decontaminate import q_decontamination
+from wordfold.llm.merkle import q_fingerprints
 from wordfold.llm.mixing import q_mixing
 from wordfold.llm.negatives import q_negatives
 from wordfold.llm.oracle import ORACLE_SQL
@@ -13,6 +14,7 @@ from wordfold.llm.scoring import q_scoring
 from wordfold.llm.simhash import q_simhash
 from wordfold.llm.substring import q_substring
 from wordfold.llm.suffix import q_suffix
+from wordfold.llm.variants import q_variants
 from wordfold.llm.warc import q_warc
 
 QUERIES = {
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_substring": q_substring,
     "op10_simhash": q_simhash,
     "op11_negatives": q_negatives,
+    "op12_fingerprints": q_fingerprints,
+    "op13_variants": q_variants,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
