@@ -1,0 +1,101 @@
+"""Hard negatives against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from wordfold.llm import negatives
+
+SCHEMA = "vec_id long, label int, embedding array<float>, rid string, dim string, score string"
+ODD = [
+    (None, 1, [1.0, 2.0, 3.0, 4.0]), (50, None, [1.0, 2.0, 3.0, 4.0]), (51, 1, None), (52, 1, [1.0, None, 0.0, 0.0]),
+    (53, 1, [float("nan"), 0.0, 0.0, 0.0]), (54, 1, [float("inf"), 0.0, 0.0, 0.0]), (100, 2, [0.0, 0.0, 0.0, 0.0]),
+    (101, 2, [0.0, 0.0, 0.0, 0.0]), (102, 3, [1.0, 2.0]), (103, 3, []), (150, 3, []), (151, 3, []), (152, 4, []), (104, 1, [3e30, 0.0, 0.0, 0.0]),
+]
+
+
+def usable(rows: list) -> list:
+    fine = lambda e: all(x is not None and math.isfinite(x) and abs(x) * 256 < 2**31 for x in e)
+    return [(i, k, [math.floor(256 * float(np.float32(x))) for x in e]) for i, k, e in rows if None not in (i, k, e) and fine(e)]
+
+
+def slow(rows: list, positives: int = 5, wanted: int = 3, low: int = 50, high: int = 95) -> Counter:
+    rows, out = usable(rows), Counter()
+    for at, (i, k, e) in enumerate(rows):
+        if i % 50:
+            continue
+        score = [(-sum(map(lambda a, b: a * b, e, f)), j, g == k) for p, (j, g, f) in enumerate(rows) if p != at and len(f) == len(e)]
+        score.sort()
+        for s, j, _ in [x for x in score if x[2]][:positives]:
+            inside = [(n, m) for n, m, same in score if not same and low * -s <= 100 * -n <= high * -s]
+            for rank, (n, m) in enumerate(inside[:wanted]):
+                out[i, j, rank + 1, m, -s, -n] += 1
+    return out
+
+
+def frame(spark, rows: list):
+    return spark.createDataFrame([(*r, "a", "b", "c") for r in rows], SCHEMA).repartition(3)
+
+
+def drawn(seed: int, n: int, d: int) -> list:
+    r = random.Random(seed)
+    # few different values, so that scores tie
+    return [(i, r.randrange(4), [r.choice([-0.5, 0.25, 0.5, 1.0]) for _ in range(d)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    rows = drawn(seed, 400, 4) + ODD + [(7, 1, [0.5] * 4)] * 3 + [(0, 1, [1.0] * 4)] * 2 + [(200, 2, [1.0] * 4)]
+    want = slow(rows)
+    assert len(want) > 50
+    assert Counter(map(tuple, negatives.hard_negatives(frame(spark, rows), "vec_id % 50 = 0").collect())) == want
+
+
+def test_many_small_cells_and_other_settings(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "ROWS", 20)
+    monkeypatch.setattr(negatives, "ANCHORS", 2)
+    rows = drawn(3, 300, 6) + [(1000 + i, 0, [0.5] * 6) for i in range(150)]  # a third of all are one vector
+    got = negatives.hard_negatives(frame(spark, rows), "vec_id % 50 = 0", positives=2, negatives=4, low=10, high=100)
+    want = slow(rows, 2, 4, 10, 100)
+    assert Counter(map(tuple, got.collect())) == want and len(want) > 10
+
+
+def test_nothing(spark):
+    none = frame(spark, ODD).limit(0)
+    assert negatives.hard_negatives(none, "vec_id % 50 = 0").count() == 0
+    assert negatives.hard_negatives(frame(spark, ODD), "vec_id = 3").count() == 0
+    with pytest.raises(ValueError):
+        negatives.hard_negatives(none, "true", high=120)
+
+
+def test_large_scores_are_exact_or_an_error(spark):
+    big = 2.0**22 + 1
+    rows = [(0, 1, [big, 1.0]), (1, 1, [big, 2.0]), (2, 2, [big / 2, 1.0]), (3, 2, [big / 2, 2.0])]
+    assert Counter(map(tuple, negatives.hard_negatives(frame(spark, rows), "vec_id = 0").collect())) == slow(rows)
+    huge = [(i, i % 2, [2.0**22.9] * 40) for i in range(4)]
+    with pytest.raises(Exception, match="OverflowError"):
+        negatives.hard_negatives(frame(spark, huge), "vec_id = 0").collect()
+
+
+def test_keys_sort_like_the_pairs():
+    r = random.Random(5)
+    edge = [-(2**63), -1, 0, 1, 2**63 - 1]
+    some = [tuple(r.choice(edge) for _ in range(4)) for _ in range(300)]
+    a, b, s, o = (np.array(x, np.int64) for x in zip(*some))
+    keys = negatives.pair_keys(a, b, s, 1, o).to_pylist()
+    assert [negatives.pair_of(k) for k in keys] == [(*x[:3], 1, x[3]) for x in some]
+    by_key = [x for _, x in sorted(zip(keys, some), key=lambda p: p[0])]
+    assert by_key == sorted(some, key=lambda x: (x[0], x[1], -x[2], x[3]))
+
+
+def test_an_anchor_is_streamed(spark):
+    # the plan deals pairs by anchor and sorts them there; no aggregate or window gathers them
+    from wordfold.plans.inspect import plan_text
+
+    plan = plan_text(negatives.hard_negatives(frame(spark, drawn(1, 100, 2)), "vec_id % 50 = 0"))
+    assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

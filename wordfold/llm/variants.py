@@ -140,9 +140,9 @@ def node_pairs(words: DataFrame) -> DataFrame:
     the first of its run of equal ones, 2 nothing is skipped. ``words`` is ``id, word, n, fore, back``."""
     f, r, last = "concat(array(-1L), fore)", "concat(array(-1L), back)", "size(fore)"
     full = words.selectExpr("id", "n", f"{f} AS f", f"{r} AS r", f"{last} AS k", "split(word, '') AS c")
-    skips = "transform(sequence(0, k - 1), i -> struct(f[i] AS p, r[k - 1 - i] AS s, IF(i = 0 OR c[i] <> c[greatest(i - 1, 0)], 1, 0) AS kind))"
+    skips = "transform(slice(sequence(0, k), 1, k), i -> struct(f[i] AS p, r[k - 1 - i] AS s, IF(i = 0 OR c[i] <> c[greatest(i - 1, 0)], 1, 0) AS kind))"
     whole = "transform(sequence(0, k), i -> struct(f[i] AS p, r[k - i] AS s, 2 AS kind))"
-    each = full.where("k > 0").select("id", "n", F.explode(F.expr(f"concat({skips}, {whole})")).alias("x"))
+    each = full.select("id", "n", F.explode(F.expr(f"concat({skips}, {whole})")).alias("x"))
     return each.select("x.p", "x.s", "x.kind", "id", "n")
 
 
