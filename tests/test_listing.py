@@ -172,3 +172,35 @@ def test_repeated_inventory_keys_fold_like_a_dedupe(spark, inv):
     a = sorted(tuple(r) for r in path_status(manifest, doubled).collect())
     b = sorted(tuple(r) for r in path_status(manifest, deduped).collect())
     assert a == b
+
+
+# every name that path_status or key_facts gives a column of its own
+HELPERS = """row stem hot salt s k key n size parts j kind mtime plain_found plain_size plain_mtime slashed_found slashed_size
+slashed_mtime has_children root_has_keys _stem _hot _salt _s status length""".split()
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_path_status_with_any_manifest_column_names(spark, inv, split):
+    keys = ["a", "a/b.txt", "missing", None, "", "d/"]
+    names = [*HELPERS, "a.b", "a b", "we`ird"]
+    manifest = spark.createDataFrame([(k, *[f"{c} {i}" for c in names]) for i, k in enumerate(keys)], ["path", *names])
+    got = path_status(manifest, inv, "path", split_hot_keys=split, hot_sample_fraction=1.0)
+    kept = [c for c in names if c not in ("status", "length")]
+    assert got.columns == ["path", *kept, "status", "length"]
+    plain = path_status(manifest.select("path"), inv, "path", split_hot_keys=False)
+    by_key = {r.path: (r.status, r.length) for r in plain.collect()}
+    want = {(k, *[f"{c} {i}" for c in kept], *by_key[k]) for i, k in enumerate(keys)}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_path_status_replaces_its_result_columns_in_any_case(spark, inv):
+    got = path_status(spark.createDataFrame([("a", "x", "y")], ["path", "Status", "LENGTH"]), inv, "path")
+    assert got.columns == ["path", "status", "length"] and got.first().status == "dir"
+
+
+@pytest.mark.parametrize("name", ["stem", "we`ird"])
+def test_path_status_with_any_key_column_name(spark, inv, name):
+    keys = ["a", "a/b.txt", "missing", None, ""]
+    plain = path_status(spark.createDataFrame([(k,) for k in keys], ["path"]), inv, "path")
+    got = path_status(spark.createDataFrame([(k,) for k in keys], [name]), inv, name)
+    assert got.columns[0] == name and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)

@@ -216,15 +216,14 @@ def key_facts(inventory: DataFrame) -> DataFrame:
     return facts.groupBy("k").agg(*[F.expr(a) for a in aggs])
 
 
-def _status_sql(key: str) -> tuple[str, str, str]:
-    """SQL for ``status``, ``length`` and ``mtime`` of manifest key column ``key``
+def _status_sql(k: str) -> tuple[str, str, str]:
+    """SQL for ``status``, ``length`` and ``mtime`` of the manifest key ``k`` (SQL)
     over the ``key_facts`` of its stem (NULL facts: nothing is known about it).
 
     A key ending in ``/`` is looked up as the object ``stem/`` and then as a
     directory; any other key as the object, then its ``key/`` marker, then as a
     directory; the root only as a directory.
     """
-    k = f"`{key}`"
     plain = f"(NOT endswith({k}, '/') AND plain_found)"
     status = (
         f"CASE WHEN {k} = '' THEN IF(root_has_keys, '{STATUS_DIR}', '{STATUS_MISSING}') "
@@ -254,6 +253,9 @@ def path_status(
 ) -> DataFrame:
     """Status of every manifest key: manifest columns + ``status string, length bigint``.
 
+    Manifest columns may have any names. Those named like a result column
+    (``status``, ``length`` and, if the inventory has it, ``mtime``) are replaced by it.
+
     First match wins (root ``''`` skips the two object lookups):
 
     1. object ``key`` exists -> ``file`` with its size (``empty_dir`` if the key
@@ -281,28 +283,36 @@ def path_status(
     (e.g. after ``distinct``) may pass ``split_hot_keys=False`` to skip the detection.
     """
     facts = key_facts(inventory)
-    stemmed = manifest.withColumn("_stem", F.expr(_STEM_SQL.format(c=f"`{key_col}`")))
+    # the manifest's row travels as one struct, so its column names meet no others
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in manifest.columns}
+    key = quoted.get(key_col, "`" + key_col.replace("`", "``") + "`")
+    packed = manifest.select(
+        F.struct(*[F.col(q) for q in quoted.values()]).alias("row"),
+        F.expr(_STEM_SQL.format(c=key)).alias("stem"),
+    )
     if split_hot_keys:
-        hot = hot_keys(stemmed, "_stem", hot_share, hot_sample_fraction).select(F.col("key").alias("_hot"))
+        hot = hot_keys(packed, "stem", hot_share, hot_sample_fraction).select(F.col("key").alias("hot"))
         task = F.spark_partition_id()
-        tagged = stemmed.join(F.broadcast(hot), F.col("_stem") == F.col("_hot"), "left").select(
-            *[F.col(f"`{c}`") for c in manifest.columns],
-            F.coalesce(F.col("_stem"), task.cast("string")).alias("_stem"),
-            F.when(F.col("_stem").isNull(), F.lit(-1))
-            .when(F.col("_hot").isNotNull(), F.pmod(task, F.lit(salts)))
+        tagged = packed.join(F.broadcast(hot), F.col("stem") == F.col("hot"), "left").select(
+            "row",
+            F.coalesce(F.col("stem"), task.cast("string")).alias("stem"),
+            F.when(F.col("stem").isNull(), F.lit(-1))
+            .when(F.col("hot").isNotNull(), F.pmod(task, F.lit(salts)))
             .otherwise(F.lit(0))
-            .alias("_salt"),
+            .alias("salt"),
         )
         every = F.sequence(F.lit(0), F.lit(salts - 1))
-        salted = facts.join(F.broadcast(hot), F.col("k") == F.col("_hot"), "left").select(
-            *facts.columns, F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0)))).alias("_s")
+        salted = facts.join(F.broadcast(hot), F.col("k") == F.col("hot"), "left").select(
+            *facts.columns, F.explode(F.when(F.col("hot").isNotNull(), every).otherwise(F.array(F.lit(0)))).alias("s")
         )
-        resolved = tagged.join(salted, (F.col("_stem") == F.col("k")) & (F.col("_salt") == F.col("_s")), "left")
+        resolved = tagged.join(salted, (F.col("stem") == F.col("k")) & (F.col("salt") == F.col("s")), "left")
     else:
-        resolved = stemmed.join(facts, F.col("_stem") == facts["k"], "left")
+        resolved = packed.join(facts, F.col("stem") == F.col("k"), "left")
 
-    status, length, mtime = _status_sql(key_col)
+    status, length, mtime = _status_sql(f"row.{key}")
     out = [F.expr(status).alias("status"), F.expr(length).alias("length")]
     if _has_mtime(inventory):
         out.append(F.expr(mtime).alias(MTIME))
-    return resolved.select(*[F.col(f"`{c}`") for c in manifest.columns], *out)
+    replaced = {"status", "length", MTIME} if _has_mtime(inventory) else {"status", "length"}
+    kept = [F.expr(f"row.{q}").alias(c) for c, q in quoted.items() if c.lower() not in replaced]
+    return resolved.select(*kept, *out)
