@@ -112,8 +112,8 @@ def window_hashes(symbols: np.ndarray, k: int) -> np.ndarray:
 
 #: A scrambled value for each byte, and what bytes separate words.
 BYTE_SYMBOLS = mix64(np.arange(1, 257, dtype=np.uint64) * _U(_MULT))
-_BREAK = np.zeros(256, bool)
-_BREAK[[0x20, 9, 10, 11, 12, 13]] = True
+WORD_BREAK = np.zeros(256, bool)
+WORD_BREAK[[0x20, 9, 10, 11, 12, 13]] = True
 _POWERS: list[np.ndarray] = []
 
 
@@ -139,7 +139,7 @@ def word_symbols(data: bytes) -> np.ndarray:
     """A 64-bit symbol for each word (a run of anything but ASCII white space) of a text."""
     raw = np.frombuffer(data, np.uint8)
     gap = np.ones(len(raw) + 2, bool)
-    gap[1:-1] = _BREAK[raw]
+    gap[1:-1] = WORD_BREAK[raw]
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     return stretch_hashes(BYTE_SYMBOLS[raw], edge[0::2], edge[1::2])
 

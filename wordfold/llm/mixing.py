@@ -7,31 +7,37 @@ draw over the shards, seeded by the source, so every shard is a random mix by
 the target weights while each source's total stays at its target. A slot's
 number is mapped through the source's pseudorandom permutation of its block
 numbers (one permutation per pass over the source), and slots and blocks are
-joined by source and block number.
+joined by source and block number: ``mix`` gives the words of every slot.
 
-Documents are laid out in hash order within ``BUCKETS`` buckets per source, so
-a source with most of the rows is summed up in many tasks, and the layout is the
-same in every run.
+Documents lie in hash order within buckets of a source, about ``BUCKET_WORDS``
+words each; a bucket's last block is short. So a source with most of the rows is
+packed in many tasks, and the layout is the same in every run. The texts move once,
+to their buckets; a slot finds the bucket of its block by the block's number and
+meets the texts there. Block numbers of a bucket are one range, so that the
+packed words never move again.
 
 Defined results: words are runs of anything but ASCII white space; a null or
 empty text has no words and is never taken; null sources are one source, the
 last; null ids and repeated rows are documents of their own (equal ones take
-equal places by order, so they share their counts' sum in any order); an
-empty table gives no rows; other columns are ignored by ``mix_plan`` and kept
-by ``mix_documents``.
+equal places by order, so they share their counts' sum in any order, and lie in one
+bucket); an empty table gives no rows; other columns are ignored by ``mix_plan`` and kept
+by ``mix`` and ``mix_documents``, but for those named like a column that these add.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from wordfold.llm.common import ROW, keyed, mix64, row_key, spread, stored, table, text_bytes
+from wordfold.llm.common import WORD_BREAK, mix64, spread, stored, table, text_bytes
 
 WEIGHTS = (3, 1, 2)
 TOTAL_PERCENT = 150
@@ -39,23 +45,29 @@ MAX_PASSES = 2
 BLOCK = 32
 #: Blocks to an output shard, about.
 SHARD = 4096
-BUCKETS = 1024
+#: Words of a bucket, about: what one task packs at a time.
+BUCKET_WORDS = 1 << 18
+#: Block numbers in which a slot looks for its bucket.
+_CELL = 4096
 SEED = 20_011
 
 
-def document_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size`` of ``docs`` (``doc_id, text, source``)."""
-    key = row_key(docs)
-    slim = docs.select("doc_id", "source", text_bytes().alias("_text"), *key)
+def _order(seed: int):
+    """A document's place in its source, the same in every run."""
+    return F.xxhash64(F.col("doc_id"), text_bytes(), F.lit(seed))
+
+
+def document_sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``doc_id, source, size, ord`` of ``docs`` (``doc_id, text, source``)."""
+    slim = docs.select("doc_id", "source", text_bytes().alias("_text"), _order(seed).alias("ord"))
     kinds = [slim.schema[c].dataType.simpleString() for c in ("doc_id", "source")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size = pa.array([len(x.as_py().split()) for x in b.column(2)], pa.int64())
-            cols = [b.column(0), b.column(1), size, *b.columns[3:]]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "size", *key])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), size, b.column(3)], names=["doc_id", "source", "size", "ord"])
 
-    return slim.mapInArrow(run, f"doc_id {kinds[0]}, source {kinds[1]}, size bigint" + "".join(f", {c} bigint" for c in key))
+    return slim.mapInArrow(run, f"doc_id {kinds[0]}, source {kinds[1]}, size bigint, ord bigint")
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -110,8 +122,7 @@ def _permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
 def mix_slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
     """``shard, sid, slot, block``: every slot of the mix and the block that fills it.
 
-    ``sources`` is ``sid, source_size, target`` with the total number of slots as
-    ``total_slots``. Slots of a source are made in runs of 2^16, so a large source is
+    ``sources`` is ``sid, blocks, slots, shards`` of ``source_slots``. Slots of a source are made in runs of 2^16, so a large source is
     spread over many tasks.
     """
     run_size = 1 << 16
@@ -139,66 +150,182 @@ def mix_slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed:
     return spread(runs, "sid", "run").mapInArrow(make, "shard bigint, sid bigint, slot bigint, block bigint")
 
 
-def source_slots(targets: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
-    """Adds ``blocks`` (of the source), ``slots`` (its target in blocks) and ``shards`` (of the mix)."""
-    blocks = F.ceil(F.col("source_size") / block)
-    # the last block may be short, so a slot is worth source_size / blocks words
-    worth = F.when(F.col("source_size") > 0, F.col("target") * blocks / F.col("source_size")).otherwise(0.0)
-    slots = F.least(F.round(worth).cast("bigint"), MAX_PASSES * blocks)
-    df = targets.withColumns({"blocks": blocks, "slots": slots})
+def source_slots(targets: DataFrame, shard: int = SHARD) -> DataFrame:
+    """``targets`` (with ``blocks``, those of the source) plus ``slots`` (its target in blocks) and ``shards`` (of the mix)."""
+    # blocks may be short, so a slot is worth source_size / blocks words
+    worth = F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0)
+    df = targets.withColumn("slots", F.least(F.round(worth).cast("bigint"), MAX_PASSES * F.col("blocks")))
     total = F.sum("slots").over(Window.partitionBy())
     return df.withColumn("shards", F.greatest(F.lit(1), F.ceil(total / shard)).cast("bigint"))
 
 
-def block_pieces(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``pid, sid, block, words``: how many words of document ``pid`` are in each block of its
-    source. ``sizes`` is a stored table ``pid, sid, bucket, size``."""
-    sums = sizes.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
+def bucket_blocks(known: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``sid, bucket, first, n``: the first block of each bucket and their number. ``known`` is a stored
+    table of documents with ``sid, bucket, size``."""
+    per = known.groupBy("sid", "bucket").agg(F.ceil(F.sum("size") / block).alias("n")).where("n > 0")
     w = Window.partitionBy("sid").orderBy("bucket")
-    starts = sums.select(
-        F.col("sid").alias("_sid"), F.col("bucket").alias("_bucket"), (F.sum("n").over(w) - F.col("n")).alias("_start")
-    )
-    starts = stored(starts, "mix-starts")
-    inside = Window.partitionBy("sid", "bucket").orderBy("pid")
-    at = F.col("_start") + F.sum("size").over(inside) - F.col("size")
-    placed = sizes.join(starts, (F.col("sid") == F.col("_sid")) & (F.col("bucket") == F.col("_bucket")))
-    placed = placed.where("size > 0").select("pid", "sid", "size", at.alias("at"))
-    b = F.explode(F.expr(f"sequence(at DIV {block}, (at + size - 1) DIV {block})")).alias("block")
-    words = F.expr(f"least(at + size, (block + 1) * {block}) - greatest(at, block * {block})")
-    return placed.select("pid", "sid", "at", "size", b).select("pid", "sid", "block", words.alias("words"))
+    return per.select("sid", "bucket", (F.sum("n").over(w) - F.col("n")).alias("first"), "n")
 
 
-def mix_plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED):
-    """``(documents, slots)``: documents as a stored table ``pid, doc_id, source, size, source_size,
-    target, sid, taken``, and the mix itself as ``shard, sid, slot, block``."""
-    sizes = stored(document_sizes(docs), "mix-sizes")
-    sources = stored(source_slots(source_targets(sizes), block, shard), "mix-sources")
-    order = F.xxhash64(F.col("doc_id"), F.col("size"), F.lit(seed))
-    to_source = sources.select(F.col("source").alias("_source"), "sid", "source_size", "target")
+def slots_of_buckets(slots: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``slots`` (``shard, sid, slot, block``) with ``bucket`` and ``at``, the block's number in it."""
+    cells = buckets.select(
+        F.col("sid").alias("_sid"), "bucket", "first", "n",
+        F.explode(F.expr(f"sequence(first DIV {_CELL}, (first + n - 1) DIV {_CELL})")).alias("cell"),
+    )
+    found = slots.join(
+        cells.hint("merge"), (F.col("sid") == F.col("_sid")) & (F.expr(f"block DIV {_CELL}") == F.col("cell")) & F.expr("block >= first AND block < first + n")
+    )
+    return found.select("shard", "sid", "slot", "block", "bucket", (F.col("block") - F.col("first")).alias("at"))
+
+
+def _word_starts(data: bytes) -> np.ndarray:
+    gap = np.ones(len(data) + 1, bool)
+    gap[1:] = WORD_BREAK[np.frombuffer(data, np.uint8)]
+    return np.flatnonzero(gap[:-1] & ~gap[1:])
+
+
+class _Bucket:
+    """The documents of a bucket in their order, as one text, and where its blocks are cut."""
+
+    def __init__(self, docs: pa.Table, block: int) -> None:
+        ids, order = docs.column("_id").to_pylist(), docs.column("_ord").to_pylist()
+        texts = docs.column("_text").to_pylist()
+        starts = [_word_starts(t).tolist() for t in texts]
+        # nulls come first, as in the order of the places
+        self.rows = sorted(range(len(ids)), key=lambda i: (order[i], ids[i] is not None, ids[i] if ids[i] is not None else 0, len(starts[i])))
+        self.texts, self.sizes = [texts[i] for i in self.rows], [len(starts[i]) for i in self.rows]
+        # white space goes with the word before it, and with the first word
+        self.cuts = [[0, *starts[i][1:], len(texts[i])] for i in self.rows]
+        self.upto = [0, *np.cumsum(self.sizes, dtype=np.int64).tolist()]
+        self.block = block
+
+    def pieces(self, at: int) -> Iterator[tuple[int, int, bytes]]:
+        """``(place, words, text)`` of the documents in block ``at``."""
+        lo, hi = at * self.block, min((at + 1) * self.block, self.upto[-1])
+        place = bisect_right(self.upto, lo) - 1
+        while lo < hi:
+            first = lo - self.upto[place]
+            n = min(hi - lo, self.sizes[place] - first)
+            if n > 0:
+                yield place, n, self.texts[place][self.cuts[place][first] : self.cuts[place][first + n]]
+                lo += n
+            place += 1
+
+
+#: What ``mix`` adds to the columns of the documents.
+PIECE = ("shard", "slot", "part", "n_words", "taken")
+_MINE = ("_sid", "_bucket", "_place")
+
+
+def _gathered(docs: DataFrame, block: int, shard: int, seed: int, drop: tuple[str, ...]):
+    """The documents' table, the slots, and a function that runs a task over each bucket's texts and slots."""
+    sizes = stored(document_sizes(docs, seed), "mix-sizes")
+    targets = source_targets(sizes).withColumn("buckets", F.greatest(F.lit(1), F.ceil(F.col("source_size") / BUCKET_WORDS)))
+    targets = stored(targets, "mix-targets")
+    to_source = targets.select(F.col("source").alias("_source"), "sid", "source_size", "target", "buckets")
     known = sizes.join(to_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    # pid: a place in the layout that is the same in every run (ties only among equal rows)
-    known = known.withColumn("bucket", F.pmod(order, F.lit(BUCKETS)))
-    inside = Window.partitionBy("sid", "bucket").orderBy(order, "doc_id", "size")
-    known = known.withColumn("pid", F.col("bucket") + BUCKETS * F.row_number().over(inside).cast("bigint"))
-    known = stored(known, "mix-documents")
-    pieces = block_pieces(known.select("pid", "sid", "bucket", "size"), block)
+    known = known.withColumn("bucket", F.pmod("ord", "buckets"))
+    inside = Window.partitionBy("sid", "bucket").orderBy("ord", "doc_id", "size")
+    known = stored(known.withColumn("place", F.row_number().over(inside).cast("bigint") - 1), "mix-documents")
+    buckets = stored(bucket_blocks(known, block), "mix-buckets")
+    blocks = buckets.groupBy(F.col("sid").alias("_sid")).agg(F.sum("n").alias("_blocks"))
+    sources = targets.join(blocks, F.col("sid") == F.col("_sid"), "left").withColumn("blocks", F.coalesce("_blocks", F.lit(0).cast("bigint")))
+    sources = stored(source_slots(sources.drop("_sid", "_blocks"), shard), "mix-sources")
     slots = mix_slots(sources.select("sid", "blocks", "slots", "shards"), block, shard, seed)
-    times = slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
-    # the planner takes the slots for as small as the sources they are made from: no broadcast
-    used = pieces.join(times.hint("merge"), ["sid", "block"]).groupBy("sid", "pid").agg(F.sum(F.expr("words * times")).alias("taken"))
-    used = stored(used.select(F.col("sid").alias("_sid"), F.col("pid").alias("_pid"), "taken"), "mix-taken")
-    found = known.join(used, (F.col("sid") == F.col("_sid")) & (F.col("pid") == F.col("_pid")), "left")
-    return found.withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint"))).drop("_sid", "_pid", "bucket"), slots
+
+    # the caller's row travels as a struct, so that its names meet no others
+    kept = [f for f in docs.schema.fields if f.name not in drop]
+    packed = docs.select(
+        F.struct(*[F.col(f"`{f.name}`") for f in kept if f.name != "text"]).alias("_row"), F.col("doc_id").alias("_id"),
+        F.col("source").alias("_own_source"), text_bytes().alias("_text"), F.col("text").isNull().alias("_none"), _order(seed).alias("_ord"),
+    )
+    texts = packed.join(to_source, F.col("_own_source").eqNullSafe(F.col("_source")))
+    texts = texts.select(
+        F.col("sid").alias("_sid"), F.pmod("_ord", "buckets").alias("_bucket"), "_row", "_id", "_text", "_none", "_ord", "source_size", "target"
+    )
+
+    def over(task, fields: list[StructField]) -> DataFrame:
+        routed = slots_of_buckets(slots, buckets).select("shard", "slot", "at", F.col("sid").alias("_sid"), F.col("bucket").alias("_bucket"))
+        key = ("_sid", "_bucket")
+        schema = StructType([StructField("_row", texts.schema["_row"].dataType), *fields])
+        found = texts.groupBy(*key).cogroup(routed.groupBy(*key)).applyInArrow(task, schema)
+        of_row = lambda f: F.col("_row").getField(f.name).alias(f.name)
+        return found.select(*[F.col("text") if f.name == "text" else of_row(f) for f in kept], *[f.name for f in fields if f.name != "text"])
+
+    return known, slots, over
+
+
+def _mixed(docs: DataFrame, block: int, shard: int, seed: int):
+    """``(known, slots, mix)``: documents, slots, and the rows of ``mix`` with the places of the documents."""
+    known, slots, over = _gathered(docs, block, shard, seed, (*PIECE, *_MINE))
+    long = [StructField(c, LongType()) for c in ("shard", "slot")]
+    fields = [StructField("text", StringType()), *long, StructField("part", IntegerType())]
+    fields += [StructField(c, LongType()) for c in ("n_words", "taken", *_MINE)]
+
+    def fill(texts: pa.Table, slots: pa.Table) -> pa.Table:
+        bucket = _Bucket(texts, block)
+        rows = sorted(zip(*(slots.column(c).to_pylist() for c in ("at", "shard", "slot"))))
+        out, taken = [], np.zeros(len(texts), np.int64)
+        for at, in_shard, slot in rows:
+            for part, (place, n, text) in enumerate(bucket.pieces(at)):
+                out.append((bucket.rows[place], text, in_shard, slot, part, n, place))
+                taken[place] += n
+        which, text, in_shard, slot, part, n, place = zip(*out) if out else ((),) * 7
+        whole = lambda v: pa.array(np.full(len(out), v, np.int64))
+        sid, own = (texts.column(c)[0].as_py() if len(texts) else 0 for c in ("_sid", "_bucket"))
+        columns = [
+            texts.column("_row").take(pa.array(which, pa.int64())), pa.array(text, pa.binary()).cast(pa.string()), pa.array(in_shard, pa.int64()),
+            pa.array(slot, pa.int64()), pa.array(part, pa.int32()), pa.array(n, pa.int64()), pa.array(taken[np.array(place, np.int64)]),
+            whole(sid), whole(own), pa.array(place, pa.int64()),
+        ]
+        return pa.Table.from_arrays(columns, names=["_row", "text", "shard", "slot", "part", "n_words", "taken", *_MINE])
+
+    return known, slots, over(fill, fields)
+
+
+def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
+    """The mix: a row for each document in each slot, with the columns of ``docs`` (``doc_id, text, source``
+    and any others) and ``shard, slot, part, n_words, taken``.
+
+    ``text`` is what the slot holds of the document, ``n_words`` words with the white space after them;
+    ``part`` orders the documents of a slot (a slot is told by ``source`` and ``slot``), and ``taken`` is
+    the number of words that the whole mix takes of the document.
+    """
+    _, _, rows = _mixed(docs, block, shard, seed)
+    return rows.drop(*_MINE)
+
+
+def mix_plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED):
+    """``(documents, slots)``: documents as ``doc_id, source, size, source_size,
+    target, sid, taken``, counted in the words of the mix, and the slots as ``shard, sid, slot, block``."""
+    known, slots, rows = _mixed(docs, block, shard, seed)
+    used = rows.groupBy(*_MINE).agg(F.sum("n_words").alias("taken"))
+    on = (F.col("sid") == F.col("_sid")) & (F.col("bucket") == F.col("_bucket")) & (F.col("place") == F.col("_place"))
+    found = known.join(used, on, "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint")))
+    return found.select("doc_id", "source", "size", "source_size", "target", "sid", "taken"), slots
 
 
-def mix_documents(docs: DataFrame, **settings) -> DataFrame:
+def mix_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
     """``docs`` with all columns plus ``size, source_size, target, taken`` of each row."""
-    rows = keyed(docs)
-    found, _ = mix_plan(rows, **settings)
-    added = ["size", "source_size", "target", "taken"]
-    kept = [c for c in docs.columns if c not in added]
-    per = stored(found.select(F.col(ROW).alias("_key"), *added), "mix-per-document")
-    return rows.drop(*added).join(per, F.col(ROW) == F.col("_key")).select(*kept, *added)
+    added = [StructField(c, LongType()) for c in ("size", "source_size")]
+    added += [StructField("target", DoubleType()), StructField("taken", LongType())]
+    _, _, over = _gathered(docs, block, shard, seed, tuple(f.name for f in added))
+
+    def count(texts: pa.Table, slots: pa.Table) -> pa.Table:
+        bucket = _Bucket(texts, block)
+        taken = np.zeros(len(texts), np.int64)
+        for at in slots.column("at").to_pylist():
+            for place, n, _ in bucket.pieces(at):
+                taken[bucket.rows[place]] += n
+        size = np.zeros(len(texts), np.int64)
+        size[bucket.rows] = bucket.sizes
+        text = texts.column("_text").cast(pa.string())
+        text = pc.if_else(texts.column("_none"), pa.scalar(None, pa.string()), text)
+        columns = [texts.column("_row"), text, pa.array(size), texts.column("source_size"), texts.column("target"), pa.array(taken)]
+        return pa.Table.from_arrays(columns, names=["_row", "text", *[f.name for f in added]])
+
+    return over(count, [StructField("text", StringType()), *added])
 
 
 def q_mixing(spark, sf_dir):
