@@ -245,20 +245,20 @@ def _gathered(docs: DataFrame, block: int, shard: int, seed: int, drop: tuple[st
         F.col("sid").alias("_sid"), F.pmod("_ord", "buckets").alias("_bucket"), "_row", "_id", "_text", "_none", "_ord", "source_size", "target"
     )
 
-    def over(task, fields: list[StructField]) -> DataFrame:
+    def over(task, fields: list[StructField], hidden: tuple[str, ...] = ()) -> DataFrame:
         routed = slots_of_buckets(slots, buckets).select("shard", "slot", "at", F.col("sid").alias("_sid"), F.col("bucket").alias("_bucket"))
         key = ("_sid", "_bucket")
         schema = StructType([StructField("_row", texts.schema["_row"].dataType), *fields])
         found = texts.groupBy(*key).cogroup(routed.groupBy(*key)).applyInArrow(task, schema)
         of_row = lambda f: F.col("_row").getField(f.name).alias(f.name)
-        return found.select(*[F.col("text") if f.name == "text" else of_row(f) for f in kept], *[f.name for f in fields if f.name != "text"])
+        return found.select(*[F.col("text") if f.name == "text" else of_row(f) for f in kept], *[f.name for f in fields if f.name not in ("text", *hidden)])
 
     return known, slots, over
 
 
-def _mixed(docs: DataFrame, block: int, shard: int, seed: int):
-    """``(known, slots, mix)``: documents, slots, and the rows of ``mix`` with the places of the documents."""
-    known, slots, over = _gathered(docs, block, shard, seed, (*PIECE, *_MINE))
+def _mixed(docs: DataFrame, block: int, shard: int, seed: int, places: bool):
+    """``(known, slots, mix)``: documents, slots, and the rows of ``mix``, with ``places`` also those of the documents."""
+    known, slots, over = _gathered(docs, block, shard, seed, (*PIECE, *(_MINE if places else ())))
     long = [StructField(c, LongType()) for c in ("shard", "slot")]
     fields = [StructField("text", StringType()), *long, StructField("part", IntegerType())]
     fields += [StructField(c, LongType()) for c in ("n_words", "taken", *_MINE)]
@@ -281,7 +281,7 @@ def _mixed(docs: DataFrame, block: int, shard: int, seed: int):
         ]
         return pa.Table.from_arrays(columns, names=["_row", "text", "shard", "slot", "part", "n_words", "taken", *_MINE])
 
-    return known, slots, over(fill, fields)
+    return known, slots, over(fill, fields, () if places else _MINE)
 
 
 def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
@@ -292,14 +292,13 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEE
     ``part`` orders the documents of a slot (a slot is told by ``source`` and ``slot``), and ``taken`` is
     the number of words that the whole mix takes of the document.
     """
-    _, _, rows = _mixed(docs, block, shard, seed)
-    return rows.drop(*_MINE)
+    return _mixed(docs, block, shard, seed, False)[2]
 
 
 def mix_plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED):
     """``(documents, slots)``: documents as ``doc_id, source, size, source_size,
     target, sid, taken``, counted in the words of the mix, and the slots as ``shard, sid, slot, block``."""
-    known, slots, rows = _mixed(docs, block, shard, seed)
+    known, slots, rows = _mixed(docs.select("doc_id", "text", "source"), block, shard, seed, True)
     used = rows.groupBy(*_MINE).agg(F.sum("n_words").alias("taken"))
     on = (F.col("sid") == F.col("_sid")) & (F.col("bucket") == F.col("_bucket")) & (F.col("place") == F.col("_place"))
     found = known.join(used, on, "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint")))
