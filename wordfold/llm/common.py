@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,19 +29,62 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: The key of a row, unlike ``doc_id`` never null or repeated.
-ROW = "_row_key"
+def released(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    spark = df.sparkSession
+    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` as a struct ``row``, beside the named columns: whatever names the caller's other
+    columns have, they meet no helper's."""
+    return docs.select(F.struct(*[_quoted(c) for c in docs.columns]).alias("row"), *columns)
+
 
+def unpacked(rows: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` from ``row``, but for those that ``changed`` gives anew."""
+    return rows.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a unique ``ROW`` for each row, stored so that it is the same whenever it is
-    read; a table that carries the key already keeps it."""
-    return docs if ROW in docs.columns else stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
 
+def _quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
 
-def row_key(docs: DataFrame) -> list[str]:
-    """The key column, for tables that carry one."""
-    return [ROW] if ROW in docs.columns else []
+
+#: log2 of the rows of a page.
+_PAGE = 15
+
+
+def row_table(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` as ``row, at, page``, written once: ``at`` tells each row, and a page is up to 2^15
+    rows of one task. The table is bucketed by page, and a task writes each of its pages to one
+    file, so nothing is shuffled to write it, nor to join it by page (``only``).
+    """
+    spark, known = docs.sparkSession, f"llm_{name}_{uuid.uuid4().hex}"
+    rows = packed(docs).withColumn("at", F.monotonically_increasing_id()).withColumn("page", F.shiftright("at", _PAGE))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.bucketBy(buckets, "page").option("path", new_output_path(spark, known)).saveAsTable(known)
+    found = spark.table(known)
+    found.schema  # noqa: B018  resolved now, so that the catalog need not keep the name; the files stay
+    spark.sql(f"DROP TABLE {known}")
+    return found
+
+
+def only(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of a ``row_table`` whose ``at`` is in ``kept``. What moves is a bit for each row, in bitmaps by page."""
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bit = F.col("at").bitwiseAND((1 << _PAGE) - 1)
+    pages = kept.groupBy(F.shiftright("at", _PAGE).alias("_page")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    pages = pages.repartition(buckets, "_page")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(pages.hint("shuffle_hash"), F.col("page") == F.col("_page"))
+    return found.where(F.shiftright(byte, F.col("at").bitwiseAND(7).cast("int")).bitwiseAND(1) == 1).drop("_page", "bits")
+
+
+def arrow_column(run, kind: str):
+    """A column function over Arrow arrays. It counts as non-deterministic only so that the planner never runs it twice."""
+    return F.arrow_udf(run, kind).asNondeterministic()
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:

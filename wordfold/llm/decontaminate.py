@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import ROW, keyed, mix64, row_key, stored, table, text_bytes, window_hashes
+from wordfold.llm.common import arrow_column, mix64, packed, table, text_bytes, unpacked, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -159,13 +159,12 @@ def contaminated(
     """``doc_id, item_id, first_word, n_words, similarity``: a row for each document of
     ``docs`` (``doc_id, text``) and item of ``items`` (``item_id, text``) that it holds, with
     its most similar window (the first of equals; words counted from 0)."""
-    key = row_key(docs)
-    slim = docs.select("doc_id", text_bytes().alias("_text"), *key)
+    slim = docs.select("doc_id", text_bytes().alias("_text"))
     id_type, item_type = slim.schema["doc_id"].dataType, items.schema["item_id"].dataType
     schema = (
         f"doc_id {id_type.simpleString()}, item_id {item_type.simpleString()}, "
         "first_word bigint, n_words bigint, similarity double"
-    ) + "".join(f", {c} bigint" for c in key)
+    )
 
     def search(block: list[tuple[object, bytes]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,9 +179,8 @@ def contaminated(
                         pa.array(at, pa.int64()),
                         pa.array(size, pa.int64()),
                         pa.array(s, pa.float64()),
-                        *[b.column(2).take(pa.array(doc, pa.int64())) for _ in key],
                     ],
-                    names=["doc_id", "item_id", "first_word", "n_words", "similarity", *key],
+                    names=["doc_id", "item_id", "first_word", "n_words", "similarity"],
                 ) if found else None
                 if out is not None:
                     yield from out.to_batches()
@@ -196,11 +194,28 @@ def contaminated(
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    rows = keyed(docs)
-    bad = stored(contaminated(rows, items, **settings).select(F.col(ROW).alias("_key")).distinct(), "contaminated")
-    return rows.join(bad, rows[ROW] == bad["_key"], "left_anti").select(*docs.columns)
+def decontaminate(
+    docs: DataFrame,
+    items: DataFrame,
+    shingle: int = SHINGLE,
+    similarity: float = SIMILARITY,
+    radius: int = RADIUS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns. A row is judged where its text
+    is read, so no text moves and no verdict is joined."""
+
+    def judge(block: list[tuple[object, bytes]]):
+        def run(texts: pa.Array) -> pa.Array:
+            index = Items(block, shingle, similarity, radius)
+            return pa.array([not index.matches(x.as_py()) for x in texts], pa.bool_())
+
+        return arrow_column(run, "boolean")
+
+    rows = packed(docs, "text")
+    for block in _item_blocks(items, block_bytes):
+        rows = rows.withColumn("clean", judge(block)(text_bytes())).where("clean").drop("clean")
+    return unpacked(rows, docs)
 
 
 def q_decontamination(spark, sf_dir):

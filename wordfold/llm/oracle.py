@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from wordfold.llm.quality import METRICS, MIN_DOCS, SPREADS, TWO_SIDED
-
 _WORD = r"[^\x20\x09-\x0D]+"
 
 # One row per word, with its place in the text.
@@ -14,34 +12,31 @@ _WORDS = (
 
 
 def _quality() -> str:
-    value = lambda sql: "CAST(" + sql.replace(" DIV ", " // ") + " AS BIGINT)"
+    # metric, its value, and its limits from the quantiles of the group (q..) and of all values over 0 (low..)
+    metrics = {
+        "symbols": ("n_symbols * 1000 // greatest(word_chars, 1)", "greatest(q85 + 3 * (q85 - q50), coalesce(low5, 0))", "0"),
+        "dup_lines": ("n_dup_lines * 1000 // greatest(n_words, 1)", "greatest(q99 + 3 * (q99 - q50), coalesce(low95, 0))", "0"),
+        "repeats": ("n_repeat_words * 1000 // greatest(n_words, 1)", "greatest(q99 + 3 * (q99 - q50), coalesce(low95, 0))", "0"),
+        "word_length": ("word_chars * 100 // greatest(n_words, 1)", "greatest(q95 + 3 * (q95 - q50), 0)", "q5 - 3 * (q50 - q5)"),
+    }
     shift = "(length(bin(value)) - 6)"
     bucket = f"CASE WHEN value < 64 THEN value ELSE 32 * {shift} + (value >> {shift}) END"
     top = "CASE WHEN bucket < 64 THEN bucket ELSE ((bucket % 32 + 33) << CAST(bucket // 32 - 1 AS BIGINT)) - 1 END"
-    metrics = " UNION ALL ".join(
-        f"SELECT lang, source, '{k}' AS metric, {value(sql)} AS value FROM feats WHERE NOT base_failed"
-        for k, (sql, _) in METRICS.items()
+    values = " UNION ALL ".join(
+        f"SELECT lang, source, '{k}' AS metric, CAST({v} AS BIGINT) AS value FROM feats WHERE NOT base_failed" for k, (v, _, _) in metrics.items()
     )
+    # 50 documents spread like the coarser sketch
+    prior = "SELECT {keys}metric, bucket, 50 * n / sum(n) OVER (PARTITION BY {keys}metric) AS n FROM {of}"
+
+    def quantiles(of: str, keys: str, percents: tuple[int, ...], name: str) -> str:
+        at = ", ".join(f"min(CASE WHEN 100 * upto >= ({p} - 1e-9) * total THEN {top} END) AS {name}{p}" for p in percents)
+        sums = f"sum(n) OVER (PARTITION BY {keys}metric ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}metric) AS total"
+        return f"SELECT {keys}metric, {at} FROM (SELECT {keys}metric, bucket, {sums} FROM {of}) GROUP BY {keys}metric"
 
-    def level(keys: str) -> str:
-        by = f"{keys}metric"
-        return (
-            f"SELECT {by}, max(total) AS n, "
-            + ", ".join(f"min(CASE WHEN 100 * upto >= {p} * total THEN {top} END) AS q{p}" for p in (25, 75))
-            + f" FROM (SELECT {by}, bucket, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS upto, "
-            f"sum(n) OVER (PARTITION BY {by}) AS total FROM (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY {by}, bucket)) GROUP BY {by}"
-        )
-
-    limits, ok = [], "NOT base_failed"
-    for k, (sql, slack) in METRICS.items():
-        limits.append(f"max(CASE WHEN metric = '{k}' THEN q75 + {SPREADS} * (q75 - q25) + {slack} END) AS max_{k}")
-        ok += f" AND coalesce({value(sql)} <= max_{k}, true)"
-        if k in TWO_SIDED:
-            limits.append(f"max(CASE WHEN metric = '{k}' THEN q25 - {SPREADS} * (q75 - q25) - {slack} END) AS min_{k}")
-            ok += f" AND coalesce({value(sql)} >= min_{k}, true)"
-    pick = ", ".join(
-        f"CASE WHEN f.n >= {MIN_DOCS} THEN f.q{p} WHEN l.n >= {MIN_DOCS} THEN l.q{p} ELSE w.q{p} END AS q{p}" for p in (25, 75)
+    limits = ", ".join(
+        f"max(CASE WHEN metric = '{k}' THEN {hi} END) AS max_{k}, max(CASE WHEN metric = '{k}' THEN {lo} END) AS min_{k}" for k, (_, hi, lo) in metrics.items()
     )
+    ok = "NOT base_failed" + "".join(f" AND coalesce({v} <= max_{k} AND {v} >= min_{k}, true)" for k, (v, _, _) in metrics.items())
     return (
         f"WITH words AS ({_WORDS}), runs AS (SELECT doc_id, p, "
         "CASE WHEN count(*) OVER eight = 8 THEN string_agg(word, ' ') OVER eight END AS run FROM words "
@@ -57,11 +52,14 @@ def _quality() -> str:
         "CAST(len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS BIGINT) AS n_symbols, "
         "coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words "
         "FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id))), "
-        f"sketch AS (SELECT lang, source, metric, {bucket} AS bucket, count(*) AS n FROM ({metrics}) GROUP BY ALL), "
-        f"fine AS ({level('lang, source, ')}), coarse AS ({level('lang, ')}), whole AS ({level('')}), "
-        f"picked AS (SELECT f.lang, f.source, f.metric, {pick} FROM fine f "
-        "JOIN coarse l ON f.lang IS NOT DISTINCT FROM l.lang AND f.metric = l.metric JOIN whole w ON f.metric = w.metric), "
-        f"limits AS (SELECT lang, source, {', '.join(limits)} FROM picked GROUP BY lang, source) "
+        f"sketch AS (SELECT lang, source, metric, {bucket} AS bucket, CAST(count(*) AS DOUBLE) AS n FROM ({values}) GROUP BY ALL), "
+        "whole AS (SELECT metric, bucket, sum(n) AS n FROM sketch GROUP BY ALL), "
+        f"wp AS ({prior.format(keys='', of='whole')}), by_lang AS (SELECT lang, metric, bucket, sum(n) AS n FROM (SELECT lang, metric, bucket, n FROM sketch "
+        "UNION ALL SELECT lang, metric, bucket, wp.n FROM (SELECT DISTINCT lang, metric FROM sketch) JOIN wp USING (metric)) GROUP BY ALL), "
+        f"lp AS ({prior.format(keys='lang, ', of='by_lang')}), fine AS (SELECT lang, source, metric, bucket, sum(n) AS n FROM (SELECT lang, source, metric, bucket, n FROM sketch "
+        "UNION ALL SELECT g.lang, source, g.metric, bucket, lp.n FROM (SELECT DISTINCT lang, source, metric FROM sketch) g JOIN lp ON g.lang IS NOT DISTINCT FROM lp.lang AND g.metric = lp.metric) GROUP BY ALL), "
+        f"q AS ({quantiles('fine', 'lang, source, ', (5, 50, 85, 95, 99), 'q')}), low AS ({quantiles('(SELECT * FROM whole WHERE bucket > 0)', '', (5, 95), 'low')}), "
+        f"limits AS (SELECT lang, source, {limits} FROM q LEFT JOIN low USING (metric) GROUP BY lang, source) "
         f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {ok} AS kept FROM feats f "
         "LEFT JOIN limits m ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source"
     )

@@ -33,7 +33,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import stored, table
+from wordfold.llm.common import packed, stored, table, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -257,7 +257,8 @@ def _over_columns(score: str) -> str:
 
 def personal_spans(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     """``docs`` with ``_text``, ``_base_<kind>`` and ``_all_<kind>`` (base and added spans,
-    ``start, stop`` in code points, sorted)."""
+    ``start, stop`` in code points, sorted). Columns of ``docs`` with such names, or with those of
+    ``base_spans`` and ``candidates``, are replaced."""
     model = model or fit_spans(docs)
     df = candidates(base_spans(docs))
     any_base = " OR ".join(_overlaps("x", f"_base_{k}") for k in KINDS)
@@ -281,7 +282,8 @@ def _listed(prefix: str) -> str:
 def redact(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     """``docs`` with the same columns, each text's spans replaced by ``[<KIND>]``; overlapping
     spans are replaced together, by the kind of the first. Texts without spans stay as they are."""
-    df = personal_spans(docs, model)
+    model = model or fit_spans(docs)
+    df = personal_spans(packed(docs, "text"), model)
     spans = ", ".join(
         f"transform(_all_{k}, x -> named_struct('start', x.start, 'stop', x.stop, 'kind', '[{k.upper()}]'))" for k in KINDS
     )
@@ -293,7 +295,7 @@ def redact(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
         "a -> concat(a.out, substring(_text, CAST(a.pos + 1 AS INT))))"
     )
     changed = df.withColumn("_new", F.expr(f"IF(size(_sorted) = 0, text, {text})"))
-    return changed.select(*[F.col("_new").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return unpacked(changed, docs, text=F.col("_new"))
 
 
 def q_pii(spark, sf_dir):

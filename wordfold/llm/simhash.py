@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordfold.llm.common import ROW, keyed, row_key, stored, table, text_bytes
+from wordfold.llm.common import only, row_table, stored, table, text_bytes, unpacked
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -68,19 +68,18 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer."""
-    key = row_key(docs)
-    slim = docs.select("doc_id", text_bytes().alias("_text"), *key)
-    id_type = slim.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *more: str) -> DataFrame:
+    """``doc_id``, ``fp``, the fingerprint as a signed 64-bit integer, and the columns ``more`` of ``docs``."""
+    kept = docs.select("doc_id", *more).schema.fields
+    slim = docs.select(text_bytes().alias("_text"), "doc_id", *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(x.as_py(), shingle) for x in b.column(1)], np.uint64)
-            cols = [b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "fp", *key])
+            fp = np.array([fingerprint(x.as_py(), shingle) for x in b.column(0)], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), *b.columns[1:]], names=["fp", "doc_id", *more])
 
-    return slim.mapInArrow(run, f"doc_id {id_type}, fp bigint" + "".join(f", {c} bigint" for c in key))
+    found = slim.mapInArrow(run, "fp bigint, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept))
+    return found.select("doc_id", "fp", *more)
 
 
 class Golay:
@@ -281,9 +280,9 @@ def star_components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _named_rows(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+def _named_rows(docs: DataFrame, shingle: int, bits: int, *more: str) -> DataFrame:
     """The fingerprints of ``docs`` with ``root`` and ``component_id`` of their components."""
-    fps = stored(fingerprints(docs, shingle), "simhash-fingerprints")
+    fps = stored(fingerprints(docs, shingle, *more), "simhash-fingerprints")
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     stars = star_components(fingerprint_links(nodes, bits))
     placed = nodes.join(stars, nodes.fp == stars.node, "left").select(
@@ -303,12 +302,13 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_
 
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` for each component, with all columns: one with its smallest id.
-    A row without an id stays only if its component has no id at all."""
-    rows = keyed(docs)
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("least")
-    first = _named_rows(rows, shingle, bits).groupBy("root").agg(least)
-    first = stored(first.select(F.col(f"least.{ROW}").alias("_key")), "simhash-first")
-    return rows.join(first, rows[ROW] == first["_key"], "left_semi").select(*docs.columns)
+    A row without an id stays only if its component has no id at all. The rows are written once and
+    never shuffled; only their fingerprints and a bit for each of them are."""
+    rows = row_table(docs, "simhash")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("least")
+    named = _named_rows(rows.select("row.doc_id", "row.text", "at"), shingle, bits, "at")
+    first = stored(named.groupBy("root").agg(least).select("least.at"), "simhash-first")
+    return unpacked(only(rows, first), docs)
 
 
 def q_simhash(spark, sf_dir):
