@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from wordfold.llm.common import ROW, keyed, stored, table
+from wordfold.llm.common import released, stored, table
 from wordfold.llm.decontaminate import decontaminate
-from wordfold.llm.mixing import mix_documents
+from wordfold.llm.mixing import mix
 from wordfold.llm.pii import redact
 from wordfold.llm.quality import quality_filter
 from wordfold.llm.simhash import simhash_dedup
@@ -31,8 +31,9 @@ def personal_data(spark, docs, sf_dir):
 
 
 def mixture(spark, docs, sf_dir):
-    """All documents, with the number of words that the mix takes of each (``taken``)."""
-    return mix_documents(docs)
+    """The mix: a row for each document in each slot of each output shard, with the document's columns,
+    ``text`` being the words that the slot holds of it."""
+    return mix(docs)
 
 
 STAGES = [
@@ -48,9 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over the ``documents`` table, each stored and read again. Every row gets a key
-    at the start, by which the stages match it with what they decide about it."""
-    docs = keyed(table(spark, sf_dir, "documents"))
+    """All stages over the ``documents`` table, each stored and read again. What a stage has read is
+    let go when its own rows are stored."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir).drop(ROW)
+        if before is not None:
+            released(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
