@@ -77,9 +77,9 @@ def only(rows: DataFrame, kept: DataFrame) -> DataFrame:
     bit = F.col("at").bitwiseAND((1 << _PAGE) - 1)
     pages = kept.groupBy(F.shiftright("at", _PAGE).alias("_page")).agg(F.bitmap_construct_agg(bit).alias("bits"))
     pages = pages.repartition(buckets, "_page")
-    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     found = rows.join(pages.hint("shuffle_hash"), F.col("page") == F.col("_page"))
-    return found.where(F.shiftright(byte, F.col("at").bitwiseAND(7).cast("int")).bitwiseAND(1) == 1).drop("_page", "bits")
+    byte = f"CAST(conv(hex(substring(bits, CAST(shiftright(at & {(1 << _PAGE) - 1}, 3) AS INT) + 1, 1)), 16, 10) AS INT)"
+    return found.where(f"shiftright({byte}, CAST(at & 7 AS INT)) & 1 = 1").drop("_page", "bits")
 
 
 def arrow_column(run, kind: str):
