@@ -22,6 +22,10 @@ def bucket_top(v: int) -> int:
     return (((v >> shift) + 1) << shift) - 1
 
 
+def bucket_bottom(top: int) -> int:
+    return top if top < 64 else (top >> (top.bit_length() - 6)) << (top.bit_length() - 6)
+
+
 def quantile(weights: dict, percent: float) -> int:
     """The top of the first bucket up to which ``percent`` of the weight lies."""
     total, upto = sum(weights.values()), 0.0
@@ -63,7 +67,7 @@ def slow_kept(rows) -> set:
             if value[r.doc_id] > max(top + 3 * (top - mid), least):
                 kept.discard(r.doc_id)
             if low is None:
-                bottom = quantile(own, 100 - tail)
+                bottom = bucket_bottom(quantile(own, 100 - tail))
                 if value[r.doc_id] < bottom - 3 * (mid - bottom):
                     kept.discard(r.doc_id)
     return kept

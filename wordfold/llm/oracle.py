@@ -17,7 +17,7 @@ def _quality() -> str:
         "symbols": ("n_symbols * 1000 // greatest(word_chars, 1)", "greatest(q85 + 3 * (q85 - q50), coalesce(low5, 0))", "0"),
         "dup_lines": ("n_dup_lines * 1000 // greatest(n_words, 1)", "greatest(q99 + 3 * (q99 - q50), coalesce(low95, 0))", "0"),
         "repeats": ("n_repeat_words * 1000 // greatest(n_words, 1)", "greatest(q99 + 3 * (q99 - q50), coalesce(low95, 0))", "0"),
-        "word_length": ("word_chars * 100 // greatest(n_words, 1)", "greatest(q95 + 3 * (q95 - q50), 0)", "q5 - 3 * (q50 - q5)"),
+        "word_length": ("word_chars * 100 // greatest(n_words, 1)", "greatest(q95 + 3 * (q95 - q50), 0)", "b5 - 3 * (q50 - b5)"),
     }
     shift = "(length(bin(value)) - 6)"
     bucket = f"CASE WHEN value < 64 THEN value ELSE 32 * {shift} + (value >> {shift}) END"
@@ -25,11 +25,13 @@ def _quality() -> str:
     values = " UNION ALL ".join(
         f"SELECT lang, source, '{k}' AS metric, CAST({v} AS BIGINT) AS value FROM feats WHERE NOT base_failed" for k, (v, _, _) in metrics.items()
     )
+    bottom = "CASE WHEN bucket < 64 THEN bucket ELSE (bucket % 32 + 32) << CAST(bucket // 32 - 1 AS BIGINT) END"
     # 50 documents spread like the coarser sketch
     prior = "SELECT {keys}metric, bucket, 50 * n / sum(n) OVER (PARTITION BY {keys}metric) AS n FROM {of}"
 
     def quantiles(of: str, keys: str, percents: tuple[int, ...], name: str) -> str:
-        at = ", ".join(f"min(CASE WHEN 100 * upto >= ({p} - 1e-9) * total THEN {top} END) AS {name}{p}" for p in percents)
+        ends = lambda p: ((top, f"{name}{p}"), (bottom, f"b{p}"))
+        at = ", ".join(f"min(CASE WHEN 100 * upto >= ({p} - 1e-9) * total THEN {v} END) AS {c}" for p in percents for v, c in ends(p))
         sums = f"sum(n) OVER (PARTITION BY {keys}metric ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}metric) AS total"
         return f"SELECT {keys}metric, {at} FROM (SELECT {keys}metric, bucket, {sums} FROM {of}) GROUP BY {keys}metric"
 
@@ -59,7 +61,7 @@ def _quality() -> str:
         f"lp AS ({prior.format(keys='lang, ', of='by_lang')}), fine AS (SELECT lang, source, metric, bucket, sum(n) AS n FROM (SELECT lang, source, metric, bucket, n FROM sketch "
         "UNION ALL SELECT g.lang, source, g.metric, bucket, lp.n FROM (SELECT DISTINCT lang, source, metric FROM sketch) g JOIN lp ON g.lang IS NOT DISTINCT FROM lp.lang AND g.metric = lp.metric) GROUP BY ALL), "
         f"q AS ({quantiles('fine', 'lang, source, ', (5, 50, 85, 95, 99), 'q')}), low AS ({quantiles('(SELECT * FROM whole WHERE bucket > 0)', '', (5, 95), 'low')}), "
-        f"limits AS (SELECT lang, source, {limits} FROM q LEFT JOIN low USING (metric) GROUP BY lang, source) "
+        f"limits AS (SELECT lang, source, {limits} FROM q LEFT JOIN (SELECT metric, low5, low95 FROM low) USING (metric) GROUP BY lang, source) "
         f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {ok} AS kept FROM feats f "
         "LEFT JOIN limits m ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source"
     )

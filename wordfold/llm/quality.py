@@ -122,6 +122,12 @@ def _bucket_top(b: str) -> str:
     return f"IF({b} < 64, CAST({b} AS BIGINT), shiftleft(CAST({b} % 32 + 33 AS BIGINT), {shift}) - 1)"
 
 
+def _bucket_bottom(b: str) -> str:
+    """The smallest value of bucket ``b``."""
+    shift = f"CAST({b} DIV 32 - 1 AS INT)"
+    return f"IF({b} < 64, CAST({b} AS BIGINT), shiftleft(CAST({b} % 32 + 32 AS BIGINT), {shift}))"
+
+
 def quality_sketches(features: DataFrame) -> DataFrame:
     """``lang, source, metric, bucket, n``: a quantile sketch per group and metric,
     over documents that pass the base rules."""
@@ -135,7 +141,8 @@ def quality_sketches(features: DataFrame) -> DataFrame:
 
 
 def _quantiles(sketch: DataFrame, keys: list[str], percents: tuple[int, ...] = (25, 75)) -> DataFrame:
-    """``keys, metric``, and ``q25`` and so on from the sketches merged to ``keys``."""
+    """``keys, metric``, and ``q25`` and so on from the sketches merged to ``keys``: the largest value of the
+    quantile's bucket, as ``b25`` its smallest."""
     merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     by = ", ".join([*keys, "metric"])
     ranked = merged.select(
@@ -144,8 +151,10 @@ def _quantiles(sketch: DataFrame, keys: list[str], percents: tuple[int, ...] = (
         F.expr(f"sum(n) OVER (PARTITION BY {by})").alias("total"),
     )
     # counts may be parts of documents, whose sums are a little off
-    q = lambda p: F.min(F.expr(f"IF(100 * upto >= ({p} - 1e-9D) * total, {_bucket_top('bucket')}, NULL)")).alias(f"q{p}")
-    return ranked.groupBy(*keys, "metric").agg(*[q(p) for p in percents])
+    at = lambda p: F.min(F.expr(f"IF(100 * upto >= ({p} - 1e-9D) * total, bucket, NULL)")).alias(f"_{p}")
+    found = ranked.groupBy(*keys, "metric").agg(*[at(p) for p in percents])
+    ends = [F.expr(f"{value(f'_{p}')} AS {name}{p}") for p in percents for name, value in (("q", _bucket_top), ("b", _bucket_bottom))]
+    return found.select(*keys, "metric", *ends)
 
 
 def with_prior(sketch: DataFrame, keys: list[str], coarse: DataFrame, coarse_keys: list[str]) -> DataFrame:
@@ -186,7 +195,7 @@ def quality_thresholds(sketches: DataFrame) -> DataFrame:
         top = F.expr(f"IF(metric = '{k}', greatest(q{tail} + {SPREADS} * (q{tail} - q50), {floor}), NULL)")
         limits.append(F.max(top).alias(f"max_{k}"))
         if k in TWO_SIDED:
-            bottom = F.expr(f"IF(metric = '{k}', q{100 - tail} - {SPREADS} * (q50 - q{100 - tail}), NULL)")
+            bottom = F.expr(f"IF(metric = '{k}', b{100 - tail} - {SPREADS} * (q50 - b{100 - tail}), NULL)")
             limits.append(F.max(bottom).alias(f"min_{k}"))
     return j.groupBy("lang", "source").agg(*limits)
 
