@@ -2,8 +2,9 @@
 
 Every record is a gzip member of its own. A reading task gets a byte range of
 an archive, looks for gzip magic in it, and checks each candidate by decoding
-its beginning: only a member whose content starts with a complete WARC header is
-a record. A task owns the records that start inside its range and reads past
+its beginning: only a member whose content starts with ``WARC/`` is
+a record, however long its header is. Such a member that cannot be read to its end is an error, never passed over;
+``short_archives`` compares what was read with what was written. A task owns the records that start inside its range and reads past
 the range's end to finish the last one, so each record is read once whatever
 the ranges are. After a record the search goes on behind its member.
 
@@ -14,6 +15,8 @@ Archives are written by tasks under the shared folder with names of their own;
 the stored list of them holds what finished tasks wrote, so files of tasks that
 were lost or ran twice are never read.
 
+Ids may be of any type that can be cast to a string and back (``id_type`` of the reader).
+
 Defined results: null html is an empty payload; null urls are left out of the
 header; rows with a null page id are written without one (as responses only if
 no row with an id has their payload); repeated rows are repeated records; an
@@ -41,10 +44,9 @@ MIN_PAYLOAD = 0
 FILE_BYTES = 64 << 20
 RANGE_BYTES = 4 << 20
 MAGIC = b"\x1f\x8b\x08"
+_BEGIN = b"WARC/"
 _CHUNK = 1 << 20
-#: A WARC header longer than this is not one.
-_MAX_HEADER = 1 << 20
-_ID = "urn:x-page:"
+_ID = "urn:x-page"
 
 
 def filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -77,7 +79,8 @@ def warc_record(page_id, url: str | None, payload: bytes, digest: str, refers_to
     """One record: a revisit if ``refers_to`` is given, else a response."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
-    name = lambda i: f"<{_ID}{'' if i is None else i}>"
+    # an empty id is not a null one
+    name = lambda i: f"<{_ID}>" if i is None else f"<{_ID}:{urllib.parse.quote(str(i), safe='')}>"
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
@@ -170,33 +173,39 @@ class _Source:
 def _member(file, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """Headers, block and end of the record whose member starts at ``at``; none if there is none."""
     z, source = zlib.decompressobj(31), _Source(file, at)
-    data, need = bytearray(), None
+    data, head, seen = bytearray(), None, 0
     headers: dict[str, str] = {}
-    try:
-        while not z.eof:
-            chunk = source.chunk()
-            if not chunk:
-                return None
-            data += z.decompress(chunk)
-            if need is None:
-                if not b"WARC/".startswith(bytes(data[:5])) and not data.startswith(b"WARC/"):
-                    return None
-                end = data.find(b"\r\n\r\n")
-                if end < 0:
-                    if len(data) > _MAX_HEADER:
-                        return None
-                    continue
+    damaged = ValueError(f"damaged record at offset {at}")
+    chunk = source.chunk()
+    while not z.eof:
+        begun = data.startswith(_BEGIN)
+        try:
+            # no more than its beginning, until that says that it is a record
+            data += z.decompress(chunk) if begun else z.decompress(chunk, len(_BEGIN))
+        except zlib.error as e:
+            if begun:
+                raise damaged from e
+            return None
+        if not (begun or _BEGIN.startswith(bytes(data)) or data.startswith(_BEGIN)):
+            return None
+        chunk = z.unconsumed_tail or (b"" if z.eof else source.chunk())
+        if not chunk and not z.eof:
+            if data.startswith(_BEGIN):
+                raise damaged
+            return None
+        if head is None:
+            end = data.find(b"\r\n\r\n", max(0, seen - 3))
+            seen = len(data)
+            if end >= 0:
                 lines = bytes(data[:end]).decode("utf-8", "replace").split("\r\n")[1:]
                 headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-                if not headers.get("content-length", "").isdigit() or "warc-type" not in headers:
-                    return None
-                need = end + 4 + int(headers["content-length"])
                 head = end + 4
-    except zlib.error:
-        return None
-    if need is None or len(data) < need:
+    if not data.startswith(_BEGIN):
         return None
-    return headers, bytes(data[head:need]), source.at - len(z.unused_data)
+    size = headers.get("content-length", "")
+    if head is None or "warc-type" not in headers or not size.isdigit() or len(data) < head + int(size):
+        raise damaged
+    return headers, bytes(data[head : head + int(size)]), source.at - len(z.unused_data)
 
 
 def scan_range(file, first: int, stop: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -222,12 +231,12 @@ def scan_range(file, first: int, stop: int) -> Iterator[tuple[int, dict[str, str
             at = record[2]
 
 
-def _page(name: str | None) -> int | None:
+def _page(name: str | None) -> str | None:
     value = (name or "").strip("<>").removeprefix(_ID)
-    return int(value) if value else None
+    return urllib.parse.unquote(value[1:]) if value.startswith(":") else None
 
 
-def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES, id_type: str = "bigint") -> DataFrame:
     """Records of the archives in ``files`` (``path, size``): ``path, offset, page_id, url,
     payload, payload_bytes, payload_digest, record_type, refers_to``.
 
@@ -263,17 +272,27 @@ def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                         yield batch(rows)
 
     names = ["path", "offset", "page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string()]
 
     def batch(rows: list) -> pa.RecordBatch:
         cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         return pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = (
-        "path string, offset bigint, page_id bigint, url string, payload binary, payload_bytes bigint, "
-        "payload_digest string, record_type string, refers_to bigint"
+        "path string, offset bigint, page_id string, url string, payload binary, payload_bytes bigint, "
+        "payload_digest string, record_type string, refers_to string"
     )
-    return spread(ranges, "path", "first").mapInArrow(run, schema)
+    found = spread(ranges, "path", "first").mapInArrow(run, schema)
+    typed = {c: F.col(c).cast(id_type).alias(c) for c in ("page_id", "refers_to")}
+    return found.select(*[typed.get(c, F.col(c)) for c in names])
+
+
+def short_archives(files: DataFrame, records: DataFrame) -> DataFrame:
+    """``path, records, found`` of the archives in ``files`` of which ``records`` (``path``) has another number of
+    records than were written."""
+    found = records.groupBy(F.col("path").alias("_path")).agg(F.count("*").alias("found"))
+    both = files.join(found, F.col("path") == F.col("_path"), "left").select("path", "records", F.coalesce("found", F.lit(0).cast("bigint")).alias("found"))
+    return both.where("records <> found")
 
 
 def q_warc(spark: SparkSession, sf_dir: str):
