@@ -265,23 +265,73 @@ def test_contexts_improve_held_out_scores(spark):
     assert gain > 0.8  # about 1.7 to 0.6 digits a word
 
 
-def test_probabilities_sum_to_one():
-    docs = [(i, prose(i, 50).encode()) for i in range(40)]
-    t = scoring._Texts(docs, np.zeros(len(docs), bool))
-    known = np.unique(t.symbol)
-    tree = scoring.Tree([np.unique(c[v])[:50] for c, v in zip(t.contexts, t.valid)])
-    states = tree.states(t)
-    totals = np.zeros(tree.size, np.int64)
-    for s in states:
-        np.add.at(totals, s[s >= 0], 1)
-    pair = Counter((int(s[p]), int(t.symbol[p])) for s in states for p in range(len(s)) if s[p] >= 0)
-    n, v = len(t.symbol), len(known)
-    for place in range(0, n, 97):
-        one = [np.full(len(known) + 1, s[place]) for s in states]
-        # the last one stands for any unknown symbol
-        c = [np.array([pair.get((int(s[0]), int(x)), 0) for x in known] + [0]) for s in one]
-        p, _, _ = scoring._ladder(one, c, totals, n, v, None, None)
-        assert abs(p.sum() - 1) < 1e-9
+class SlowTree:
+    """The suffix tree by its definition, over lists of symbols."""
+
+    def __init__(self, texts: list, min_count: int, depth: int, divergence: float) -> None:
+        self.depth, self.counts = depth, Counter()
+        self.texts = [("^", *t) for t in texts]
+        for t in self.texts:
+            for j in range(len(t)):
+                for k in range(1, depth + 2):
+                    if j - k + 1 >= 0:
+                        self.counts[t[j - k + 1 : j + 1]] += 1
+        tokens = {c[0]: n for c, n in self.counts.items() if len(c) == 1 and c != ("^",)}
+        self.n, self.v = sum(tokens.values()), len(tokens)
+        self.states = {c for c, n in self.counts.items() if len(c) <= depth and n >= min_count and c[-1] is not None}
+        gain: Counter = Counter()
+        for t in self.texts:
+            for j in range(1, len(t)):
+                p = self.root(t[j])
+                for d in range(1, depth + 1):
+                    c = t[max(0, j - d) : j]
+                    if j - d >= 0 and c in self.states:
+                        w, m = self.counts[c], self.counts[(*c, t[j])]
+                        gain[c] += round((math.log((m - 1 + 50 * p) / (w - 1 + 50)) - math.log(p)) * 1e6)
+                        p = (m + 50 * p) / (w + 50)
+        self.kept = {c for c in self.states if gain[c] / 1e6 >= divergence * self.counts[c]}
+
+    def root(self, x) -> float:
+        return (self.counts[x,] * (x != "^") + 1) / (self.n + self.v + 1)
+
+    def probability(self, before: tuple, x) -> float:
+        p = self.root(x)
+        for d in range(1, self.depth + 1):
+            c = before[len(before) - d :]
+            if d <= len(before) and c in self.kept:
+                p = (self.counts[(*c, x)] + 50 * p) / (self.counts[c] + 50)
+        return p
+
+
+@pytest.mark.parametrize("name,min_count,depth", [("edge", 2, 3), ("small", 30, 3), ("small", 15, 4), ("small", 20, 1)])
+def test_suffix_tree(request, name, min_count, depth):
+    df = request.getfixturevalue(name)
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    tokens = [(i, (*t.encode().lower().split(), None)) for i, t in texts(df)]
+    tree = SlowTree([t for i, t in tokens if not held(i)], min_count, depth, 0.02)
+    if name == "small":
+        assert len(tree.kept) > 10 and (depth == 1 or len({len(c) for c in tree.states}) == depth)
+    want = defaultdict(list)
+    for i, t in tokens:
+        whole = ("^", *t)
+        want[i].append(sum(math.log10(tree.probability(whole[max(0, j - depth) : j], whole[j])) for j in range(1, len(whole))))
+    got = scoring.lm_scores(df, min_count=min_count, depth=depth).collect()
+    assert len(got) == len(tokens)
+    for r in got:
+        assert any(abs(r.score - s) < 1e-6 * max(1, abs(s)) for s in want[r.doc_id]), (r, want[r.doc_id])
+    # in every state the known symbols and one unknown sum to one
+    known = [c[0] for c in tree.counts if len(c) == 1 and c != ("^",)]
+    for c in sorted(tree.kept, key=str)[:20]:
+        assert abs(sum(tree.probability(c, x) for x in [*known, "never seen"]) - 1) < 1e-9
+
+
+def test_states_and_gain_grow_with_the_corpus(spark):
+    def learned(sf: str):
+        df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        got = scoring.lm_scores(df).where("held_out").selectExpr("sum(score - base_score) / sum(n_tokens) AS g").first().g
+        return got
+
+    assert 0 < learned("sf0.001") < learned("sf0.01") < learned("sf0.1")
 
 
 # --- archives -------------------------------------------------------------------

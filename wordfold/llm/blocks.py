@@ -116,9 +116,9 @@ def _sent(keys: Keys, splitters: np.ndarray) -> list[tuple[int, bytes]]:
     return out
 
 
-def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], int]:
+def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], int, int]:
     """Answers to each payload: for ``sum`` the totals, for ``min`` which keys have different values
-    and their smallest. Also the number of odd keys with a sum over zero."""
+    and their smallest. Also the number of odd keys with a sum over zero, and the sum of these."""
     first, second, values, many, sizes = [], [], [], [], []
     for p in payloads:
         n, low = struct.unpack_from("<Iq", p)
@@ -135,8 +135,8 @@ def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], i
     keys = Keys(np.concatenate(first), v, np.concatenate(second) if two else None, how)
     if how == "sum":
         mine = keys.values[keys.group]
-        odd = int(np.count_nonzero((keys.values > 0) & ((keys.first & np.uint64(1)) == 1)))
-        return [planes(x.view(np.uint64)) for x in np.split(mine, np.cumsum(sizes)[:-1])], odd
+        odd = keys.values[(keys.values > 0) & ((keys.first & np.uint64(1)) == 1)]
+        return [planes(x.view(np.uint64)) for x in np.split(mine, np.cumsum(sizes)[:-1])], len(odd), int(odd.sum())
     np.logical_or.at(keys.many, keys.group, np.concatenate(many))
     differ, least = keys.many[keys.group], keys.values[keys.group]
     out = []
@@ -144,7 +144,7 @@ def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], i
         x = x[d]
         low = int(x.min()) if len(x) else 0
         out.append(struct.pack("<q", low) + np.packbits(d).tobytes() + planes((x - low).view(np.uint64)))
-    return out, 0
+    return out, 0, 0
 
 
 class Answers:
@@ -228,10 +228,12 @@ class Blocks:
             mine = mine.where(F.col("kind").isin(kinds))
         return grouped.cogroup(mine.groupBy("block")).applyInArrow(told, schema)
 
-    def odd_keys(self, kind: str) -> int:
-        """The number of odd keys with a sum over zero, of a ``sum``."""
+    def odd_keys(self, kind: str) -> tuple[int, int]:
+        """The number of odd keys with a sum over zero, of a ``sum``, and the total of their sums."""
         own = self.answers.where((F.col("block") < 0) & (F.col("kind") == kind))
-        return int(own.agg(F.coalesce(F.sum("bucket"), F.lit(0))).first()[0])
+        total = F.expr("aggregate(sequence(7, 0, -1), 0L, (t, i) -> shiftleft(t, 8) + CAST(conv(hex(substring(payload, i + 1, 1)), 16, 10) AS BIGINT))")
+        found = own.agg(F.coalesce(F.sum("bucket"), F.lit(0)), F.coalesce(F.sum(total), F.lit(0))).first()
+        return int(found[0]), int(found[1])
 
     def learn(self, answers: DataFrame) -> None:
         self.answers = answers if self.answers is None else self.answers.union(answers)
@@ -265,14 +267,14 @@ class Blocks:
             if how == "state":
                 kinds = pa.array([f"{kind}-state"] * rows.num_rows, pa.string())
                 return pa.table({"block": rows.column("block"), "kind": kinds, "bucket": rows.column("bucket"), "payload": rows.column("payload")})
-            payloads, odd = _combine(rows.column("payload").to_pylist(), two, how)
+            payloads, odd, odd_sum = _combine(rows.column("payload").to_pylist(), two, how)
             # block -1 is nobody's: it counts for the whole corpus
             return pa.table(
                 {
                     "block": pa.array([*rows.column("block").to_pylist(), -1], pa.int64()),
                     "kind": pa.array([kind] * (rows.num_rows + 1), pa.string()),
                     "bucket": pa.array([*rows.column("bucket").to_pylist(), odd], pa.int64()),
-                    "payload": pa.array([*payloads, b""], pa.binary()),
+                    "payload": pa.array([*payloads, struct.pack("<q", odd_sum)], pa.binary()),
                 }
             )
 

@@ -1,23 +1,31 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Symbols are lower-cased words and one end after each text. A state of the tree
-is a context of up to ``DEPTH`` preceding symbols. Contexts are considered if
-their share of the training symbols is at least ``MIN_SHARE``; shares sum to one, so
-there are at most 1 / (0.9 MIN_SHARE) of a length, whatever the corpus is,
-and their list may go to every task. What the corpus says about them, the
-counts of every symbol after every state, stays distributed and grows with it.
+Symbols are lower-cased words and one end after each text; a text starts after a
+start symbol, which is only a context. A state of the tree is a context of up to
+``DEPTH`` preceding symbols that occurs at least ``MIN_COUNT`` times in the training
+texts, so the tree grows with the corpus: in the number of its states, and in what
+it knows about each.
+
+The tree is nowhere in one place. What is counted are runs of 1 to ``DEPTH + 1``
+symbols: a run's count is that of its last symbol in the state of the ones before,
+and also how often the run itself is a context. The counts are found in the
+corpus-wide exchange of ``blocks``, shorter runs first, and a longer run is counted only
+where the run before its last symbol is frequent; so each block of documents is told
+only about the states that it uses.
 
 A candidate state is kept if the symbols after it diverge from its parent's (the
 context without its oldest symbol): the log-likelihood ratio of its training
-symbols, each left out of its own count, must reach ``DIVERGENCE`` a symbol seen. Its
+symbols, each left out of its own count, must reach ``DIVERGENCE`` a symbol seen. This is
+summed for each state over all blocks, and each block learns the sums of its own. A state's
 distribution is smoothed by the parent's, with ``PRIOR`` symbols' weight; the root's
 by one count for every known symbol and the unknown one. A symbol is scored in
-the state of the longest kept suffix of what precedes it. A text starts after a
-start symbol, which is only a context.
+the state of the longest kept suffix of what precedes it.
 
 A state's parent always counts as its next shorter candidate context, kept or
 not: if that one is not kept, its own kept suffix stands in.
 
+Runs are told by 64-bit hashes.
+
 Defined results: null or empty texts are one end symbol; a null id counts as an
 empty one in the hold-out rule; without training texts, N and V are 0 and every
 symbol has probability 1; repeated rows are repeated texts; an empty table gives
@@ -31,206 +39,187 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wordfold.llm.blocks import Answers, Blocks, Docs, Keys
-from wordfold.llm.common import mix64, stored, table, word_symbols
+from wordfold.llm.common import mix64, table, word_symbols
 
 FOLDS, HELD_OUT = 7, 2
-DEPTH = 2
-MIN_SHARE = 1e-4
-#: A block sends counts that reach this part of the least share; sums are short by it at most.
-SLACK = 0.1
+DEPTH = 3
+MIN_COUNT = 200
 DIVERGENCE = 0.02
 PRIOR = 50.0
 
 _U = np.uint64
 END = _U(0x9AE16A3B2F90404F)  # the end symbol: no word hashes to it but by accident
 START = _U(0xC3A5C85C97CB3127)
-_ROOT = _U(0xB492B66FBE98F273)
 
 
 def held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == HELD_OUT
 
 
-class _Texts:
-    """A block's symbols, text after text, each with an end."""
+class Runs:
+    """A block's symbols, each text behind a start symbol, and hashes of the runs that end at each."""
 
-    def __init__(self, docs: Docs, held: np.ndarray) -> None:
-        end = np.array([END])
+    def __init__(self, docs: Docs, held: np.ndarray, depth: int) -> None:
         parts, sizes = [], []
         for _, data in docs:
             words = word_symbols(data.lower())
-            parts += [words, end]
+            parts += [np.array([START]), words, np.array([END])]
             sizes.append(len(words) + 1)
-        self.symbol = np.concatenate(parts)
         self.sizes = np.array(sizes, np.int64)
-        self.doc = np.repeat(np.arange(len(docs)), self.sizes)
+        self.depth = depth
+        symbol = np.concatenate(parts)
+        begin = np.cumsum(self.sizes + 1) - self.sizes - 1
+        self.doc = np.repeat(np.arange(len(docs)), self.sizes + 1)
+        # how many symbols of the text, its start included, lie before
+        self.behind = np.arange(len(symbol)) - begin[self.doc]
+        self.token = self.behind > 0
         self.train = ~held[self.doc]
-        begin = np.cumsum(self.sizes) - self.sizes
-        before = np.r_[START, self.symbol[:-1]]
-        before[begin] = START
-        self.contexts = [before]
-        for depth in range(2, DEPTH + 1):
-            older = np.r_[START, self.contexts[0][:-1]] if depth == 2 else np.r_[START, older[:-1]]
-            older[begin] = START
-            self.contexts.append(mix64(self.contexts[-1] + older * _U(2 * depth + 1)))
-        # a text's first symbols have no longer context than the start symbol
-        place = np.arange(len(self.symbol)) - begin[self.doc]
-        self.valid = [np.ones(len(self.symbol), bool)] + [place >= d - 1 for d in range(2, DEPTH + 1)]
-
-
-class Tree:
-    """The candidate contexts, by length, and which of them are kept."""
-
-    def __init__(self, contexts: list[np.ndarray]) -> None:
-        self.contexts = [np.sort(c) for c in contexts]
-        self.base = np.r_[1, 1 + np.cumsum([len(c) for c in contexts])]
-        self.size = int(self.base[-1])
-
-    def states(self, t: _Texts) -> list[np.ndarray]:
-        """For each length, the state of every symbol's context, -1 where it is no candidate; length 0 is the root."""
-        out = [np.zeros(len(t.symbol), np.int64)]
-        for d, known in enumerate(self.contexts):
-            if not len(known):
-                out.append(np.full(len(t.symbol), -1))
-                continue
-            at = np.minimum(np.searchsorted(known, t.contexts[d]), len(known) - 1)
-            out.append(np.where((known[at] == t.contexts[d]) & t.valid[d], at + self.base[d], -1))
+        self.run = [symbol]
+
+    def runs(self, k: int) -> np.ndarray:
+        """Hashes of the runs of ``k`` symbols by their last place (of any sense only where they fit in a text)."""
+        while len(self.run) < k:
+            n = len(self.run)
+            older = np.r_[np.zeros(n, np.uint64), self.run[0][:-n]]
+            self.run.append(mix64(self.run[-1] + older * _U(2 * n + 1)))
+        return self.run[k - 1]
+
+    def key(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Keys of runs of ``k`` symbols: of single tokens odd, of all others even."""
+        h = mix64(self.runs(k)[at] + _U(k))
+        return (h | _U(1)) if k == 1 else (h & ~_U(1))
+
+
+class Counts:
+    """What a block knows of its runs: ``of[k]`` is the training count of the run of ``k`` that ends
+    at each place, -1 where it was not asked for."""
+
+    def __init__(self, runs: Runs, min_count: int) -> None:
+        self.runs, self.min_count = runs, min_count
+        self.of: list[np.ndarray] = [np.empty(0, np.int64)]
+
+    def frequent(self, k: int) -> np.ndarray:
+        """Where a context of ``k`` symbols lies before the place and is frequent."""
+        out = np.zeros(len(self.runs.token), bool)
+        out[1:] = (self.of[k][:-1] >= self.min_count) & self.runs.token[1:]
         return out
 
+    def asked(self, first: int, last: int) -> list[np.ndarray]:
+        """Places whose runs of ``first`` to ``last`` symbols are counted."""
+        r = self.runs
+        if first == 1:
+            return [np.arange(len(r.token))]
+        if first == 2:
+            return [np.flatnonzero(self.frequent(1))]
+        # every run of two inside the context must be frequent: some more than are states, never fewer
+        often, out = self.frequent(2), []
+        inside = often
+        for k in range(first, last + 1):
+            if k > first:
+                inside = np.r_[False, inside[:-1]] & often
+            out.append(np.flatnonzero(inside & (r.behind >= k - 1)))
+        return out
 
-def _pairs(t: _Texts, states: list[np.ndarray]) -> tuple[Keys, list[np.ndarray], np.ndarray]:
-    """Keys of the ``(state, symbol)`` pairs and of the states of a block with their training counts;
-    for each context length the places that have a pair; and the states."""
-    key, count, places = [], [], []
-    for s in states:
-        p = np.flatnonzero(s >= 0)
+    def keys(self, first: int, last: int) -> tuple[Keys, list[np.ndarray]]:
+        places = self.asked(first, last)
+        key = [self.runs.key(first + i, p) for i, p in enumerate(places)]
+        if first == 1:  # the start symbol is no token
+            key[0] = np.where(self.runs.token, key[0], key[0] & ~_U(1))
+        count = [self.runs.train[p].astype(np.int64) for p in places]
+        return Keys(np.concatenate(key), np.concatenate(count), None, "sum"), places
+
+    def learn(self, first: int, last: int, answers: Answers, kind: str) -> None:
+        keys, places = self.keys(first, last)
+        total = answers.totals(kind)[keys.group]
+        at = 0
+        for p in places:
+            c = np.full(len(self.runs.token), -1, np.int64)
+            c[p] = total[at : at + len(p)]
+            self.of.append(c)
+            at += len(p)
+
+
+def _stages(depth: int) -> list[tuple[str, int, int]]:
+    return [("words", 1, 1), ("pairs", 2, 2), *([("runs", 3, depth + 1)] if depth > 1 else [])]
+
+
+def _states(c: Counts) -> tuple[Keys | None, list[np.ndarray], list[np.ndarray]]:
+    """Places with a candidate state, by context length from 1, and their states' keys."""
+    places, keys = [], []
+    for d in range(1, c.runs.depth + 1):
+        p = np.flatnonzero(c.frequent(d))
         places.append(p)
-        # the lowest bit tells the root's keys apart
-        k = mix64(t.symbol[p] + s[p].astype(np.uint64) * _ROOT) & ~_U(1)
-        key.append(k | (s[p] == 0).astype(np.uint64))
-        count.append(t.train[p].astype(np.int64))
-    used, at = np.unique(np.concatenate([s[p] for s, p in zip(states[1:], places[1:])]), return_inverse=True)
-    key.append(mix64(used.astype(np.uint64) * _ROOT + START) & ~_U(1))
-    count.append(np.bincount(at, np.concatenate(count[1:]), len(used)).astype(np.int64))
-    return Keys(np.concatenate(key), np.concatenate(count), None, "sum"), places, used
-
-
-def _counts(t: _Texts, states: list[np.ndarray], size: int, answers: Answers) -> tuple[list[np.ndarray], np.ndarray]:
-    """Training count of each symbol in its state, by context length (-1 without a state), and of
-    each state that the block uses."""
-    keys, places, used = _pairs(t, states)
-    total = answers.totals("pairs")[keys.group]
-    out, at = [], 0
-    for s, p in zip(states, places):
-        c = np.full(len(s), -1, np.int64)
-        c[p] = total[at : at + len(p)]
-        out.append(c)
-        at += len(p)
-    totals = np.zeros(size, np.int64)
-    totals[used] = total[at:]
-    return out, totals
-
-
-def _ladder(states, counts, totals: np.ndarray, n: int, v: int, kept: np.ndarray | None, leave: np.ndarray | None):
-    """Probabilities of every symbol by context length, each smoothed by the next shorter kept
-    one. With ``leave``, also those of each state with that many occurrences left out."""
-    p = (counts[0] + 1.0) / (n + v + 1.0)
-    each, without = [p], [None]
-    for s, c in zip(states[1:], counts[1:]):
-        has = s >= 0
-        w = totals[np.maximum(s, 0)]
-        here = np.where(has, (np.maximum(c, 0) + PRIOR * p) / (w + PRIOR), p)
-        if leave is not None:
-            without.append((np.maximum(c - leave, 0) + PRIOR * p) / (np.maximum(w - leave, 0) + PRIOR))
-        each.append(here)
-        use = has if kept is None else has & kept[np.maximum(s, 0)]
-        p = np.where(use, here, p)
-    return p, each, without
-
-
-def lm_scores(docs: DataFrame, min_share: float = MIN_SHARE, divergence: float = DIVERGENCE) -> DataFrame:
+        keys.append(mix64(c.runs.runs(d)[p - 1] + _U(1_000 + d)))
+    return places, keys
+
+
+def _root(c: Counts, n: int, v: int) -> np.ndarray:
+    return (c.of[1] + 1.0) / (n + v + 1.0)
+
+
+def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE, depth: int = DEPTH) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of ``docs``
     (``doc_id, text``); documents with crc32(id) mod 7 = 2 are not learned from."""
     blocks = Blocks(docs, "scoring")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def texts(docs_: Docs, rows: pa.Table) -> _Texts:
-        return _Texts(docs_, np.array([held_out(i) for i in rows.column("doc_id").to_pylist()], bool))
-
-    def frequent(d: Docs, _: Answers, rows: pa.Table) -> pa.Table:
-        t = texts(d, rows)
-        n = int(t.train.sum())
-        length, key, count = [0], [np.zeros(1, np.uint64)], [np.array([n])]
-        for depth, c in enumerate(t.contexts):
-            k, m = np.unique(c[t.train & t.valid[depth]], return_counts=True)
-            # a context that reaches the least share anywhere loses at most SLACK of it
-            often = m >= max(1, SLACK * min_share * n)
-            length += [depth + 1] * int(often.sum())
-            key.append(k[often])
-            count.append(m[often])
-        return pa.table(
-            {
-                "length": pa.array(length, pa.int64()),
-                "key": pa.array(np.concatenate(key).view(np.int64)),
-                "n": pa.array(np.concatenate(count), pa.int64()),
-            }
-        )
-
-    seen = blocks.step(frequent, "length bigint, key bigint, n bigint").groupBy("length", "key").agg(F.sum("n").alias("n"))
-    seen = stored(seen, "scoring-contexts")
-    n = int(seen.where("length = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    # at most 1 / ((1 - SLACK) min_share) contexts of each length
-    often = seen.where((F.col("length") > 0) & (F.col("n") >= (1 - SLACK) * min_share * n)).collect()
-    tree = Tree([np.array([r.key for r in often if r.length == d], np.int64).view(np.uint64) for d in range(1, DEPTH + 1)])
-
-    def pairs(d: Docs, rows: pa.Table):
-        t = texts(d, rows)
-        return t, tree.states(t)
-
-    blocks.ask("pairs", lambda d, _, rows: _pairs(*pairs(d, rows))[0])
-
-    v = blocks.odd_keys("pairs")
-
-    def gains(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-        t, states = pairs(d, rows)
-        counts, totals = _counts(t, states, tree.size, answers)
-        _, each, without = _ladder(states, counts, totals, n, v, None, t.train.astype(np.int64))
-        gain, count = np.zeros(tree.size), np.zeros(tree.size, np.int64)
-        for depth in range(1, len(states)):
-            own = (states[depth] >= 0) & t.train
-            ratio = np.log(without[depth][own]) - np.log(each[depth - 1][own])
-            gain += np.bincount(states[depth][own], ratio, tree.size)
-            count += np.bincount(states[depth][own], minlength=tree.size)
-        some = np.flatnonzero(count)
-        # whole millionths, so that the sum does not depend on its order
-        millionths = np.round(gain[some] * 1e6).astype(np.int64)
-        return pa.table({"state": pa.array(some, pa.int64()), "gain": pa.array(millionths), "n": pa.array(count[some], pa.int64())})
-
-    # a row for each state of the bounded tree
-    gained = blocks.step(gains, "state bigint, gain bigint, n bigint").groupBy("state").agg(
-        F.sum("gain").alias("gain"), F.sum("n").alias("n")
-    )
-    kept = np.zeros(tree.size, bool)
-    kept[0] = True
-    for r in stored(gained, "scoring-gains").collect():
-        kept[r.state] = r.gain / 1e6 >= divergence * r.n
+    stages = _stages(depth)
+
+    def counted(d: Docs, answers: Answers, rows: pa.Table, upto: int) -> Counts:
+        held = np.array([held_out(i) for i in rows.column("doc_id").to_pylist()], bool)
+        c = Counts(Runs(d, held, depth), min_count)
+        for kind, first, last in stages[:upto]:
+            c.learn(first, last, answers, kind)
+        return c
+
+    for i, (kind, first, last) in enumerate(stages):
+        blocks.ask(kind, lambda d, a, rows, i=i, f=first, l=last: counted(d, a, rows, i).keys(f, l)[0])
+        if not i:
+            v, n = blocks.odd_keys("words")
+
+    def gains(d: Docs, answers: Answers, rows: pa.Table) -> Keys:
+        c = counted(d, answers, rows, len(stages))
+        places, keys = _states(c)
+        p, gain, used = _root(c, n, v), [], []
+        for k, (at, key) in enumerate(zip(places, keys), 1):
+            own = at[c.runs.train[at]]
+            w, m = c.of[k][at - 1], c.of[k + 1][at]
+            mine = c.runs.train[at]
+            left = (m[mine] - 1 + PRIOR * p[own]) / (w[mine] - 1 + PRIOR)
+            # whole millionths, so that the sum does not depend on its order
+            gain.append(np.round((np.log(left) - np.log(p[own])) * 1e6).astype(np.int64))
+            used.append(key[mine])
+            # places without training symbols ask for their state's sum too
+            gain.append(np.zeros(int((~mine).sum()), np.int64))
+            used.append(key[~mine])
+            p[at] = (m + PRIOR * p[at]) / (w + PRIOR)
+        return Keys(np.concatenate(used), np.concatenate(gain), None, "sum")
+
+    blocks.ask("gains", gains)
 
     def score(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-        t, states = pairs(d, rows)
-        counts, totals = _counts(t, states, tree.size, answers)
-        p, each, _ = _ladder(states, counts, totals, n, v, kept, None)
-        of = lambda x: np.bincount(t.doc, x, len(d))
+        c = counted(d, answers, rows, len(stages))
+        r = c.runs
+        places, keys = _states(c)
+        known = Keys(np.concatenate(keys), np.zeros(sum(map(len, keys)), np.int64), None, "sum")
+        total = np.split(answers.totals("gains")[known.group], np.cumsum([len(x) for x in keys])[:-1])
+        root = _root(c, n, v)
+        p = root.copy()
+        for k, (at, gain) in enumerate(zip(places, total), 1):
+            w, m = c.of[k][at - 1], c.of[k + 1][at]
+            kept = gain / 1e6 >= divergence * w
+            at = at[kept]
+            p[at] = (m[kept] + PRIOR * p[at]) / (w[kept] + PRIOR)
+        of = lambda x: np.bincount(r.doc[r.token], x[r.token], len(d))
         return pa.table(
             {
                 "doc_id": rows.column("doc_id"),
                 "held_out": pa.array([held_out(i) for i in rows.column("doc_id").to_pylist()], pa.bool_()),
-                "n_tokens": pa.array(t.sizes),
-                "n_known": pa.array(of(counts[0] > 0).astype(np.int64)),
+                "n_tokens": pa.array(r.sizes),
+                "n_known": pa.array(of(c.of[1] > 0).astype(np.int64)),
                 "train_tokens": pa.array([n] * len(d), pa.int64()),
-                "base_score": pa.array(of(np.log10(each[0]))),
+                "base_score": pa.array(of(np.log10(root))),
                 "score": pa.array(of(np.log10(p))),
             }
         )
