@@ -1,0 +1,37 @@
+"""Blocks are cut by rows and by bytes, and the results do not depend on where."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from test_operators import prose, slow_dedup
+
+from wordfold.llm import blocks, scoring, substring, suffix
+
+
+def test_long_texts_are_blocks_of_their_own(spark):
+    # 2048 texts of 100 kB did not fit a task when blocks were cut by rows alone
+    df = spark.range(2048).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(F.lit(" word"), 20_000)).alias("text")).coalesce(1)
+    b = blocks.Blocks(df, "test")
+    per = b.table.groupBy("block").agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("k")).collect()
+    assert sum(r.k for r in per) == 2048 and max(r.n for r in per) <= blocks.BLOCK_BYTES < 2 * min(sorted(r.n for r in per)[1:])
+    one = blocks.Blocks(spark.createDataFrame([(1, "a"), (2, "x" * (9 << 20)), (3, "b")], "doc_id long, text string").coalesce(1), "test")
+    assert sorted(r.k for r in one.table.groupBy("block").agg(F.count("*").alias("k")).collect()) == [1, 1, 1]
+
+
+@pytest.mark.parametrize("limit", [300, 1 << 23])
+def test_results_do_not_depend_on_the_blocks(spark, monkeypatch, limit):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", limit)
+    shared = prose(1, 90)
+    rows = [(i, prose(i, 30) + " " + (shared if i % 2 else prose(i + 50, 10)) + " " + prose(i + 99, 20)) for i in range(12)] + [(50, None), (51, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = Counter(map(tuple, substring.substring_dedup(df).select("doc_id", "n_words", "n_removed").collect()))
+    texts = [(i, t or "") for i, t in rows]
+    assert got == Counter((i, len(p), sum(g)) for i, p, g in slow_dedup(texts, 50, lambda t: tuple(t.encode().split())))
+    got = Counter(map(tuple, suffix.suffix_dedup(df).select("doc_id", "n_bytes", "n_removed").collect()))
+    assert got == Counter((i, len(p), sum(g)) for i, p, g in slow_dedup(texts, 50, lambda t: t.encode()))
+    scores = {r.doc_id: round(r.score, 6) for r in scoring.lm_scores(df, min_count=3).collect()}
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1 << 30)
+    assert scores == {r.doc_id: round(r.score, 6) for r in scoring.lm_scores(df.repartition(3), min_count=3).collect()}

@@ -413,6 +413,30 @@ def test_mixing_of_nothing(empty):
 # --- decontamination --------------------------------------------------------------
 
 
+def test_decontamination_of_texts_shorter_than_an_item(spark):
+    items = [(i, prose(700 + i, 40 + i)) for i in range(6)] + [(20, "one two three four five six"), (21, "a b c d")]
+    rows, want = [], Counter()
+    for i, x in items:
+        w = x.split()
+        for cut in range(0, len(w), 3):
+            for part in (w[: len(w) - cut], w[cut:], ["junk", *w[: len(w) - cut]]):
+                rows.append((len(rows), " ".join(part)))
+    for d, t in rows:
+        w = t.encode().lower().split()
+        for i, x in items:
+            iw = x.encode().lower().split()
+            k = min(5, len(iw))
+            own = Counter(decontaminate._shingles(iw, k))
+            windows = [w[a : a + len(iw)] for a in range(len(w) - len(iw) + 1)] if len(w) >= len(iw) else [w] * (len(w) >= k)
+            want[d, i] += any(decontaminate.weighted_jaccard(Counter(decontaminate._shingles(v, k)), own) >= 0.8 for v in windows)
+    want = +want
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert bag(got.select("doc_id", "item_id").collect()) == want
+    shorter = {d for (d, i) in want if len(rows[d][1].split()) < len(dict(items)[i].split())}
+    assert len(shorter) > 15
+
+
 def test_decontamination_finds_every_similar_window(spark):
     items = [(i, prose(500 + i, 15 + 3 * i)) for i in range(12)] + [(90, "only three words"), (91, ""), (92, None)]
     rows = []

@@ -4,8 +4,9 @@ Some operators look up, for every place in every text, something that all
 documents decide together (the smallest document with the same words, a total
 count). Sending a row per place would move many times the corpus. Instead:
 
-* ``Blocks`` writes the texts once, in blocks of at most ``BLOCK_ROWS`` documents, as a
-  table bucketed by block, so that no later step shuffles a text again.
+* ``Blocks`` writes the texts once, in blocks of at most ``BLOCK_ROWS`` documents and, but for a single
+  longer one, at most ``BLOCK_BYTES`` of text, as a table bucketed by block, so that no later step shuffles a
+  text again.
 * ``ask`` lets each block send its distinct keys, with one value each, packed by
   bucket of key; a bucket's task combines the values of equal keys, and
   answers each block in the order of the block's own keys.
@@ -24,14 +25,17 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordfold.llm.common import stored, text_bytes
 from wordfold.session import new_output_path
 
-#: log2 of the documents in a block, at most.
-BLOCK_BITS = 11
+#: Documents and bytes of text in a block, at most. A task holds one block at a time, and several
+#: 8-byte values for each of its bytes.
+BLOCK_ROWS = 2048
+BLOCK_BYTES = 8 << 20
 #: Blocks whose keys a bucket gathers, about.
 BLOCKS_PER_BUCKET = 1
 #: A document without an id comes after all others.
@@ -40,6 +44,19 @@ NO_ID = 2**63 - 1
 ANSWERS = "block bigint, kind string, bucket bigint, payload binary"
 
 
+def _cut_blocks(batches):
+    """``rid, doc_id, text`` with ``block``: the number of the block's first row."""
+    block, rows, held = None, 0, 0
+    for b in batches:
+        blocks = []
+        for rid, size in zip(b.column(0).to_pylist(), pc.binary_length(b.column(2)).to_pylist()):
+            if block is None or rows == BLOCK_ROWS or held + size > BLOCK_BYTES:
+                block, rows, held = rid, 0, 0
+            rows, held = rows + 1, held + size
+            blocks.append(block)
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *b.columns], names=["block", "rid", "doc_id", "text"])
+
+
 def planes(values: np.ndarray) -> bytes:
     """64-bit values by byte place, so that bytes that are mostly zero lie together."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
@@ -188,10 +205,9 @@ class Blocks:
         spark = docs.sparkSession
         self.name, self.answers = name, None
         # a row's number holds its partition and its place in it; taken once, as it is written
-        rows = docs.select("doc_id", text_bytes().alias("text")).select(
-            F.monotonically_increasing_id().alias("rid"), "doc_id", "text"
-        )
-        rows = rows.select(F.shiftright("rid", BLOCK_BITS).alias("block"), "rid", "doc_id", "text")
+        rows = docs.select("doc_id", text_bytes().alias("text")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        rows = rows.mapInArrow(_cut_blocks, f"block bigint, rid bigint, doc_id {kind}, text binary")
         parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
         table = f"llm_{name}_{uuid.uuid4().hex}"
         writer = rows.write.bucketBy(parts, "block").option("compression", "zstd")

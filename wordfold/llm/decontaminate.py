@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, then exact similarity.
 
 Every window of a document that has as many words as a benchmark item is a
-candidate for that item. A window similar enough must share most shingles with
+candidate for that item; a document with fewer words is one window, its whole text. A window similar enough must share most shingles with
 the item, so windows with fewer shingles known from any item of their size are
 passed over by a running count (this loses nothing). The others get a 64-bit
 SimHash over their shingles with repeats, looked up in a multi-index: the 64
@@ -97,8 +97,11 @@ class Items:
         """``(item, first word, words, similarity)`` of the best window for each item that the text holds."""
         words = data.lower().split()
         n = len(words)
+        whole = n - self.shingle + 1
         sizes = [s for s in self.sizes if s <= n]
-        if not sizes:
+        # a shorter text is similar at most by its share of the item's shingles
+        longer = [s for s in self.sizes if s > n and whole >= max(1, self.similarity * (s - self.shingle + 1) - 1e-9)]
+        if not sizes and not longer:
             return []
         get = self.vocabulary.get
         ids = mix64(np.fromiter((get(w, 0) for w in words), np.uint64, n))
@@ -109,6 +112,12 @@ class Items:
             if len(h):
                 at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 upto[k] = np.r_[0, np.cumsum(known[at] == h)]
+        for size in longer:
+            parts = _shingles(words, self.shingle)
+            need = math.ceil((whole + size - self.shingle + 1) * self.similarity / (1 + self.similarity) - 1e-9)
+            if upto[self.shingle][-1] >= need:
+                fp = int(_packed(_bits(parts).sum(axis=0, dtype=np.int64)[None, :], len(parts))[0])
+                self._compare(size, fp, parts, 0, n, best)
         for size in sizes:
             k = min(self.shingle, size)
             m = size - k + 1
@@ -123,17 +132,22 @@ class Items:
                 ones = np.vstack([np.zeros((1, 64), np.int64), np.cumsum(_bits(parts), axis=0, dtype=np.int64)])
                 fps = _packed(ones[m:] - ones[:-m], m)
                 for w, fp in enumerate(fps):
-                    near: set[int] = set()
-                    for b, (shift, mask) in enumerate(self.blocks):
-                        near.update(self.index.get((size, b, int(fp >> shift & mask)), ()))
-                    near = {i for i in near if (self.prints[i] ^ int(fp)).bit_count() <= self.radius}
-                    if near:
-                        bag = Counter(parts[w : w + m])
-                        for i in near:
-                            s = weighted_jaccard(bag, self.bags[i])
-                            if s >= self.similarity - 1e-12 and (i not in best or s > best[i][0]):
-                                best[i] = (s, lo + w, size)
-        return [(i, at, size, s) for i, (s, at, size) in sorted(best.items())]
+                    self._compare(size, int(fp), parts[w : w + m], lo + w, size, best)
+        return [(i, at, n, s) for i, (s, at, n) in sorted(best.items())]
+
+    def _compare(self, size: int, fp: int, parts: list[bytes], at: int, n: int, best: dict[int, tuple[float, int, int]]) -> None:
+        """Look up one window's fingerprint among the items of ``size`` words, verify what is within the
+        radius and keep the best window of each item."""
+        near: set[int] = set()
+        for b, (shift, mask) in enumerate(self.blocks):
+            near.update(self.index.get((size, b, fp >> int(shift) & int(mask)), ()))
+        near = {i for i in near if (self.prints[i] ^ fp).bit_count() <= self.radius}
+        if near:
+            bag = Counter(parts)
+            for i in near:
+                s = weighted_jaccard(bag, self.bags[i])
+                if s >= self.similarity - 1e-12 and (i not in best or s > best[i][0]):
+                    best[i] = (s, at, n)
 
 
 def _item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
