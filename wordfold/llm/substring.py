@@ -14,7 +14,8 @@ follows from that document's id. The other windows with a repeated k-mer (at the
 ends of repeated spans, where the graph branches, and those of the sources
 themselves) are verified by their own 50 words.
 
-Defined results: null or empty texts have no words; documents without an id come
+Defined results: ids are integers (others are an error), and 2^63 - 1 counts as none;
+null or empty texts have no words; documents without an id come
 after all others and are never the smaller one of two; rows with one id are one
 document in that none is smaller; an empty table gives no rows; other columns
 are ignored.

@@ -21,7 +21,8 @@ Splitters lie between different sort keys, so equal suffixes always meet in one
 bucket and no comparison crosses a boundary. A suffix that many documents hold is
 sent once per block of documents.
 
-Defined results: null or empty texts have no bytes; documents without an id come
+Defined results: ids are integers (others are an error), and 2^63 - 1 counts as none;
+null or empty texts have no bytes; documents without an id come
 after all others and are never the smaller one of two; rows with one id are one
 document in that none is smaller; an empty table gives no rows; other columns
 are ignored.
