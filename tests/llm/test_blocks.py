@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from test_operators import prose, slow_dedup
 
 from wordfold.llm import blocks, scoring, substring, suffix
+from wordfold.llm.common import window_hashes
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def test_long_texts_are_blocks_of_their_own(spark):
@@ -35,3 +41,39 @@ def test_results_do_not_depend_on_the_blocks(spark, monkeypatch, limit):
     scores = {r.doc_id: round(r.score, 6) for r in scoring.lm_scores(df, min_count=3).collect()}
     monkeypatch.setattr(blocks, "BLOCK_BYTES", 1 << 30)
     assert scores == {r.doc_id: round(r.score, 6) for r in scoring.lm_scores(df.repartition(3), min_count=3).collect()}
+
+
+def test_ids_must_be_integers(spark):
+    df = spark.createDataFrame([("a", "b")], "doc_id string, text string")
+    for dedup in (suffix.suffix_dedup, substring.substring_dedup):
+        with pytest.raises(TypeError):
+            dedup(df)
+    assert substring.substring_dedup(df.selectExpr("CAST(1 AS INT) AS doc_id", "text")).count() == 1
+
+
+def _coarse(symbols, k):
+    """Hashes of which very many are equal."""
+    return window_hashes(symbols, k) & np.uint64(0xF)
+
+
+def test_equal_hashes_of_other_words_are_not_removed(spark, monkeypatch):
+    rows = [(i, prose(i, 150)) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    monkeypatch.setattr(substring, "window_hashes", _coarse)
+    got = substring.substring_dedup(df).collect()
+    assert all(r.n_removed == 0 and r.n_words == 150 for r in got)  # all claims are false
+
+
+def test_claims_are_verified_by_the_words(spark):
+    w = [f"w{i}" for i in range(200)]
+    text = lambda a, b: b" " + " ".join(w[a:b]).encode() + b" "
+    claims = [
+        (True, 1, 7, 0, 10, 21, text(10, 80)),  # wholly in the source
+        (True, 1, 7, 1, 5, 11, text(90, 150)),  # no piece holds all of it, but some windows are there
+        (True, 2, 8, 0, 3, 1, text(0, 50)),  # its source has other words
+        (False, 1, 9, 4, 0, 0, text(0, 100) + b"\n" + text(85, 145)),
+        (False, 2, 9, 5, 0, 0, text(1, 60)),
+    ]
+    got = substring.verified_claims(spark.createDataFrame(claims, substring._CLAIM), 50)
+    want = [(7, 0, 10, 21), *[(7, 1, 5 + i, 1) for i in range(6)]]
+    assert Counter(map(tuple, got.collect())) == Counter(want)

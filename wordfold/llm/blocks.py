@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from wordfold.llm.common import stored, text_bytes
 from wordfold.session import new_output_path
@@ -201,8 +202,10 @@ Docs = list[tuple[int, bytes]]
 class Blocks:
     """Texts in blocks, and the answers so far."""
 
-    def __init__(self, docs: DataFrame, name: str) -> None:
+    def __init__(self, docs: DataFrame, name: str, integer_ids: bool = False) -> None:
         spark = docs.sparkSession
+        if integer_ids and not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+            raise TypeError("doc_id must be an integer column")
         self.name, self.answers = name, None
         # a row's number holds its partition and its place in it; taken once, as it is written
         rows = docs.select("doc_id", text_bytes().alias("text")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")

@@ -12,7 +12,13 @@ occurrences of a path are equal from its first to its last word, and its source
 is the place in the document with the smallest id. A window inside a path
 follows from that document's id. The other windows with a repeated k-mer (at the
 ends of repeated spans, where the graph branches, and those of the sources
-themselves) are verified by their own 50 words.
+themselves) are looked up by a hash of their own 50 words.
+
+Up to here equality is that of 64-bit hashes, so what is found are claims: a
+document claims that a stretch of its words stands in a source, the document with the smallest id. The
+claims are then verified word by word: stretches, with their coordinates, are joined with the
+repeated stretches of the sources, and only what a source really holds is removed, at these coordinates.
+Where only parts of a stretch are in one piece of the source, its windows are looked for one by one.
 
 Defined results: ids are integers (others are an error), and 2^63 - 1 counts as none;
 null or empty texts have no words; documents without an id come
@@ -123,8 +129,8 @@ def _windows(s: _Sampled, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _checked(s: _Sampled, answers: Answers, splitters: np.ndarray, k: int, window: int):
-    """``(covered, place, start)``: windows that follow from their path, and (k-mer place, start) of
-    those to verify."""
+    """Of every window of a node: the k-mer's place, the start, whether it follows from its path, and whether
+    it may be the source of others by it; and the smallest id that has the k-mer."""
     node, least = _known(s, answers, splitters)
     paths = [np.frombuffer(p, np.uint64) for p in answers.rows("path")]
     on_path = np.isin(s.key, np.concatenate(paths)) if paths else np.zeros(len(s.key), bool)
@@ -132,8 +138,39 @@ def _checked(s: _Sampled, answers: Answers, splitters: np.ndarray, k: int, windo
     place, start = _windows(s, np.flatnonzero(node))
     inside = (lo[place] <= start) & (start + window <= hi[place])
     smaller = least[place] < s.id[place]
-    gone = inside & smaller
-    return (place[gone], start[gone]), place[~gone], start[~gone]
+    return place, start, inside & smaller, inside & ~smaller, least[place]
+
+
+def _runs(doc: np.ndarray, start: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First windows of the runs of consecutive ones (in order of ``doc, start``) and the runs' sizes."""
+    new = np.ones(len(doc), bool)
+    if len(doc):
+        new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
+        for x in same:
+            new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    return first, np.diff(np.r_[first, len(doc)])
+
+
+_CLAIM = "target boolean, id bigint, block bigint, doc bigint, start bigint, n bigint, text binary"
+
+
+def verified_claims(claims: DataFrame, window: int) -> DataFrame:
+    """``block, doc, start, n`` of the windows (``n`` from ``start`` on) that a source holds. ``claims`` is a stored
+    table of stretches: those of documents (``target``) and of sources, as words with a space around each."""
+    mine = claims.where("target").select("id", "block", "doc", "start", "n", "text")
+    of = claims.where("NOT target").select(F.col("id").alias("_id"), F.col("text").alias("_source"))
+    whole = mine.join(of, F.col("id") == F.col("_id")).where(F.contains("_source", "text"))
+    whole = stored(whole.select("block", "doc", "start", "n").distinct(), "substring-whole")
+    names = ("block", "doc", "start")
+    told = whole.select(*[F.col(c).alias(f"_{c}") for c in names])
+    on = [F.col(c) == F.col(f"_{c}") for c in names]
+    rest = mine.join(told, on[0] & on[1] & on[2], "left_anti")
+    words = "split(trim(CAST(text AS STRING)), ' ')"
+    single = f"transform(sequence(0L, n - 1), i -> struct(start + i AS start, CAST(concat(' ', array_join(slice({words}, CAST(i AS INT) + 1, {window}), ' '), ' ') AS BINARY) AS text))"
+    each = rest.select("id", "block", "doc", F.explode(F.expr(single)).alias("w")).select("id", "block", "doc", "w.start", "w.text")
+    found = each.join(of, F.col("id") == F.col("_id")).where(F.contains("_source", "text"))
+    return whole.unionByName(found.select("block", "doc", "start", F.lit(1).cast("bigint").alias("n")).distinct())
 
 
 def compact_paths(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -168,7 +205,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
     """``doc_id, n_words, n_removed, kept_sha256, kept`` of ``docs`` (``doc_id, text``): each word is
     removed that lies in a run of ``window`` words which also starts in a document with a smaller
     id. ``kept`` is what is left, its words joined by one space."""
-    blocks = Blocks(docs, "substring")
+    blocks = Blocks(docs, "substring", integer_ids=True)
     split = blocks.splitters
     blocks.ask("kmer", lambda d, _, rows: _Sampled(d, k, window).asked())
 
@@ -215,22 +252,65 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
 
     def verify(d: Docs, answers: Answers, rows: pa.Table) -> Keys:
         s = _Sampled(d, k, window)
-        _, place, start = _checked(s, answers, split, k, window)
-        return Keys(s.hashes(place, start), s.id[place], None, "min")
+        place, start, gone, _, _ = _checked(s, answers, split, k, window)
+        return Keys(s.hashes(place[~gone], start[~gone]), s.id[place[~gone]], None, "min")
 
     blocks.ask("window", verify)
+
+    def claim(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
+        s = _Sampled(d, k, window)
+        place, start, gone, source, least = _checked(s, answers, split, k, window)
+        other = np.flatnonzero(~gone)
+        keys = Keys(s.hashes(place[other], start[other]), s.id[place[other]], None, "min")
+        many, seen = answers.least("window", keys, split)
+        many, seen = many[keys.group], seen[keys.group]
+        hit = seen < s.id[place[other]]
+        gone[other[hit]], least[other[hit]] = True, seen[hit]
+        source[other[many & ~hit]] = True
+        order = np.lexsort((start, s.doc[place]))
+        doc, start, gone, source, least = s.doc[place][order], start[order], gone[order], source[order], least[order]
+        block, out = rows.column("block")[0].as_py(), []
+        words: dict[int, list[bytes]] = {}
+
+        def stretch(i: int, first: int, n: int) -> bytes:
+            if i not in words:
+                words.clear()
+                words[i] = d[i][1].split()
+            return b" " + b" ".join(words[i][first : first + n - 1 + window]) + b" "
+
+        first, n = _runs(doc[gone], start[gone], least[gone])
+        for i, at, size, of in zip(doc[gone][first].tolist(), start[gone][first].tolist(), n.tolist(), least[gone][first].tolist()):
+            out.append((True, of, block, i, at, size, stretch(i, at, size)))
+        first, n = _runs(doc[source], start[source])
+        parts: dict[int, list[bytes]] = {}
+        for i, at, size in zip(doc[source][first].tolist(), start[source][first].tolist(), n.tolist()):
+            parts.setdefault(i, []).append(stretch(i, at, size))
+        out += [(False, d[i][0], block, i, 0, 0, b"\n".join(p)) for i, p in parts.items()]
+        types = [pa.bool_(), *[pa.int64()] * 5, pa.binary()]
+        names = ["target", "id", "block", "doc", "start", "n", "text"]
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+
+    claims = stored(blocks.step(claim, _CLAIM), "substring-claims")
+
+    def held(rows: pa.Table) -> pa.Table:
+        payload = np.concatenate([rows.column(c).to_numpy() for c in ("doc", "start", "n")]).astype(np.int64)
+        return pa.table(
+            {
+                "block": rows.column("block").slice(0, 1),
+                "kind": pa.array(["verified"], pa.string()),
+                "bucket": pa.array([0], pa.int64()),
+                "payload": pa.array([payload.tobytes()], pa.binary()),
+            }
+        )
+
+    blocks.learn(stored(verified_claims(claims, window).groupBy("block").applyInArrow(held, ANSWERS), "substring-verified"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def remove(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-        s = _Sampled(d, k, window)
-        (gone_at, gone_start), place, start = _checked(s, answers, split, k, window)
-        keys = Keys(s.hashes(place, start), s.id[place], None, "min")
-        _, least = answers.least("window", keys, split)
-        hit = least[keys.group] < s.id[place]
-        doc = np.r_[s.doc[gone_at], s.doc[place[hit]]]
-        begin = np.r_[gone_start, start[hit]]
+        told = [np.frombuffer(p, np.int64).reshape(3, -1) for p in answers.rows("verified")]
+        doc, begin, size = np.concatenate(told, axis=1) if told else np.empty((3, 0), np.int64)
         order = np.argsort(doc, kind="stable")
-        doc, begin = doc[order], begin[order]
+        doc, begin, end = doc[order], begin[order], (begin + size - 1 + window)[order]
         out = []
         for i, (_, data) in enumerate(d):
             lo, hi = np.searchsorted(doc, [i, i + 1])
@@ -240,7 +320,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
             else:
                 edge = np.zeros(len(words) + 1, np.int64)
                 np.add.at(edge, begin[lo:hi], 1)
-                np.add.at(edge, begin[lo:hi] + window, -1)
+                np.add.at(edge, end[lo:hi], -1)
                 covered = np.cumsum(edge[:-1]) > 0
                 kept, removed = [words[j] for j in np.flatnonzero(~covered)], int(covered.sum())
             text = b" ".join(kept)
@@ -255,7 +335,7 @@ def substring_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
             }
         )
 
-    return blocks.step(remove, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    return blocks.step(remove, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string, kept string", ["verified"])
 
 
 def q_substring(spark, sf_dir):

@@ -161,7 +161,7 @@ def suffix_dedup(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of ``docs`` (``doc_id, text``): each
     byte is removed that lies in a string of ``window`` bytes which also starts in a document with a
     smaller id. ``kept`` is what is left, as bytes."""
-    blocks = Blocks(docs, "suffix")
+    blocks = Blocks(docs, "suffix", integer_ids=True)
     even = blocks.splitters
     split = sampled_splitters(blocks, k, window)
 
