@@ -13,7 +13,9 @@ and every two fingerprints within 4 bits share one. Fingerprints that share a
 key are verified by their bit distance; only a spanning forest of the links of
 a key's group leaves it, never all pairs. A key with more than ``HOT`` distinct
 fingerprints is not compared as one group: its members get the 70 keys of 4 of
-8 bytes (4 differing bits leave 4 bytes equal), which spread them again.
+8 bytes (4 differing bits leave 4 bytes equal), which spread them again. A group that is large even
+then is cut in its task by the bits that differ in it, again and again, so that the number of
+comparisons does not grow with the square of its size.
 
 Copies share one fingerprint and are one node. Components are found by
 alternating large-star and small-star steps over the links.
@@ -154,8 +156,14 @@ def byte_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(keys)
 
 
+#: A group with more fingerprints is cut again before its pairs are compared.
+CUT = 4096
+
+
 def _forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links that connect what is connected among distinct fingerprints of one group."""
+    if len(fp) > CUT:
+        return _cut_forest(fp, bits)
     links, rest = [], np.arange(len(fp))
     while len(rest):
         todo, rest = [rest[0]], rest[1:]
@@ -170,6 +178,24 @@ def _forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return links
 
 
+def _cut_forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """The same for a large group: of the bits that differ in it, cut into one part more than ``bits``, two close
+    fingerprints have some part equal, so each part's runs of equal values are groups of their own, all smaller."""
+    differ = int(np.bitwise_or.reduce(fp ^ fp[0]))
+    places = [b for b in range(64) if differ >> b & 1]
+    if len(places) <= bits:  # all are close
+        return [(0, j) for j in range(1, len(fp))]
+    links = []
+    for part in np.array_split(places, bits + 1):
+        value = fp & _U(sum(1 << int(b) for b in part))
+        order = np.argsort(value, kind="stable")
+        edge = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1], True])
+        for g in np.flatnonzero(np.diff(edge) > 1):
+            own = order[edge[g] : edge[g + 1]]
+            links += [(int(own[i]), int(own[j])) for i, j in _forest(fp[own], bits)]
+    return links
+
+
 def _group_links(bits: int, hot: int | None):
     """Task function over rows ``key, fp`` sorted by both: the links of each key's group as
     ``a, b``; fingerprints of groups of more than ``hot`` come out as ``a = b``."""
