@@ -76,7 +76,8 @@ class Keys:
     """
 
     def __init__(self, first: np.ndarray, values: np.ndarray, second: np.ndarray | None, how: str) -> None:
-        order = multikey_order(first, second, values)
+        # the order of equal keys does not matter to their sum
+        order = np.argsort(first) if how == "sum" and second is None else multikey_order(first, second, values)
         a, v = first[order], values[order]
         b = None if second is None else second[order]
         new = np.ones(len(a), bool)
