@@ -67,6 +67,47 @@ def from_planes(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n).reshape(8, n).T).view(np.uint64).ravel()
 
 
+#: Planes of fewer bytes are left to the codec of the shuffle, which sees those of many messages at once.
+_PRESSED = 512
+
+
+def pressed(values: np.ndarray) -> bytes:
+    """64-bit values by byte place: planes of zeros are left out, and each other one is compressed by itself, if
+    that makes it smaller, so that a plane of few different bytes is coded by how often they occur."""
+    used, small, parts = 0, 0, []
+    for i, plane in enumerate(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)):
+        if not plane.any():
+            continue
+        used |= 1 << i
+        raw = plane.tobytes()
+        if len(raw) >= _PRESSED and len(z := pa.compress(raw, codec="zstd", asbytes=True)) + 4 < len(raw):
+            small |= 1 << i
+            parts.append(struct.pack("<I", len(z)))
+            raw = z
+        parts.append(raw)
+    return bytes([used, small]) + b"".join(parts)
+
+
+def from_pressed(data: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    """The ``n`` values that ``pressed`` packed at ``at``, and where they end."""
+    out = np.zeros((n, 8), np.uint8)
+    used, small = data[at], data[at + 1]
+    at += 2
+    for i in range(8):
+        if not used >> i & 1:
+            continue
+        if small >> i & 1:
+            (size,) = struct.unpack_from("<I", data, at)
+            at += 4
+            raw = pa.decompress(data[at : at + size], decompressed_size=n, codec="zstd", asbytes=True)
+            at += size
+        else:
+            raw = data[at : at + n]
+            at += n
+        out[:, i] = np.frombuffer(raw, np.uint8)
+    return out.view(np.uint64).ravel(), at
+
+
 class Keys:
     """Distinct sorted keys of a block with one value each.
 
@@ -126,22 +167,30 @@ def _sent(keys: Keys, splitters: np.ndarray) -> list[tuple[int, bytes]]:
     out = []
     for cut in np.split(np.arange(len(where)), np.flatnonzero(np.diff(where)) + 1) if len(where) else []:
         a, v = keys.first[cut], keys.values[cut]
-        parts = [planes(np.diff(a, prepend=np.uint64(0)))]
-        if keys.second is not None:
-            parts.append(planes(keys.second[cut]))
         low = int(v.min())
-        parts += [planes((v - low).view(np.uint64)), np.packbits(keys.many[cut]).tobytes()]
+        gaps, rest = np.diff(a, prepend=np.uint64(0)), (v - low).view(np.uint64)
+        if keys.how == "sum":
+            parts = [pressed(gaps), pressed(rest)]
+        else:
+            parts = [planes(gaps), *([] if keys.second is None else [planes(keys.second[cut])]), planes(rest), np.packbits(keys.many[cut]).tobytes()]
         out.append((int(where[cut[0]]), struct.pack("<Iq", len(cut), low) + b"".join(parts)))
     return out
 
 
-def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], int, int]:
+def _combine(payloads: list[bytes], two: bool, how: str, often: int | None = None) -> tuple[list[bytes], list[bytes], int, int]:
     """Answers to each payload: for ``sum`` the totals, for ``min`` which keys have different values
-    and their smallest. Also the number of odd keys with a sum over zero, and the sum of these."""
+    and their smallest. For ``sum`` also which totals reach ``often``, if that is given, the number of odd
+    keys with a sum over zero, and the sum of these."""
     first, second, values, many, sizes = [], [], [], [], []
     for p in payloads:
         n, low = struct.unpack_from("<Iq", p)
         at = 12
+        sizes.append(n)
+        if how == "sum":
+            gaps, at = from_pressed(p, at, n)
+            first.append(np.cumsum(gaps, dtype=np.uint64))
+            values.append(from_pressed(p, at, n)[0].view(np.int64) + low)
+            continue
         first.append(np.cumsum(from_planes(p[at:], n), dtype=np.uint64))
         at += 8 * n
         if two:
@@ -149,13 +198,14 @@ def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], i
             at += 8 * n
         values.append(from_planes(p[at:], n).view(np.int64) + low)
         many.append(np.unpackbits(np.frombuffer(p, np.uint8, offset=at + 8 * n), count=n).astype(bool))
-        sizes.append(n)
     v = np.concatenate(values)
     keys = Keys(np.concatenate(first), v, np.concatenate(second) if two else None, how)
     if how == "sum":
-        mine = keys.values[keys.group]
+        mine = np.split(keys.values[keys.group], np.cumsum(sizes)[:-1])
         odd = keys.values[(keys.values > 0) & ((keys.first & np.uint64(1)) == 1)]
-        return [planes(x.view(np.uint64)) for x in np.split(mine, np.cumsum(sizes)[:-1])], len(odd), int(odd.sum())
+        size = lambda x: struct.pack("<I", len(x))
+        reached = [] if often is None else [size(x) + np.packbits(x >= often).tobytes() for x in mine]
+        return [size(x) + pressed(x.view(np.uint64)) for x in mine], reached, len(odd), int(odd.sum())
     np.logical_or.at(keys.many, keys.group, np.concatenate(many))
     differ, least = keys.many[keys.group], keys.values[keys.group]
     out = []
@@ -163,7 +213,7 @@ def _combine(payloads: list[bytes], two: bool, how: str) -> tuple[list[bytes], i
         x = x[d]
         low = int(x.min()) if len(x) else 0
         out.append(struct.pack("<q", low) + np.packbits(d).tobytes() + planes((x - low).view(np.uint64)))
-    return out, 0, 0
+    return out, [], 0, 0
 
 
 class Answers:
@@ -177,9 +227,14 @@ class Answers:
 
     def totals(self, kind: str) -> np.ndarray:
         """Of the ``sum`` of every key, in the order of the block's keys."""
-        got = [from_planes(p, len(p) // 8) for _, p in sorted(self.by.get(kind, []))]
+        got = [from_pressed(p, 4, *struct.unpack_from("<I", p))[0] for _, p in sorted(self.by.get(kind, []))]
         return np.concatenate(got).view(np.int64) if got else np.empty(0, np.int64)
 
+    def often(self, kind: str) -> np.ndarray:
+        """Of the ``sum`` of every key, in the order of the block's keys: whether it reaches the limit asked with it."""
+        got = [np.unpackbits(np.frombuffer(p, np.uint8, offset=4), count=struct.unpack_from("<I", p)[0]) for _, p in sorted(self.by.get(f"{kind}-often", []))]
+        return np.concatenate(got).astype(bool) if got else np.empty(0, bool)
+
     def least(self, kind: str, keys: Keys, splitters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(many, least)`` for every key of the block: whether its values differ anywhere, and the
         smallest (the block's own where they do not differ)."""
@@ -258,11 +313,12 @@ class Blocks:
     def learn(self, answers: DataFrame) -> None:
         self.answers = answers if self.answers is None else self.answers.union(answers)
 
-    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes]], splitters: np.ndarray | None = None, two: bool = False, kinds: list[str] | None = None) -> None:
+    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes]], splitters: np.ndarray | None = None, two: bool = False, kinds: list[str] | None = None, often: int | None = None) -> None:
         """Combine the keys that ``find`` gives for each block; the answers are of ``kind``.
 
         ``find`` may give ``(keys, state)``: bytes that later steps get back for the same block
-        as ``<kind>-state``, so that they need not find its places again.
+        as ``<kind>-state``, so that they need not find its places again. Of a ``sum``, ``<kind>-often`` tells which ones reach
+        ``often``, a bit for each, for steps that need no more.
         """
         split = self.splitters if splitters is None else splitters
 
@@ -287,14 +343,16 @@ class Blocks:
             if how == "state":
                 kinds = pa.array([f"{kind}-state"] * rows.num_rows, pa.string())
                 return pa.table({"block": rows.column("block"), "kind": kinds, "bucket": rows.column("bucket"), "payload": rows.column("payload")})
-            payloads, odd, odd_sum = _combine(rows.column("payload").to_pylist(), two, how)
+            payloads, reached, odd, odd_sum = _combine(rows.column("payload").to_pylist(), two, how, often)
+            block, bucket = rows.column("block").to_pylist(), rows.column("bucket").to_pylist()
+            twice = 1 + bool(reached)
             # block -1 is nobody's: it counts for the whole corpus
             return pa.table(
                 {
-                    "block": pa.array([*rows.column("block").to_pylist(), -1], pa.int64()),
-                    "kind": pa.array([kind] * (rows.num_rows + 1), pa.string()),
-                    "bucket": pa.array([*rows.column("bucket").to_pylist(), odd], pa.int64()),
-                    "payload": pa.array([*payloads, struct.pack("<q", odd_sum)], pa.binary()),
+                    "block": pa.array([*block * twice, -1], pa.int64()),
+                    "kind": pa.array([*[kind] * len(block), *[f"{kind}-often"] * len(reached), kind], pa.string()),
+                    "bucket": pa.array([*bucket * twice, odd], pa.int64()),
+                    "payload": pa.array([*payloads, *reached, struct.pack("<q", odd_sum)], pa.binary()),
                 }
             )
 

@@ -10,7 +10,7 @@ The tree is nowhere in one place. What is counted are runs of 1 to ``DEPTH + 1``
 symbols: a run's count is that of its last symbol in the state of the ones before,
 and also how often the run itself is a context. The counts are found in the
 corpus-wide exchange of ``blocks``, shorter runs first, and a longer run is counted only
-where the run before its last symbol is frequent; so each block of documents is told
+where the run before its last symbol is frequent (some runs of two anywhere); so each block of documents is told
 only about the states that it uses.
 
 A candidate state is kept if the symbols after it diverge from its parent's (the
@@ -52,6 +52,9 @@ PRIOR = 50.0
 _U = np.uint64
 #: Keys are 48 bits wide: what moves is mostly keys, and their low bytes then cost nothing.
 _KEY = ~_U(0xFFFF)
+#: So many eighths of the runs of two are counted together with the words, wherever they are, and the others where
+#: their first symbol is frequent: neither step moves the most of them, so neither needs much more room than the other.
+_EARLY = 3
 END = _U(0x9AE16A3B2F90404F)  # the end symbol: no word hashes to it but by accident
 START = _U(0xC3A5C85C97CB3127)
 
@@ -95,56 +98,62 @@ class Runs:
 
 
 class Counts:
-    """What a block knows of its runs: ``of[k]`` is the training count of the run of ``k`` that ends
-    at each place, -1 where it was not asked for."""
+    """What a block knows of its runs: ``often[k]`` says if the run of ``k`` that ends at each place
+    is frequent, and ``of[k]`` is its training count, -1 where it was not asked for."""
 
     def __init__(self, runs: Runs, min_count: int) -> None:
         self.runs, self.min_count = runs, min_count
-        self.of: list[np.ndarray] = [np.empty(0, np.int64)]
+        self.of: dict[int, np.ndarray] = {}
+        self.often: dict[int, np.ndarray] = {}
+        # told by bits of the key that the choice of its bucket does not use
+        self.early = (self.runs.key(2, np.arange(len(runs.token))) >> _U(16) & _U(7)) < _EARLY
 
     def frequent(self, k: int) -> np.ndarray:
         """Where a context of ``k`` symbols lies before the place and is frequent."""
         out = np.zeros(len(self.runs.token), bool)
-        out[1:] = (self.of[k][:-1] >= self.min_count) & self.runs.token[1:]
+        out[1:] = self.often[k][:-1] & self.runs.token[1:]
         return out
 
-    def asked(self, first: int, last: int) -> list[np.ndarray]:
-        """Places whose runs of ``first`` to ``last`` symbols are counted."""
+    def asked(self, stage: str) -> list[tuple[int, np.ndarray]]:
+        """Lengths and last places of the runs that are counted."""
         r = self.runs
-        if first == 1:
-            return [np.arange(len(r.token))]
-        if first == 2:
-            return [np.flatnonzero(self.frequent(1))]
+        if stage == "words":
+            return [(1, np.arange(len(r.token))), (2, np.flatnonzero(r.token & self.early))]
+        if stage == "pairs":
+            return [(2, np.flatnonzero(self.frequent(1) & ~self.early))]
         # every run of two inside the context must be frequent: some more than are states, never fewer
         often, out = self.frequent(2), []
         inside = often
-        for k in range(first, last + 1):
-            if k > first:
+        for k in range(3, r.depth + 2):
+            if k > 3:
                 inside = np.r_[False, inside[:-1]] & often
-            out.append(np.flatnonzero(inside & (r.behind >= k - 1)))
+            out.append((k, np.flatnonzero(inside & (r.behind >= k - 1))))
         return out
 
-    def keys(self, first: int, last: int) -> tuple[Keys, list[np.ndarray]]:
-        places = self.asked(first, last)
-        key = [self.runs.key(first + i, p) for i, p in enumerate(places)]
-        if first == 1:  # the start symbol is no token
+    def keys(self, stage: str) -> tuple[Keys, list[tuple[int, np.ndarray]]]:
+        places = self.asked(stage)
+        key = [self.runs.key(k, p) for k, p in places]
+        if stage == "words":  # the start symbol is no token
             key[0] = np.where(self.runs.token, key[0], key[0] & ~_U(1))
-        count = [self.runs.train[p].astype(np.int64) for p in places]
+        count = [self.runs.train[p].astype(np.int64) for _, p in places]
         return Keys(np.concatenate(key), np.concatenate(count), None, "sum"), places
 
-    def learn(self, first: int, last: int, answers: Answers, kind: str) -> None:
-        keys, places = self.keys(first, last)
-        total = answers.totals(kind)[keys.group]
-        at = 0
-        for p in places:
-            c = np.full(len(self.runs.token), -1, np.int64)
-            c[p] = total[at : at + len(p)]
-            self.of.append(c)
+    def learn(self, stage: str, answers: Answers, counts: bool) -> None:
+        """``counts``: the counts themselves, else only which of them are frequent."""
+        keys, places = self.keys(stage)
+        told = (answers.totals(stage) if counts else answers.often(stage))[keys.group]
+        at, n = 0, len(self.runs.token)
+        for k, p in places:
+            mine = told[at : at + len(p)]
+            if counts:
+                self.of.setdefault(k, np.full(n, -1, np.int64))[p] = mine
+                mine = mine >= self.min_count
+            self.often.setdefault(k, np.zeros(n, bool))[p] = mine
             at += len(p)
 
 
-def _stages(depth: int) -> list[tuple[str, int, int]]:
-    return [("words", 1, 1), ("pairs", 2, 2), *([("runs", 3, depth + 1)] if depth > 1 else [])]
+def _stages(depth: int) -> list[str]:
+    return ["words", "pairs", "runs"] if depth > 1 else ["words", "pairs"]
 
 
 def _states(c: Counts) -> tuple[Keys | None, list[np.ndarray], list[np.ndarray]]:
@@ -168,20 +177,22 @@ def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, divergence: float = D
     id_type = docs.schema["doc_id"].dataType.simpleString()
     stages = _stages(depth)
 
-    def counted(d: Docs, answers: Answers, rows: pa.Table, upto: int) -> Counts:
+    def counted(d: Docs, answers: Answers, rows: pa.Table, upto: int = len(stages), counts: bool = True) -> Counts:
         held = np.array([held_out(i) for i in rows.column("doc_id").to_pylist()], bool)
         c = Counts(Runs(d, held, depth), min_count)
-        for kind, first, last in stages[:upto]:
-            c.learn(first, last, answers, kind)
+        for stage in stages[:upto]:
+            c.learn(stage, answers, counts)
         return c
 
-    for i, (kind, first, last) in enumerate(stages):
-        blocks.ask(kind, lambda d, a, rows, i=i, f=first, l=last: counted(d, a, rows, i).keys(f, l)[0])
+    for i, stage in enumerate(stages):
+        # which runs to count next follows from which ones are frequent: a bit for each is moved, not its count
+        told = [f"{s}-often" for s in stages[:i]]
+        blocks.ask(stage, lambda d, a, rows, i=i, s=stage: counted(d, a, rows, i, False).keys(s)[0], kinds=told, often=min_count)
         if not i:
             v, n = blocks.odd_keys("words")
 
     def gains(d: Docs, answers: Answers, rows: pa.Table) -> Keys:
-        c = counted(d, answers, rows, len(stages))
+        c = counted(d, answers, rows)
         places, keys = _states(c)
         p, gain, used = _root(c, n, v), [], []
         for k, (at, key) in enumerate(zip(places, keys), 1):
@@ -198,10 +209,10 @@ def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, divergence: float = D
             p[at] = (m + PRIOR * p[at]) / (w + PRIOR)
         return Keys(np.concatenate(used), np.concatenate(gain), None, "sum")
 
-    blocks.ask("gains", gains)
+    blocks.ask("gains", gains, kinds=stages)
 
     def score(d: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
-        c = counted(d, answers, rows, len(stages))
+        c = counted(d, answers, rows)
         r = c.runs
         places, keys = _states(c)
         known = Keys(np.concatenate(keys), np.zeros(sum(map(len, keys)), np.int64), None, "sum")
@@ -229,6 +240,7 @@ def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, divergence: float = D
     return blocks.step(
         score,
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+        [*stages, "gains"],
     )
 
 
