@@ -113,13 +113,14 @@ class Keys:
 
     A key is one or two 64-bit words (``second`` breaks ties of ``first``). Under ``min``
     the value is the smallest and ``many`` says if there are different ones; under
-    ``sum`` values are added.
+    ``sum`` values are added, or left out (None) where only ``group`` is needed: the number of each given key
+    among the distinct ones.
     """
 
-    def __init__(self, first: np.ndarray, values: np.ndarray, second: np.ndarray | None, how: str) -> None:
+    def __init__(self, first: np.ndarray, values: np.ndarray | None, second: np.ndarray | None, how: str) -> None:
         # the order of equal keys does not matter to their sum
-        order = np.argsort(first) if how == "sum" and second is None else multikey_order(first, second, values)
-        a, v = first[order], values[order]
+        order = key_order(first) if how == "sum" and second is None else multikey_order(first, second, values)
+        a, v = first[order], None if values is None else values[order]
         b = None if second is None else second[order]
         new = np.ones(len(a), bool)
         if len(a):
@@ -131,7 +132,7 @@ class Keys:
         self.group = np.empty(len(a), np.int64)
         self.group[order] = np.cumsum(new) - 1
         if how == "sum":
-            self.values = np.add.reduceat(v, start) if len(a) else v
+            self.values = np.add.reduceat(v, start) if len(a) and v is not None else v
             self.many = np.zeros(len(start), bool)
         else:
             stop = np.r_[start[1:], len(a)] - 1 if len(a) else start
@@ -141,6 +142,28 @@ class Keys:
         return np.searchsorted(splitters, self.first, "right")
 
 
+def key_order(keys: np.ndarray) -> np.ndarray:
+    """Order by key. Values are sorted faster than places, so each key is sorted with its place in its low
+    bits; if there is no room for all of a key and keys that differ only in what was cut lie in the wrong order, places are sorted."""
+    n = len(keys)
+    if n < 2:
+        return np.arange(n)
+    low, place = keys.min(), (n - 1).bit_length()
+    cut = max(0, int(keys.max() - low).bit_length() + place - 64)
+    both = keys - low
+    both >>= np.uint64(cut)
+    both <<= np.uint64(place)
+    both |= np.arange(n, dtype=np.uint64)
+    both.sort()
+    both &= np.uint64((1 << place) - 1)
+    order = both.view(np.int64)
+    if cut:
+        a = keys[order]
+        if (a[1:] < a[:-1]).any():
+            return np.argsort(keys)
+    return order
+
+
 def multikey_order(first: np.ndarray, second: np.ndarray | None, values: np.ndarray) -> np.ndarray:
     """Order by ``first``, ``second``, ``values``: a quicksort by the leading word, and only the
     runs that it leaves tied are sorted by the words that follow."""

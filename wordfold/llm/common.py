@@ -189,6 +189,29 @@ def word_symbols(data: bytes) -> np.ndarray:
     return stretch_hashes(BYTE_SYMBOLS[raw], edge[0::2], edge[1::2])
 
 
+#: Bytes of text whose words are hashed at once: what is held for each byte then stays in the processor's cache.
+_PIECE = 1 << 16
+_PLAIN = bytes(0x20 if WORD_BREAK[i] else i for i in range(256)).lower()
+
+
+def lower_word_symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_symbols`` of all texts with A-Z lowered, one text after the other, and how many each text has."""
+    symbols, counts, at = [np.empty(0, np.uint64)], np.zeros(len(texts), np.int64), 0
+    while at < len(texts):
+        to, held = at + 1, len(texts[at])
+        while to < len(texts) and held + 1 + len(texts[to]) <= _PIECE:
+            to, held = to + 1, held + 1 + len(texts[to])
+        raw = np.frombuffer(b" ".join(texts[at:to]).translate(_PLAIN), np.uint8)
+        gap = np.ones(len(raw) + 2, bool)
+        np.equal(raw, 0x20, out=gap[1:-1])
+        edge = np.flatnonzero(gap[1:] != gap[:-1])
+        symbols.append(stretch_hashes(BYTE_SYMBOLS[raw], edge[0::2], edge[1::2]))
+        following = np.cumsum([len(t) + 1 for t in texts[at:to]])
+        counts[at:to] = np.diff(np.searchsorted(edge[0::2], following), prepend=0)
+        at = to
+    return np.concatenate(symbols), counts
+
+
 _POS = _U(0xFFFFF)
 
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wordfold.llm.blocks import Answers, Blocks, Docs, Keys
-from wordfold.llm.common import mix64, table, word_symbols
+from wordfold.llm.common import lower_word_symbols, mix64, table
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
@@ -67,15 +67,14 @@ class Runs:
     """A block's symbols, each text behind a start symbol, and hashes of the runs that end at each."""
 
     def __init__(self, docs: Docs, held: np.ndarray, depth: int) -> None:
-        parts, sizes = [], []
-        for _, data in docs:
-            words = word_symbols(data.lower())
-            parts += [np.array([START]), words, np.array([END])]
-            sizes.append(len(words) + 1)
-        self.sizes = np.array(sizes, np.int64)
+        words, counts = lower_word_symbols([data for _, data in docs])
+        self.sizes = counts + 1
         self.depth = depth
-        symbol = np.concatenate(parts)
         begin = np.cumsum(self.sizes + 1) - self.sizes - 1
+        symbol = np.empty(len(words) + 2 * len(docs), np.uint64)
+        inside = np.ones(len(symbol), bool)
+        inside[begin] = inside[begin + self.sizes] = False
+        symbol[begin], symbol[begin + self.sizes], symbol[inside] = START, END, words
         self.doc = np.repeat(np.arange(len(docs)), self.sizes + 1)
         # how many symbols of the text, its start included, lie before
         self.behind = np.arange(len(symbol)) - begin[self.doc]
@@ -91,7 +90,7 @@ class Runs:
             self.run.append(mix64(self.run[-1] + older * _U(2 * n + 1)))
         return self.run[k - 1]
 
-    def key(self, k: int, at: np.ndarray) -> np.ndarray:
+    def key(self, k: int, at: np.ndarray | slice) -> np.ndarray:
         """Keys of runs of ``k`` symbols: of single tokens odd, of all others even."""
         h = mix64(self.runs(k)[at] + _U(k)) & _KEY
         return (h | _U(1)) if k == 1 else h
@@ -106,7 +105,8 @@ class Counts:
         self.of: dict[int, np.ndarray] = {}
         self.often: dict[int, np.ndarray] = {}
         # told by bits of the key that the choice of its bucket does not use
-        self.early = (self.runs.key(2, np.arange(len(runs.token))) >> _U(16) & _U(7)) < _EARLY
+        self.pairs = runs.key(2, slice(None))
+        self.early = (self.pairs >> _U(16) & _U(7)) < _EARLY
 
     def frequent(self, k: int) -> np.ndarray:
         """Where a context of ``k`` symbols lies before the place and is frequent."""
@@ -114,11 +114,11 @@ class Counts:
         out[1:] = self.often[k][:-1] & self.runs.token[1:]
         return out
 
-    def asked(self, stage: str) -> list[tuple[int, np.ndarray]]:
+    def asked(self, stage: str) -> list[tuple[int, np.ndarray | slice]]:
         """Lengths and last places of the runs that are counted."""
         r = self.runs
         if stage == "words":
-            return [(1, np.arange(len(r.token))), (2, np.flatnonzero(r.token & self.early))]
+            return [(1, slice(None)), (2, np.flatnonzero(r.token & self.early))]
         if stage == "pairs":
             return [(2, np.flatnonzero(self.frequent(1) & ~self.early))]
         # every run of two inside the context must be frequent: some more than are states, never fewer
@@ -130,26 +130,27 @@ class Counts:
             out.append((k, np.flatnonzero(inside & (r.behind >= k - 1))))
         return out
 
-    def keys(self, stage: str) -> tuple[Keys, list[tuple[int, np.ndarray]]]:
+    def keys(self, stage: str, sums: bool = True) -> tuple[Keys, list[tuple[int, np.ndarray | slice, int]]]:
+        """The runs' keys, and lengths, last places and number of the runs; ``sums``: with the block's own counts."""
         places = self.asked(stage)
-        key = [self.runs.key(k, p) for k, p in places]
+        key = [self.pairs[p] if k == 2 else self.runs.key(k, p) for k, p in places]
         if stage == "words":  # the start symbol is no token
-            key[0] = np.where(self.runs.token, key[0], key[0] & ~_U(1))
-        count = [self.runs.train[p].astype(np.int64) for _, p in places]
-        return Keys(np.concatenate(key), np.concatenate(count), None, "sum"), places
+            key[0][~self.runs.token] &= ~_U(1)
+        count = np.concatenate([self.runs.train[p] for _, p in places]).astype(np.int64) if sums else None
+        return Keys(np.concatenate(key), count, None, "sum"), [(k, p, len(x)) for (k, p), x in zip(places, key)]
 
     def learn(self, stage: str, answers: Answers, counts: bool) -> None:
         """``counts``: the counts themselves, else only which of them are frequent."""
-        keys, places = self.keys(stage)
+        keys, places = self.keys(stage, False)
         told = (answers.totals(stage) if counts else answers.often(stage))[keys.group]
         at, n = 0, len(self.runs.token)
-        for k, p in places:
-            mine = told[at : at + len(p)]
+        for k, p, size in places:
+            mine = told[at : at + size]
             if counts:
                 self.of.setdefault(k, np.full(n, -1, np.int64))[p] = mine
                 mine = mine >= self.min_count
             self.often.setdefault(k, np.zeros(n, bool))[p] = mine
-            at += len(p)
+            at += size
 
 
 def _stages(depth: int) -> list[str]:
@@ -215,7 +216,7 @@ def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, divergence: float = D
         c = counted(d, answers, rows)
         r = c.runs
         places, keys = _states(c)
-        known = Keys(np.concatenate(keys), np.zeros(sum(map(len, keys)), np.int64), None, "sum")
+        known = Keys(np.concatenate(keys), None, None, "sum")
         total = np.split(answers.totals("gains")[known.group], np.cumsum([len(x) for x in keys])[:-1])
         root = _root(c, n, v)
         p = root.copy()
