@@ -1,0 +1,113 @@
+"""What the blocks of a corpus tell each other: op2's messages grow with the blocks by the buckets, so buckets are few and
+evenly filled, a message is small, and a block's texts are hashed together."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from test_operators import prose, slow_dedup
+
+from wordfold.llm import blocks, suffix
+
+
+def answered(keys: list[blocks.Keys], splitters: np.ndarray, two: bool = False) -> tuple[list[tuple], int]:
+    """``(many, least)`` for each block, and the number of messages."""
+    by: dict[int, list[tuple[int, bytes]]] = {}
+    for i, k in enumerate(keys):
+        for bucket, p in blocks._sent(k, splitters):
+            by.setdefault(bucket, []).append((i, p))
+    told = [blocks.Answers(None) for _ in keys]
+    for bucket, got in by.items():
+        for (i, _), p in zip(got, blocks._combine([p for _, p in got], two, "min")[0]):
+            if p:
+                told[i].by.setdefault("k", []).append((bucket, p))
+    return [t.least("k", k, splitters) for t, k in zip(told, keys)], sum(map(len, by.values()))
+
+
+@pytest.mark.parametrize("two", [False, True])
+@pytest.mark.parametrize("buckets", [1, 7, 400])
+def test_least_values_come_back(two, buckets):
+    r = np.random.default_rng(buckets)
+    pool = r.integers(0, 2**64, 300, np.uint64)
+    pool[:3] = [0, 2**64 - 1, 2**63]
+    pool[3:40] = pool[40]  # ties that only the second word breaks
+    values = np.r_[r.integers(-5, 5, 50), [blocks.NO_ID, -(2**63), 2**40]]
+    other = r.integers(0, 2**32, 300, np.uint64)
+    rows = [[(int(pool[j]), int(other[j]) if two else 0, int(r.choice(values))) for j in r.integers(0, 300, n)] for n in (500, 200, 1, 0, 90)]
+    column = lambda x, i, t: np.array([y[i] for y in x], t)
+    keys = [blocks.Keys(column(x, 0, np.uint64), column(x, 2, np.int64), column(x, 1, np.uint64) if two else None, "min") for x in rows]
+    seen: dict[tuple, set[int]] = {}
+    for x in rows:
+        for a, b, v in x:
+            seen.setdefault((a, b), set()).add(v)
+    got, _ = answered(keys, blocks.even_splitters(buckets), two)
+    for x, k, (many, least) in zip(rows, keys, got):
+        assert many[k.group].tolist() == [len(seen[a, b]) > 1 for a, b, _ in x]
+        assert least[k.group].tolist() == [min(seen[a, b]) for a, b, _ in x]
+
+
+def test_messages_are_small_and_unanswered_where_nothing_differs():
+    r = np.random.default_rng(1)
+    first = [r.integers(0, 2**48, 5000, np.uint64) << np.uint64(16) for _ in range(2)]
+    keys = [blocks.Keys(f, np.full(5000, i), None, "min") for i, f in enumerate(first)]
+    (x, y) = (blocks._sent(k, blocks.even_splitters(10)) for k in keys)
+    # an id and a key were 16 bytes, now the bytes that differ from zero
+    assert sum(len(p) for _, p in x) < 8 * 5000
+    for (_, a), (_, b) in zip(x, y):
+        assert blocks._combine([a, b], False, "min")[0] == [b"", b""]
+
+
+def test_buckets_of_grams_are_even_and_a_block_is_hashed_together(monkeypatch):
+    # the least hashes of windows are small: the first of 64 buckets held 16 times its share; and each text cost calls of its own
+    docs = [(i, prose(i, 120).encode()) for i in range(400)]
+    calls, hashes = [], suffix._gram_hashes
+    monkeypatch.setattr(suffix, "_gram_hashes", lambda *a: calls.append(1) or hashes(*a))
+    g, key = suffix._sampled(suffix._Texts(docs), 20, 50)
+    assert len(calls) < 40
+    sizes = np.diff(blocks.Keys(key, g.id, None, "min").buckets(blocks.even_splitters(16)))
+    assert sizes.max() < 1.5 * sizes.mean()
+    back, flag = suffix._Grams.unpacked(g.texts, g.packed(key & np.uint64(1 << 20) > 0))
+    for name in ("place", "first", "stop"):
+        assert np.array_equal(getattr(g, name), getattr(back, name))
+    assert np.array_equal(flag, key & np.uint64(1 << 20) > 0) and np.array_equal(back.keys(20), key)
+
+
+@pytest.mark.parametrize("piece", [1, 300, 1 << 20])
+@pytest.mark.parametrize("k, window", [(20, 50), (5, 9), (8, 8), (50, 50)])
+def test_equal_windows_sample_equal_grams(monkeypatch, piece, k, window):
+    monkeypatch.setattr(suffix, "PIECE", piece)
+    shared = prose(3, 30).encode()
+    texts = [b"", shared, b"x" * 200, b"ab", prose(1, 9).encode() + shared + b"!", b"x" * 49, shared[7:], b"", b"y" + b"x" * 90, "é ü".encode() * 40]
+    t = suffix._Texts(list(enumerate(texts)))
+    g, key = suffix._sampled(t, k, window)
+    of = {}
+    for place, first, stop, x in zip(g.place.tolist(), g.first.tolist(), g.stop.tolist(), key.tolist()):
+        for at in range(first, stop):
+            assert at <= place <= at + window - k and at not in of
+            of[at] = x
+    joined = b"".join(texts)
+    starts = [int(a) + i for a, x in zip(t.start, texts) for i in range(len(x) - window + 1)]
+    assert sorted(of) == starts  # each window once, none across texts
+    by: dict[bytes, set[int]] = {}
+    for at in starts:
+        by.setdefault(joined[at : at + window], set()).add(of[at])
+    assert max(map(len, by.values())) == 1
+
+
+def test_fewer_buckets_than_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 1)
+    monkeypatch.setattr(suffix, "DENSE_PER_BUCKET", 5)
+    shared = prose(1, 40)
+    rows = [(i, prose(i, 12) + " " + (shared[i : 90 + i] if i % 3 else prose(i + 70, 9)) + " " + prose(i + 99, 5)) for i in range(41)] + [(None, shared), (None, shared), (3, shared), (60, ""), (61, None)]
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+    try:
+        made = []
+        monkeypatch.setattr(suffix, "Blocks", lambda *a, **b: made.append(blocks.Blocks(*a, **b)) or made[0])
+        got = suffix.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert made[0].n_buckets == len(rows) // 4  # was a bucket for each block
+    top = 2**62
+    want = [(i, len(p), sum(g)) for i, p, g in slow_dedup([(top if i is None else i, t or "") for i, t in rows], 50, lambda t: t.encode())]
+    assert sorted((top if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed) for r in got) == sorted(want)
+    assert all(len(r.kept) == r.n_bytes - r.n_removed for r in got) and any(r.n_removed for r in got)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from wordfold.session import new_output_path
 #: 8-byte values for each of its bytes.
 BLOCK_ROWS = 2048
 BLOCK_BYTES = 8 << 20
-#: Blocks whose keys a bucket gathers, about.
+#: Blocks whose keys a bucket gathers, about, where an operator does not say otherwise.
 BLOCKS_PER_BUCKET = 1
 #: A document without an id comes after all others.
 NO_ID = 2**63 - 1
@@ -58,15 +59,6 @@ def _cut_blocks(batches):
         yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *b.columns], names=["block", "rid", "doc_id", "text"])
 
 
-def planes(values: np.ndarray) -> bytes:
-    """64-bit values by byte place, so that bytes that are mostly zero lie together."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def from_planes(data: bytes, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n).reshape(8, n).T).view(np.uint64).ravel()
-
-
 #: Planes of fewer bytes are left to the codec of the shuffle, which sees those of many messages at once.
 _PRESSED = 512
 
@@ -108,6 +100,32 @@ def from_pressed(data: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
     return out.view(np.uint64).ravel(), at
 
 
+def used_planes(columns: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """Columns of 64-bit values by byte place, a row for each place that is not zero everywhere, and bits that tell which."""
+    rows, used = [], 0
+    for i, column in enumerate(columns):
+        # eight byte places a column
+        for j, plane in enumerate(column.view(np.uint8).reshape(-1, 8).T):
+            if plane.any():
+                used |= 1 << (8 * i + j)
+                rows.append(plane)
+    return np.stack(rows) if rows else np.empty((0, len(columns[0])), np.uint8), used
+
+
+def from_used_planes(parts: list[tuple[bytes, int, int, int]], columns: int) -> list[np.ndarray]:
+    """The columns of several ``used_planes`` one after the other, each given as data, offset, number of values and bits."""
+    total, at = sum(n for _, _, n, _ in parts), 0
+    out = np.zeros((8 * columns, total), np.uint8)
+    places: dict[int, list[int]] = {}
+    for data, offset, n, used in parts:
+        if used not in places:
+            places[used] = [i for i in range(8 * columns) if used >> i & 1]
+        rows = places[used]
+        out[rows, at : at + n] = np.frombuffer(data, np.uint8, n * len(rows), offset).reshape(len(rows), n)
+        at += n
+    return [np.ascontiguousarray(out[8 * i : 8 * i + 8].T).view(np.uint64).ravel() for i in range(columns)]
+
+
 class Keys:
     """Distinct sorted keys of a block with one value each.
 
@@ -118,8 +136,8 @@ class Keys:
     """
 
     def __init__(self, first: np.ndarray, values: np.ndarray | None, second: np.ndarray | None, how: str) -> None:
-        # the order of equal keys does not matter to their sum
-        order = key_order(first) if how == "sum" and second is None else multikey_order(first, second, values)
+        # the order of equal keys matters neither to their sum nor to the smallest value
+        order = multikey_order(first, second)
         a, v = first[order], None if values is None else values[order]
         b = None if second is None else second[order]
         new = np.ones(len(a), bool)
@@ -135,11 +153,12 @@ class Keys:
             self.values = np.add.reduceat(v, start) if len(a) and v is not None else v
             self.many = np.zeros(len(start), bool)
         else:
-            stop = np.r_[start[1:], len(a)] - 1 if len(a) else start
-            self.values, self.many = v[start], v[start] != v[stop]
+            self.values = np.minimum.reduceat(v, start) if len(a) else v
+            self.many = self.values != np.maximum.reduceat(v, start) if len(a) else np.zeros(0, bool)
 
     def buckets(self, splitters: np.ndarray) -> np.ndarray:
-        return np.searchsorted(splitters, self.first, "right")
+        """Where the keys of each bucket begin, and where the last ones end."""
+        return np.r_[0, np.searchsorted(self.first, splitters), len(self.first)]
 
 
 def key_order(keys: np.ndarray) -> np.ndarray:
@@ -164,19 +183,22 @@ def key_order(keys: np.ndarray) -> np.ndarray:
     return order
 
 
-def multikey_order(first: np.ndarray, second: np.ndarray | None, values: np.ndarray) -> np.ndarray:
-    """Order by ``first``, ``second``, ``values``: a quicksort by the leading word, and only the
-    runs that it leaves tied are sorted by the words that follow."""
+def multikey_order(first: np.ndarray, second: np.ndarray | None) -> np.ndarray:
+    """Order by ``first`` and ``second``: a quicksort by the leading word, and only the runs that it
+    leaves tied between different keys are sorted by the word that follows."""
+    if second is None:
+        return key_order(first)
     order = np.argsort(first, kind="quicksort")
-    a = first[order]
-    tied = np.zeros(len(a), bool)
-    if len(a):
-        same = a[1:] == a[:-1]
-        tied[1:] |= same
-        tied[:-1] |= same
-    t = order[tied]
-    words = (values[t], first[t]) if second is None else (values[t], second[t], first[t])
-    order[tied] = t[np.lexsort(words)]
+    a, b = first[order], second[order]
+    same = a[1:] == a[:-1]
+    differ = same & (b[1:] != b[:-1])
+    if differ.any():
+        run = np.cumsum(np.r_[False, ~same])
+        mixed = np.zeros(run[-1] + 1, bool)
+        mixed[run[1:][differ]] = True
+        tied = np.flatnonzero(mixed[run])
+        t = order[tied]
+        order[tied] = t[np.lexsort((second[t], first[t]))]
     return order
 
 
@@ -186,56 +208,77 @@ def even_splitters(buckets: int) -> np.ndarray:
 
 
 def _sent(keys: Keys, splitters: np.ndarray) -> list[tuple[int, bytes]]:
-    where = keys.buckets(splitters)
+    edge = keys.buckets(splitters)
+    full = np.flatnonzero(edge[1:] > edge[:-1])
+    lo, hi = edge[full], edge[full + 1]
     out = []
-    for cut in np.split(np.arange(len(where)), np.flatnonzero(np.diff(where)) + 1) if len(where) else []:
-        a, v = keys.first[cut], keys.values[cut]
-        low = int(v.min())
-        gaps, rest = np.diff(a, prepend=np.uint64(0)), (v - low).view(np.uint64)
-        if keys.how == "sum":
-            parts = [pressed(gaps), pressed(rest)]
-        else:
-            parts = [planes(gaps), *([] if keys.second is None else [planes(keys.second[cut])]), planes(rest), np.packbits(keys.many[cut]).tobytes()]
-        out.append((int(where[cut[0]]), struct.pack("<Iq", len(cut), low) + b"".join(parts)))
+    if keys.how == "sum":
+        for bucket, i, j in zip(full.tolist(), lo.tolist(), hi.tolist()):
+            a, v = keys.first[i:j], keys.values[i:j]
+            low = int(v.min())
+            gaps, rest = np.diff(a, prepend=np.uint64(0)), (v - low).view(np.uint64)
+            out.append((bucket, struct.pack("<Iq", j - i, low) + pressed(gaps) + pressed(rest)))
+        return out
+    if not len(full):
+        return out
+    # the planes of all keys are made at once, a message takes its part of each
+    gaps = np.diff(keys.first, prepend=np.uint64(0))
+    gaps[lo] = 0
+    low = np.minimum.reduceat(keys.values, lo)
+    rest = (keys.values - np.repeat(low, hi - lo)).view(np.uint64)
+    data, used = used_planes([gaps, rest] if keys.second is None else [gaps, rest, keys.second])
+    for bucket, i, j, x, v in zip(full.tolist(), lo.tolist(), hi.tolist(), keys.first[lo].tolist(), low.tolist()):
+        out.append((bucket, struct.pack(_HEAD, j - i, used, x, v) + np.packbits(keys.many[i:j]).tobytes() + data[:, i:j].tobytes()))
     return out
 
 
+#: Of a message with ``min``: keys, planes, first key, smallest value. Of the answer: planes, smallest value.
+_HEAD, _ANSWER = "<IIQq", "<Bq"
+
+
 def _combine(payloads: list[bytes], two: bool, how: str, often: int | None = None) -> tuple[list[bytes], list[bytes], int, int]:
     """Answers to each payload: for ``sum`` the totals, for ``min`` which keys have different values
-    and their smallest. For ``sum`` also which totals reach ``often``, if that is given, the number of odd
+    and their smallest (no bytes if no key has). For ``sum`` also which totals reach ``often``, if that is given, the number of odd
     keys with a sum over zero, and the sum of these."""
-    first, second, values, many, sizes = [], [], [], [], []
-    for p in payloads:
-        n, low = struct.unpack_from("<Iq", p)
-        at = 12
-        sizes.append(n)
-        if how == "sum":
-            gaps, at = from_pressed(p, at, n)
+    if how == "sum":
+        first, values, sizes = [], [], []
+        for p in payloads:
+            n, low = struct.unpack_from("<Iq", p)
+            sizes.append(n)
+            gaps, at = from_pressed(p, 12, n)
             first.append(np.cumsum(gaps, dtype=np.uint64))
             values.append(from_pressed(p, at, n)[0].view(np.int64) + low)
-            continue
-        first.append(np.cumsum(from_planes(p[at:], n), dtype=np.uint64))
-        at += 8 * n
-        if two:
-            second.append(from_planes(p[at:], n))
-            at += 8 * n
-        values.append(from_planes(p[at:], n).view(np.int64) + low)
-        many.append(np.unpackbits(np.frombuffer(p, np.uint8, offset=at + 8 * n), count=n).astype(bool))
-    v = np.concatenate(values)
-    keys = Keys(np.concatenate(first), v, np.concatenate(second) if two else None, how)
-    if how == "sum":
+        keys = Keys(np.concatenate(first), np.concatenate(values), None, how)
         mine = np.split(keys.values[keys.group], np.cumsum(sizes)[:-1])
         odd = keys.values[(keys.values > 0) & ((keys.first & np.uint64(1)) == 1)]
         size = lambda x: struct.pack("<I", len(x))
         reached = [] if often is None else [size(x) + np.packbits(x >= often).tobytes() for x in mine]
         return [size(x) + pressed(x.view(np.uint64)) for x in mine], reached, len(odd), int(odd.sum())
-    np.logical_or.at(keys.many, keys.group, np.concatenate(many))
-    differ, least = keys.many[keys.group], keys.values[keys.group]
-    out = []
-    for d, x in zip(np.split(differ, np.cumsum(sizes)[:-1]), np.split(least, np.cumsum(sizes)[:-1])):
-        x = x[d]
-        low = int(x.min()) if len(x) else 0
-        out.append(struct.pack("<q", low) + np.packbits(d).tobytes() + planes((x - low).view(np.uint64)))
+    heads = [struct.unpack_from(_HEAD, p) for p in payloads]
+    sizes = np.array([h[0] for h in heads])
+    many = np.concatenate([np.unpackbits(np.frombuffer(p, np.uint8, (h[0] + 7) // 8, struct.calcsize(_HEAD)), count=h[0]) for p, h in zip(payloads, heads)])
+    parts = [(p, struct.calcsize(_HEAD) + (n + 7) // 8, n, used) for p, (n, used, _, _) in zip(payloads, heads)]
+    gaps, rest, *second = from_used_planes(parts, 3 if two else 2)
+    start = np.cumsum(sizes) - sizes
+    gaps[start] = np.array([h[2] for h in heads], np.uint64)
+    first = np.cumsum(gaps, dtype=np.uint64)
+    first -= np.repeat(first[start] - gaps[start], sizes)
+    values = rest.view(np.int64) + np.repeat(np.array([h[3] for h in heads], np.int64), sizes)
+    keys = Keys(first, values, second[0] if two else None, how)
+    keys.many[keys.group[np.flatnonzero(many)]] = True
+    differ = keys.many[keys.group]
+    least = keys.values[keys.group[differ]]
+    per = np.add.reduceat(differ, start, dtype=np.int64)
+    told = np.flatnonzero(per)
+    if not len(told):
+        return [b""] * len(payloads), [], 0, 0
+    end = np.cumsum(per)
+    low = np.minimum.reduceat(least, (end - per)[told])
+    data, used = used_planes([(least - np.repeat(low, per[told])).view(np.uint64)])
+    out = [b""] * len(payloads)
+    for i, x, v in zip(told.tolist(), low.tolist(), zip((end - per)[told].tolist(), end[told].tolist())):
+        bits = differ[start[i] : start[i] + sizes[i]]
+        out[i] = struct.pack(_ANSWER, used, x) + np.packbits(bits).tobytes() + data[:, v[0] : v[1]].tobytes()
     return out, [], 0, 0
 
 
@@ -262,13 +305,19 @@ class Answers:
         """``(many, least)`` for every key of the block: whether its values differ anywhere, and the
         smallest (the block's own where they do not differ)."""
         many, least = np.zeros(len(keys.first), bool), keys.values.copy()
-        where = keys.buckets(splitters)
-        for bucket, p in self.by.get(kind, []):
-            lo, hi = np.searchsorted(where, [bucket, bucket + 1])
-            n, (low,) = int(hi - lo), struct.unpack_from("<q", p)
-            differ = np.unpackbits(np.frombuffer(p, np.uint8, (n + 7) // 8, 8), count=n).astype(bool)
-            many[lo:hi] = differ
-            least[lo + np.flatnonzero(differ)] = from_planes(p[8 + (n + 7) // 8 :], int(differ.sum())).view(np.int64) + low
+        edge, parts, low, where = keys.buckets(splitters), [], [], []
+        for bucket, p in sorted(self.by.get(kind, [])):
+            lo, hi = int(edge[bucket]), int(edge[bucket + 1])
+            bits = (hi - lo + 7) // 8
+            used, x = struct.unpack_from(_ANSWER, p)
+            at = np.flatnonzero(np.unpackbits(np.frombuffer(p, np.uint8, bits, struct.calcsize(_ANSWER)), count=hi - lo))
+            where.append(at + lo)
+            low.append(x)
+            parts.append((p, struct.calcsize(_ANSWER) + bits, len(at), used))
+        if parts:
+            at = np.concatenate(where)
+            many[at] = True
+            least[at] = from_used_planes(parts, 1)[0].view(np.int64) + np.repeat(np.array(low, np.int64), [len(x) for x in where])
         return many, least
 
     def rows(self, kind: str) -> list[bytes]:
@@ -281,11 +330,12 @@ Docs = list[tuple[int, bytes]]
 class Blocks:
     """Texts in blocks, and the answers so far."""
 
-    def __init__(self, docs: DataFrame, name: str, integer_ids: bool = False) -> None:
+    def __init__(self, docs: DataFrame, name: str, integer_ids: bool = False, per_bucket: int = BLOCKS_PER_BUCKET) -> None:
         spark = docs.sparkSession
         if integer_ids and not isinstance(docs.schema["doc_id"].dataType, IntegralType):
             raise TypeError("doc_id must be an integer column")
         self.name, self.answers = name, None
+        self.told: list[tuple[set[str] | None, DataFrame]] = []
         # a row's number holds its partition and its place in it; taken once, as it is written
         rows = docs.select("doc_id", text_bytes().alias("text")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
         kind = rows.schema["doc_id"].dataType.simpleString()
@@ -296,7 +346,7 @@ class Blocks:
         writer.option("parquet.compression.codec.zstd.level", "6").option("path", new_output_path(spark, table)).saveAsTable(table)
         self.table = spark.table(table)
         blocks = self.table.agg(F.count_distinct("block")).first()[0]
-        self.n_buckets = max(parts, blocks // BLOCKS_PER_BUCKET)
+        self.n_buckets = max(parts, blocks // per_bucket)
         self.splitters = even_splitters(self.n_buckets)
 
     def step(self, run: Callable[[Docs, Answers, pa.Table], pa.Table], schema: str, kinds: list[str] | None = None) -> DataFrame:
@@ -323,7 +373,9 @@ class Blocks:
 
         mine = self.answers.where("block >= 0")
         if kinds is not None:
-            mine = mine.where(F.col("kind").isin(kinds))
+            # tables without these kinds are not opened
+            tables = [t for held, t in self.told if held is None or held & set(kinds)]
+            mine = reduce(DataFrame.union, tables or [self.answers]).where("block >= 0").where(F.col("kind").isin(kinds))
         return grouped.cogroup(mine.groupBy("block")).applyInArrow(told, schema)
 
     def odd_keys(self, kind: str) -> tuple[int, int]:
@@ -333,25 +385,31 @@ class Blocks:
         found = own.agg(F.coalesce(F.sum("bucket"), F.lit(0)), F.coalesce(F.sum(total), F.lit(0))).first()
         return int(found[0]), int(found[1])
 
-    def learn(self, answers: DataFrame) -> None:
+    def state_total(self, kind: str) -> int:
+        """The total of the numbers that blocks gave with their states."""
+        own = self.answers.where((F.col("block") < 0) & (F.col("kind") == f"{kind}-state"))
+        return int(own.agg(F.coalesce(F.sum("bucket"), F.lit(0))).first()[0])
+
+    def learn(self, answers: DataFrame, kinds: set[str] | None = None) -> None:
+        self.told.append((kinds, answers))
         self.answers = answers if self.answers is None else self.answers.union(answers)
 
-    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes]], splitters: np.ndarray | None = None, two: bool = False, kinds: list[str] | None = None, often: int | None = None) -> None:
+    def ask(self, kind: str, find: Callable[[Docs, Answers, pa.Table], Keys | tuple[Keys, bytes, int]], splitters: np.ndarray | None = None, two: bool = False, kinds: list[str] | None = None, often: int | None = None) -> None:
         """Combine the keys that ``find`` gives for each block; the answers are of ``kind``.
 
-        ``find`` may give ``(keys, state)``: bytes that later steps get back for the same block
-        as ``<kind>-state``, so that they need not find its places again. Of a ``sum``, ``<kind>-often`` tells which ones reach
+        ``find`` may give ``(keys, state, number)``: bytes that later steps get back for the same block
+        as ``<kind>-state``, so that they need not find its places again, and a number whose total ``state_total`` has. Of a ``sum``, ``<kind>-often`` tells which ones reach
         ``often``, a bit for each, for steps that need no more.
         """
         split = self.splitters if splitters is None else splitters
 
         def send(docs: Docs, answers: Answers, rows: pa.Table) -> pa.Table:
             found = find(docs, answers, rows)
-            keys, state = found if isinstance(found, tuple) else (found, None)
+            keys, state, number = found if isinstance(found, tuple) else (found, None, 0)
             out = [(bucket, keys.how, p) for bucket, p in _sent(keys, split)]
             block = rows.column("block")[0].as_py()
             if state is not None:  # alone in a bucket below all others
-                out.append((-1 - block, "state", state))
+                out.append((-1 - block, "state", struct.pack("<q", number) + state))
             return pa.table(
                 {
                     "bucket": pa.array([b for b, _, _ in out], pa.int64()),
@@ -364,12 +422,22 @@ class Blocks:
         def combine(rows: pa.Table) -> pa.Table:
             how = rows.column("how")[0].as_py()
             if how == "state":
-                kinds = pa.array([f"{kind}-state"] * rows.num_rows, pa.string())
-                return pa.table({"block": rows.column("block"), "kind": kinds, "bucket": rows.column("bucket"), "payload": rows.column("payload")})
+                (payload,), (block,) = rows.column("payload").to_pylist(), rows.column("block").to_pylist()
+                # block -1 is nobody's: it counts for the whole corpus
+                return pa.table(
+                    {
+                        "block": pa.array([block, -1], pa.int64()),
+                        "kind": pa.array([f"{kind}-state"] * 2, pa.string()),
+                        "bucket": pa.array([-1 - block, struct.unpack_from("<q", payload)[0]], pa.int64()),
+                        "payload": pa.array([payload[8:], b""], pa.binary()),
+                    }
+                )
             payloads, reached, odd, odd_sum = _combine(rows.column("payload").to_pylist(), two, how, often)
             block, bucket = rows.column("block").to_pylist(), rows.column("bucket").to_pylist()
+            if how == "min":
+                kept = [i for i, p in enumerate(payloads) if p]
+                payloads, block, bucket = ([x[i] for i in kept] for x in (payloads, block, bucket))
             twice = 1 + bool(reached)
-            # block -1 is nobody's: it counts for the whole corpus
             return pa.table(
                 {
                     "block": pa.array([*block * twice, -1], pa.int64()),
@@ -380,4 +448,4 @@ class Blocks:
             )
 
         sent = self.step(send, "bucket bigint, block bigint, how string, payload binary", kinds)
-        self.learn(stored(sent.groupBy("bucket").applyInArrow(combine, ANSWERS), f"{self.name}-{kind}"))
+        self.learn(stored(sent.groupBy("bucket").applyInArrow(combine, ANSWERS), f"{self.name}-{kind}"), {kind, f"{kind}-state", f"{kind}-often"})
